@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedgeline.llm.leaks import leaked_items
 from sedgeline.llm.near_duplicates import NearDuplicates, near_duplicate_classes, near_duplicate_pairs
 from sedgeline.runtime import table
 
@@ -24,6 +25,14 @@ def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(_requests(spark, sf_dir), REQUESTS)
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_classes)}
+def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p4_classes, p9_found, p9_leaks)}
 
 SQL: dict[str, str] = {}
