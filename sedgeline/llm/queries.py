@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedgeline.llm.languages import document_languages, mislabelled_paragraphs, segment_languages
 from sedgeline.llm.leaks import leaked_items
 from sedgeline.llm.near_duplicates import NearDuplicates, near_duplicate_classes, near_duplicate_pairs
 from sedgeline.runtime import table
@@ -33,6 +34,18 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_leaks(spark, sf_dir).select("doc_id", "item_id")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_classes, p9_found, p9_leaks)}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mislabelled_paragraphs(table(spark, sf_dir, "documents")).select("doc_id", "para_no", "language")
+
+
+def p10_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_languages(table(spark, sf_dir, "documents"))
+
+
+def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_languages(table(spark, sf_dir, "documents")).filter("language is not null")
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p4_classes, p9_found, p9_leaks, p10_found, p10_documents, p10_segments)}
 
 SQL: dict[str, str] = {}
