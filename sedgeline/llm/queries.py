@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedgeline.llm.canonical import UNMATCHED, mapped_values
 from sedgeline.llm.languages import document_languages, mislabelled_paragraphs, segment_languages
 from sedgeline.llm.leaks import leaked_items
 from sedgeline.llm.near_duplicates import NearDuplicates, near_duplicate_classes, near_duplicate_pairs
@@ -46,6 +47,19 @@ def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_languages(table(spark, sf_dir, "documents")).filter("language is not null")
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_classes, p9_found, p9_leaks, p10_found, p10_documents, p10_segments)}
+def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mapped_values(table(spark, sf_dir, "foi_disclosures"), "id", ["requester_type", "decision_status"], table(spark, sf_dir, "vocab_entries"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mapped(spark, sf_dir).select("id", "field_name", "label")
+
+
+def p3_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What could not be mapped, with how often it occurs."""
+    return _mapped(spark, sf_dir).filter(F.col("label") == UNMATCHED).groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p4_classes, p9_found, p9_leaks, p10_found, p10_documents, p10_segments)}
 
 SQL: dict[str, str] = {}
