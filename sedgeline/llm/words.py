@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import xxhash
@@ -15,13 +16,8 @@ _CACHE_WORDS = 500_000
 
 
 def word_hash(word: str) -> int:
-    """64-bit hash of a word; a worker remembers the words it meets, up to a bound."""
-    h = _CACHE.get(word)
-    if h is None:
-        if len(_CACHE) >= _CACHE_WORDS:
-            _CACHE.clear()
-        h = _CACHE[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-    return h
+    """64-bit hash of a word."""
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
 def words_of(text: str) -> list[str]:
@@ -38,8 +34,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def hashed_batch(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts in a row, and the number of words of each text."""
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    flat = np.fromiter((word_hash(w) for t in texts for w in t), np.uint64, int(lengths.sum()))
-    return flat, lengths
+    if len(_CACHE) > _CACHE_WORDS:  # a worker remembers the words it meets, up to a bound
+        _CACHE.clear()
+    flat = list(chain.from_iterable(texts))
+    for w in set(flat).difference(_CACHE):
+        _CACHE[w] = word_hash(w)
+    return np.fromiter(map(_CACHE.__getitem__, flat), np.uint64, len(flat)), lengths
 
 
 def shingle_hashes(flat: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
