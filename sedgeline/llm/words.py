@@ -20,7 +20,13 @@ def word_hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
+_ASCII = bytes(i if chr(i).isalnum() and i < 128 else 32 for i in range(256))
+
+
 def words_of(text: str) -> list[str]:
+    """The words of a text, in lower case."""
+    if text.isascii():  # the same words, by a table instead of an expression
+        return text.lower().encode().translate(_ASCII).decode().split()
     return WORD.findall(text.lower())
 
 
