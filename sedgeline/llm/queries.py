@@ -9,6 +9,7 @@ from sedgeline.llm.canonical import UNMATCHED, mapped_values
 from sedgeline.llm.languages import document_languages, mislabelled_paragraphs, segment_languages
 from sedgeline.llm.leaks import leaked_items
 from sedgeline.llm.near_duplicates import NearDuplicates, near_duplicate_classes, near_duplicate_pairs
+from sedgeline.llm.scans import repaired_texts
 from sedgeline.runtime import table
 
 REQUESTS = NearDuplicates(shingle=3, threshold=0.5, least_words=20)
@@ -47,6 +48,14 @@ def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_languages(table(spark, sf_dir, "documents")).filter("language is not null")
 
 
+def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired_texts(table(spark, sf_dir, "foi_disclosures"), "id", "name", "request_description")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_repaired(spark, sf_dir).select("id", F.explode("kinds").alias("noise_kind")).distinct()
+
+
 def _mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped_values(table(spark, sf_dir, "foi_disclosures"), "id", ["requester_type", "decision_status"], table(spark, sf_dir, "vocab_entries"))
 
@@ -60,6 +69,6 @@ def p3_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mapped(spark, sf_dir).filter(F.col("label") == UNMATCHED).groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_unmatched, p4_found, p4_classes, p9_found, p9_leaks, p10_found, p10_documents, p10_segments)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_unmatched, p4_found, p4_classes, p9_found, p9_leaks, p10_found, p10_documents, p10_segments)}
 
 SQL: dict[str, str] = {}
