@@ -40,7 +40,7 @@ CONFUSIONS = [
     ("ri", "n"), ("rn", "m"), ("cl", "d"), ("ii", "u"), ("vv", "w"), ("q", "g"), ("b", "h"), ("m", "rn"), ("d", "cl"), ("8", "b"), ("6", "b"), ("2", "z"), ("|", "l"), ("!", "i"), ("€", "e"), ("£", "e"), ("9", "g"),
 ]
 # Words of running headings in disclosure logs.
-HEADINGS = re.compile(r"\b(log of requests|foi log|disclosure log|released under|sheet\s*\d+)\b|\(contd", re.IGNORECASE)
+HEADINGS = re.compile(r"\b(log of requests|foi log|disclosure log|released under|freedom of information|sheet\s*\d+)\b|\(contd", re.IGNORECASE)
 PAGE_NUMBER = re.compile(r"(?:(?:page|pg\.?|p\.|lch\.?|leathanach)\s*\d{1,4}(?:\s*(?:of|/|as)\s*\d{1,4})?|\[\s*\d{1,4}\s*\]|[-–—]\s*\d{1,4}\s*[-–—]|\d{1,4}(?:\s*(?:of|/)\s*\d{1,4})?|\d{1,4}\s*\|\s*p\s?a\s?g\s?e)", re.IGNORECASE)
 LIST_MARK = re.compile(r"^(?:[*•‣–-]|\(?\d{1,2}[.)]|\(?[a-z][.)])\s+")
 EDGES = " .,;:()[]\"'’‘“”–—*•?!"
@@ -313,7 +313,7 @@ class Reader:
 
     def _heading(self, x: str, body: str, shouting: bool, name) -> bool:
         low = x.lower()
-        if body and (low == body or (low.startswith(body) and HEADINGS.search(x))):
+        if body and low.startswith(body) and (low == body or re.match(r"\s*[–—|:-]\s", low[len(body) :])):
             return True
         if HEADINGS.search(x) and x[-1] not in "." and len(x) <= 120:
             return True
