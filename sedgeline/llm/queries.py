@@ -9,6 +9,7 @@ from sedgeline.llm.canonical import UNMATCHED, mapped_values
 from sedgeline.llm.languages import document_languages, mislabelled_paragraphs, segment_languages
 from sedgeline.llm.leaks import leaked_items
 from sedgeline.llm.near_duplicates import NearDuplicates, near_duplicate_classes, near_duplicate_pairs
+from sedgeline.llm.packing import pack_fill, packed_texts
 from sedgeline.llm.scans import repaired_texts
 from sedgeline.runtime import table
 
@@ -28,6 +29,14 @@ def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(_requests(spark, sf_dir), REQUESTS)
 
 
+def p8_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_sizes"))
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_fill(p8_packs(spark, sf_dir))
+
+
 def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
@@ -69,6 +78,6 @@ def p3_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mapped(spark, sf_dir).filter(F.col("label") == UNMATCHED).groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_unmatched, p4_found, p4_classes, p9_found, p9_leaks, p10_found, p10_documents, p10_segments)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_unmatched, p4_found, p4_classes, p8_packs, p8_fill, p9_found, p9_leaks, p10_found, p10_documents, p10_segments)}
 
 SQL: dict[str, str] = {}
