@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sedgeline.llm.words import mixed
-from sedgeline.runtime import bounded_rows
+from sedgeline.runtime import bounded_rows, stored
 
 # What a reader of scanned letters takes for what (read -> meant).
 CONFUSIONS = [
@@ -137,7 +137,7 @@ def statistics(texts: DataFrame, p: ScanRepair) -> Statistics:
         piece = width // 16
         yield _as_rows("p", Counter({f"{k:02d}": 0 for k in range(16)}), cells=[pairs[k * piece : (k + 1) * piece].tobytes() for k in range(16)])
 
-    got = texts.select("name", "text").mapInArrow(count, "kind string, key string, n long, m long, cells binary")
+    got = stored(texts.select("name", "text").mapInArrow(count, "kind string, key string, n long, m long, cells binary"))
     sums = got.filter("kind <> 'p'").groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
     n = sum(r[0] for r in got.filter("kind = 'n'").select("n").groupBy().sum("n").collect() if r[0])
     least = max(2, p.least_share * n)
