@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -18,12 +18,15 @@ NO_DATES = ["n/a", "na", "null", "none", "-", "---", "date received", "date", "r
 
 
 def month_number(name: Column) -> Column:
-    """1 to 12 for a month's full name, its first three letters, or `sept`."""
-    n = F.lower(name)
-    out = F.lit(None).cast("int")
-    for k, m in enumerate(MONTHS, 1):
-        out = F.when(n.isin(m, m[:3], *(["sept"] if k == 9 else [])), k).otherwise(out)
-    return out
+    """1 to 12 for a month's full name, its first three letters, `sept`, or its number; else null."""
+    named = {w: k for k, m in enumerate(MONTHS, 1) for w in (m, m[:3])} | {"sept": 9}
+    table = F.create_map(*[F.lit(x) for pair in sorted(named.items()) for x in pair])
+    return F.coalesce(F.try_element_at(table, F.lower(name)), name.try_cast("int"))
+
+
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value computed once: generated code would otherwise repeat it at each use."""
+    return F.transform(F.array(value), then)[0]
 
 
 def _day(y: Column, m: Column, d: Column) -> Column:
@@ -31,6 +34,14 @@ def _day(y: Column, m: Column, d: Column) -> Column:
     return F.format_string("%04d-%02d-%02d", y, m, d).try_cast("date")
 
 
+#: (form, the same as kind|year|month or quarter|day or second year|second quarter)
+DEADLINES = [
+    (r"(?i)^q([1-4]) ([0-9]{4}) ?[–—-] ?q([1-4]) ([0-9]{4})$", "quarters|$2|$1|$4|$3"), (r"(?i)^q([1-4]) ([0-9]{4})$", "quarter|$2|$1"), (r"(?i)^([0-9]{4}) q([1-4])$", "quarter|$1|$2"),
+    (r"^([0-9]{4})-([0-9]{2})-([0-9]{2})$", "day|$1|$2|$3"), (r"^([0-9]{1,2}) ([A-Za-z]+) ([0-9]{4})$", "day|$3|$2|$1"), (r"^([A-Za-z]+) ([0-9]{4})$", "month|$2|$1"),
+    (r"^([0-9]{4}) ?[–—-] ?([0-9]{4})$", "years|$1|1|$2|4"), (r"^([0-9]{4})$", "year|$1"), (r"(?i)^(annual|ongoing)\b[^0-9]*$", "$1"),
+]
+
+
 def deadline(c: Column) -> Column:
     """struct(precision, year, quarter, month, day, start, end) of a deadline, null if it is none.
 
@@ -38,44 +49,40 @@ def deadline(c: Column) -> Column:
     years, and the open ends `annual` and `ongoing` (only without digits). Day/month/year in
     figures is refused: its order is unknown.
     """
-    t = squeezed(c)
-    g = lambda p, k: F.nullif(F.regexp_extract(t, p, k), F.lit(""))
-    i = lambda p, k: g(p, k).cast("int")
-    none_i, none_d = F.lit(None).cast("int"), F.lit(None).cast("date")
-    def made(precision, start=none_d, end=none_d, year=none_i, quarter=none_i, month=none_i, day=none_i):
-        return F.struct(precision.alias("precision"), year.alias("year"), quarter.alias("quarter"), month.alias("month"), day.alias("day"), start.alias("start"), end.alias("end"))
-
-    first = lambda y, q: F.make_date(y, (q - 1) * 3 + 1, F.lit(1))
-    last = lambda y, q: F.last_day(F.make_date(y, q * 3, F.lit(1)))
-    one, twelve = F.lit(1), F.lit(12)
-    qr, q1, q2 = r"(?i)^q([1-4]) ([0-9]{4}) ?[–—-] ?q([1-4]) ([0-9]{4})$", r"(?i)^q([1-4]) ([0-9]{4})$", r"(?i)^([0-9]{4}) q([1-4])$"
-    iso, dmy, my, yr, y = r"^([0-9]{4})-([0-9]{2})-([0-9]{2})$", r"^([0-9]{1,2}) ([A-Za-z]+) ([0-9]{4})$", r"^([A-Za-z]+) ([0-9]{4})$", r"^([0-9]{4}) ?[–—-] ?([0-9]{4})$", r"^([0-9]{4})$"
-    p = F.lit
-    d_iso, d_dmy = _day(i(iso, 1), i(iso, 2), i(iso, 3)), _day(i(dmy, 3), month_number(g(dmy, 2)), i(dmy, 1))
-    m_first = F.make_date(i(my, 2), month_number(g(my, 1)), one)
-    return (
-        F.when(t.rlike(r"(?i)^(annual|ongoing)\b") & ~t.rlike("[0-9]"), made(F.lower(F.regexp_extract(t, r"(?i)^(annual|ongoing)\b", 1))))
-        .when(t.rlike(qr), made(p("range"), first(i(qr, 2), i(qr, 1)), last(i(qr, 4), i(qr, 3))))
-        .when(t.rlike(q1), made(p("quarter"), first(i(q1, 2), i(q1, 1)), last(i(q1, 2), i(q1, 1)), i(q1, 2), i(q1, 1)))
-        .when(t.rlike(q2), made(p("quarter"), first(i(q2, 1), i(q2, 2)), last(i(q2, 1), i(q2, 2)), i(q2, 1), i(q2, 2)))
-        .when(t.rlike(iso), F.when(d_iso.isNotNull(), made(p("day"), d_iso, d_iso, i(iso, 1), none_i, i(iso, 2), i(iso, 3))))
-        .when(t.rlike(dmy), F.when(d_dmy.isNotNull(), made(p("day"), d_dmy, d_dmy, i(dmy, 3), none_i, month_number(g(dmy, 2)), i(dmy, 1))))
-        .when(t.rlike(my), F.when(month_number(g(my, 1)).isNotNull(), made(p("month"), m_first, F.last_day(m_first), i(my, 2), none_i, month_number(g(my, 1)))))
-        .when(t.rlike(yr), made(p("range"), F.make_date(i(yr, 1), one, one), F.make_date(i(yr, 2), twelve, F.lit(31))))
-        .when(t.rlike(y), made(p("year"), F.make_date(i(y, 1), one, one), F.make_date(i(y, 1), twelve, F.lit(31)), i(y, 1)))
-    )
+    def read(t: Column) -> Column:
+        return F.split(F.lower(F.coalesce(*[F.when(t.rlike(p), F.regexp_replace(t, p, to)) for p, to in DEADLINES])), r"\|")
+
+    def fields(s: Column) -> Column:
+        part = lambda k: F.try_element_at(s, F.lit(k))
+        return F.struct(part(1).alias("k"), part(2).try_cast("int").alias("y"), month_number(part(3)).alias("x"), part(4).try_cast("int").alias("z"), part(5).try_cast("int").alias("w"))
+
+    def dated(f: Column) -> Column:
+        k, y, x, z, w = (f[n] for n in "kyxzw")
+        first = F.when(k.isin("quarter", "quarters"), F.make_date(y, x * 3 - 2, F.lit(1))).when(k == "day", _day(y, x, z)).when(k == "month", _day(y, x, F.lit(1))).when(k.isin("year", "years"), F.make_date(y, F.lit(1), F.lit(1)))
+        last = F.when(k == "quarter", F.last_day(F.make_date(y, x * 3, F.lit(1)))).when(k.isin("quarters", "years"), F.last_day(F.make_date(z, w * 3, F.lit(1)))).when(k == "day", first).when(k == "month", F.last_day(first)).when(k == "year", F.make_date(y, F.lit(12), F.lit(31)))
+        return F.struct(f.alias("f"), first.alias("start"), last.alias("end"))
+
+    def made(g: Column) -> Column:
+        f = g["f"]
+        only = lambda n, *kinds: F.when(f["k"].isin(*kinds), f[n])
+        return F.when(g["start"].isNotNull() | f["k"].isin("annual", "ongoing"), F.struct(
+            F.when(f["k"].isin("quarters", "years"), "range").otherwise(f["k"]).alias("precision"), only("y", "quarter", "day", "month", "year").alias("year"), only("x", "quarter").alias("quarter"),
+            only("x", "day", "month").alias("month"), only("z", "day").alias("day"), g["start"].alias("start"), g["end"].alias("end"),
+        ))
+
+    return bound(bound(bound(bound(squeezed(c), read), fields), dated), made)
 
 
 _NAME = r"([A-Za-z]{3,9})\.?"
-#: (pattern, positions of year, month, day)
+#: (form, the same as year|month|day), in the order in which they are tried; slashes may be month first.
 FORMS = [
-    (r"([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})", 1, 2, 3),
-    (rf"([0-9]{{1,2}})-{_NAME}-([0-9]{{4}}|[0-9]{{2}})", 3, 2, 1),
-    (r"([0-9]{1,2})\.([0-9]{1,2})\.'?([0-9]{4}|[0-9]{2})", 3, 2, 1),
-    (r"([0-9]{1,2})-([0-9]{1,2})-([0-9]{4}|[0-9]{2})", 3, 2, 1),
-    (r"([0-9]{1,2})/([0-9]{1,2})/([0-9]{4}|[0-9]{2})", 3, 2, 1),
-    (rf"{_NAME} ([0-9]{{1,2}}),? ([0-9]{{4}})", 3, 1, 2),
-    (rf"([0-9]{{1,2}})(?:st|nd|rd|th)? {_NAME},? ([0-9]{{4}})", 3, 2, 1),
+    (r"([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})", "$1|$2|$3"),
+    (rf"([0-9]{{1,2}})-{_NAME}-([0-9]{{4}}|[0-9]{{2}})", "$3|$2|$1"),
+    (r"([0-9]{1,2})\.([0-9]{1,2})\.'?([0-9]{4}|[0-9]{2})", "$3|$2|$1"),
+    (r"([0-9]{1,2})-([0-9]{1,2})-([0-9]{4}|[0-9]{2})", "$3|$2|$1"),
+    (r"([0-9]{1,2})/([0-9]{1,2})/([0-9]{4}|[0-9]{2})", "$3|$2|$1|swap"),
+    (rf"{_NAME} ([0-9]{{1,2}}),? ([0-9]{{4}})", "$3|$1|$2"),
+    (rf"([0-9]{{1,2}})(?:st|nd|rd|th)? {_NAME},? ([0-9]{{4}})", "$3|$2|$1"),
 ]
 
 
@@ -86,25 +93,23 @@ def date_cell(c: Column) -> Column:
     month, unless the month is impossible and the order is by slashes. Two-digit years up to 29 are of this
     century. Years outside 1900 to 2100, cells over 60 characters and cells without digits give null.
     """
-    t = squeezed(F.regexp_replace(stripped(c), r"^\*+", ""))
-    t = F.regexp_replace(t, r"\^\{?(st|nd|rd|th)\}?", "$1")
-    usable = (F.length(t) <= 60) & t.rlike("[0-9]") & ~F.lower(t).isin(NO_DATES)
-
-    def under(prefix: str) -> Column:
-        parts = []
-        for pattern, py, pm, pd_ in FORMS:
-            full = f"(?i){prefix}{pattern}(?![0-9A-Za-z])"
-            g = lambda k, full=full: F.nullif(F.regexp_extract(t, full, k), F.lit(""))
-            year, month, day = g(py), g(pm), g(pd_).try_cast("int")
-            y = F.when(F.length(year) == 2, year.try_cast("int") + F.when(year.try_cast("int") <= 29, 2000).otherwise(1900)).otherwise(year.try_cast("int"))
-            m = F.coalesce(month.try_cast("int"), month_number(F.substring(month, 1, 3)))
-            if "/" in pattern:
-                swap = (m > 12) & (day <= 12)
-                m, day = F.when(swap, day).otherwise(m), F.when(swap, m).otherwise(day)
-            parts.append(F.when(t.rlike(full), F.coalesce(F.when(y.between(1900, 2100), F.date_format(_day(y, m, day), "yyyy-MM-dd")), F.lit(""))))
-        return F.coalesce(*parts)
-
-    return F.when(usable, F.nullif(F.coalesce(under("^"), under(r"(?<![0-9A-Za-z])")), F.lit("")))
+    def read(t: Column) -> Column:
+        tries = [(f"(?is){before}{p}(?![0-9A-Za-z]).*$", to) for before in ("^", r"^.*?(?<![0-9A-Za-z])") for p, to in FORMS]
+        usable = (F.length(t) <= 60) & t.rlike("[0-9]") & ~F.lower(t).isin(NO_DATES)
+        return F.split(F.when(usable, F.coalesce(*[F.when(t.rlike(p), F.regexp_replace(t, p, to)) for p, to in tries])), r"\|")
+
+    def numbers(s: Column) -> Column:
+        y = s[0].try_cast("int")
+        year = F.when(F.length(s[0]) == 2, y + F.when(y <= 29, 2000).otherwise(1900)).otherwise(y)
+        month = F.coalesce(s[1].try_cast("int"), month_number(F.substring(s[1], 1, 3)))
+        return F.struct(year.alias("y"), month.alias("m"), s[2].try_cast("int").alias("d"), (F.size(s) == 4).alias("slashes"))
+
+    def dated(n: Column) -> Column:
+        swap = n["slashes"] & (n["m"] > 12) & (n["d"] <= 12)
+        return F.when(n["y"].between(1900, 2100), F.date_format(_day(n["y"], F.when(swap, n["d"]).otherwise(n["m"]), F.when(swap, n["m"]).otherwise(n["d"])), "yyyy-MM-dd"))
+
+    t = F.regexp_replace(squeezed(F.regexp_replace(stripped(c), r"^\*+", "")), r"\^\{?(st|nd|rd|th)\}?", "$1")
+    return bound(bound(bound(t, read), numbers), dated)
 
 
 @F.pandas_udf(StringType())
@@ -125,8 +130,8 @@ def _parsed_anyhow(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def date_cell_or_guess(c: Column) -> Column:
     """As date_cell(); what no form fits is left to a lenient parser (day first), in Arrow batches."""
-    rest = F.when(date_cell(c).isNull() & (F.length(c) <= 60) & c.rlike("[0-9]"), stripped(c))
-    return F.coalesce(date_cell(c), _parsed_anyhow(rest))
+    form = date_cell(c)
+    return F.coalesce(form, _parsed_anyhow(F.when(form.isNull() & (F.length(c) <= 60) & c.rlike("[0-9]"), stripped(c))))
 
 
 def date_issue(c: Column) -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from sedgeline.plans import problems
+from sedgeline.plans import cells, problems, relations
 
-MODULES = [problems]
-FLAGSHIP = "p7_counts"
+MODULES = [problems, cells, relations]
+FLAGSHIP = "body_status_fan_in"
 
 
 def queries() -> dict:
