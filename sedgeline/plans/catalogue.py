@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sedgeline.plans import cells, problems, relations
+from sedgeline.plans import cells, problems, relations, shapes
 
-MODULES = [problems, cells, relations]
+MODULES = [problems, cells, relations, shapes]
 FLAGSHIP = "body_status_fan_in"
 
 

@@ -345,4 +345,121 @@ def vocabulary_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (dedup_by_reference, dedup_documents_by_text, dedup_lineitem_keys, ordinal_suffix_ids, request_sequence_ids, assigned_name_ids, forward_filled_types, event_clusters, event_day_islands, order_intervals, order_parents, event_owners, league_table_top5, register_name_match, fuzzy_name_match, parent_overrides, body_status_fan_in, body_coverage, hierarchy_audit, file_attribution, snapshot_edition_pairs, register_vs_snapshot, status_distribution, quality_checks, orders_year_rollup, split_index, order_totals_reconciled, order_block_remainder, issue_triage, body_funnel, issue_tiers, candidate_ranking, column_cardinality, repeated_lines, weighted_language, extension_evaluation, publication_invariants, missing_order_keys, body_manifest, scoped_merge, page_changes, recheck_due, fetch_gaps, status_longest_contained, vocabulary_exact)}
-SQL: dict[str, str] = {}
+
+_W = r"[\s\p{Z}]"
+_STRIP = lambda c: f"regexp_replace({c}, '^{_W}+|{_W}+$', '', 'g')"
+_SQUEEZE = lambda c: f"trim(regexp_replace({c}, '{_W}+', ' ', 'g'), ' ')"
+_FOLD = lambda c: f"translate(lower({c}), '{text.ACCENTED}', '{text.PLAIN}')"
+_KEY = lambda c: rf"trim(regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace({_FOLD(c)}, '[(][^)]*[)]', ' ', 'g'), '&', ' and '), '[^a-z0-9]+', ' ', 'g'), '\bthe\b', ' ', 'g'), ' +', ' ', 'g'))"
+_SLUG = lambda c: f"regexp_replace(regexp_replace(replace({_FOLD(c)}, '&', ' and '), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')"
+_BLANK = lambda c: f"({c} is null or trim({c}, ' ') = '')"
+_STATUS = lambda c: rf"regexp_replace(lower(regexp_replace({_STRIP(f"replace({c}, '-', ' ')")}, '[\s\p{{Z}}_]+', ' ', 'g')), '[\s\p{{Z}}.:/]+$', '')"
+_BARE = lambda c: f"regexp_replace(replace(lower({_SQUEEZE(c)}), 'ß', 'ss'), '^[.,;: ]+|[.,;: ]+$', '', 'g')"
+
+
+def _current(name: str, key: str, version: str, keep: list[str], rows: str) -> str:
+    order = ", ".join(f"{c} desc nulls last" for c in [version, *keep])
+    return f"{name} as (select * from {rows} where {key} is not null qualify row_number() over (partition by {key} order by {order}) = 1)"
+
+
+_LAST = "(select * from public_body_snapshots where snapshot_no = (select max(snapshot_no) from public_body_snapshots))"
+_FAN_IN = f"""with {_current('cur', 'public_body_id', 'loaded_at', ['public_body_category'], 'public_bodies')},
+f as (select public_body_id, count(*) n, count(*) filter (date_added is not null) g from disclosure_files group by 1),
+r as (select public_body_id, count(*) n, count(*) filter (not {_BLANK('request_description')}) g from foi_disclosures group by 1),
+c as (select public_body_id, count(*) n, count(*) filter (contains(foi_email, '@')) g from public_body_snapshots group by 1),
+fan as (select cur.public_body_id, public_body_category, coalesce(f.g, 0) n_files, case when f.g > 0 then 'success' when f.n > 0 then 'failed' else 'not_attempted' end files_status,
+ coalesce(r.g, 0) n_requests, case when r.g > 0 then 'success' when r.n > 0 then 'failed' else 'not_attempted' end requests_status,
+ coalesce(c.g, 0) n_contacts, case when c.g > 0 then 'success' when c.n > 0 then 'failed' else 'not_attempted' end contacts_status
+ from cur left join f using (public_body_id) left join r using (public_body_id) left join c using (public_body_id))"""
+_CHECKS = {"no_description": _BLANK("request_description"), "no_date": _BLANK("decision_date"), "long_status": "length(decision_status) > 40", "no_reference": _BLANK("foi_reference_id"), "short_description": "length(request_description) < 20", "decided_before_received": "decision_date < date_received", "no_requester": _BLANK("requester_type")}
+_QUALITY = f"q as (select public_body_id, {', '.join(f'count(*) filter ({c}) {k}' for k, c in _CHECKS.items())}, {' + '.join(f'count(*) filter ({c})' for c in _CHECKS.values())} n_failed from foi_disclosures where public_body_id is not null group by 1 having n_failed >= 10)"
+_EXT = r"lower(regexp_extract(coalesce(file_url, ''), '[.]([A-Za-z0-9]{1,5})(?:[?#].*)?$', 1))"
+_SITE = r"regexp_replace(lower(regexp_extract(document_url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www[.]', '')"
+_XOR = "bit_xor(cast('0x' || substr(md5({}), 1, 15) as bigint))"
+
+SQL = {
+    "dedup_by_reference": f"""with t as (select id, public_body_id, case when coalesce(foi_reference_id, '') <> '' then {_STRIP('foi_reference_id')} end r, concat_ws(chr(31), {', '.join(f"trim(coalesce({c}, ''), ' ')" for c in ['file_url', *CLEAN[1:]])}) c from foi_disclosures)
+select min(id) id, public_body_id from t group by public_body_id, r, case when r is null then c end""",
+    "dedup_documents_by_text": "select min(doc_id) doc_id from documents group by text",
+    "dedup_lineitem_keys": "select * from lineitem qualify row_number() over (partition by l_orderkey, l_linenumber order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) = 1",
+    "ordinal_suffix_ids": f"""with t as (select p_partkey, {_SLUG('p_brand')} || '/' || {_SLUG('p_name')} i from part), n as (select *, row_number() over (partition by i order by p_partkey) n from t)
+select p_partkey, case when n = 1 then i else i || '-' || n end part_id from n""",
+    "request_sequence_ids": f"""with t as (select min(id) id, public_body_id, strftime(loaded_at, '%Y-%m') "month", md5({_SQUEEZE('lower(request_description)')}) d from foi_disclosures where public_body_id is not null and request_description is not null group by 2, 3, 4),
+n as (select *, row_number() over (partition by public_body_id, "month" order by id) n from t) select id, public_body_id, "month", 'r' || case when n < 1000 then lpad(cast(n as varchar), 3, '0') else cast(n as varchar) end request_no from n""",
+    "assigned_name_ids": f"""with k as (select distinct {_KEY('public_body_name')} k from public_bodies), n as (select distinct {_KEY('name')} k from foi_disclosures where name is not null)
+select k name_key, cast((select max(public_body_id) from public_bodies) + row_number() over (order by k) as bigint) body_id from n where k not in (select k from k where k is not null)""",
+    "forward_filled_types": f"select id, last_value(case when not {_BLANK('requester_type')} and trim(requester_type, ' ') not in ('-', '--') then requester_type end ignore nulls) over (partition by file_url order by id rows between unbounded preceding and current row) filled_type from foi_disclosures where file_url is not null",
+    "event_clusters": """with g as (select *, case when ts - lag(ts) over w <= interval 6 hour then 0 else 1 end f from events window w as (partition by user_id order by ts, event_id)), c as (select *, sum(f) over (partition by user_id order by ts, event_id rows unbounded preceding) c from g)
+select user_id, cast(c as bigint) cluster_no, count(*) n_events, min(ts) first_ts, max(ts) last_ts from c group by 1, 2""",
+    "event_day_islands": """with d as (select distinct user_id, date_diff('day', date '2024-01-01', cast(ts as date)) d from events), i as (select *, d - row_number() over (partition by user_id order by d) i from d)
+select user_id, cast(min(d) as int) first_day, cast(max(d) as int) last_day, count(*) n_days from i group by user_id, i""",
+    "order_intervals": "with t as (select o_custkey, o_orderkey, cast(left(o_orderpriority, 1) as int) l from orders) select a.o_orderkey, min(b.o_orderkey) interval_end from t a left join t b on b.o_custkey = a.o_custkey and b.o_orderkey > a.o_orderkey and b.l <= a.l group by 1",
+    "order_parents": "with t as (select o_custkey, o_orderkey, cast(left(o_orderpriority, 1) as int) l from orders) select a.o_orderkey, max(b.o_orderkey) parent_orderkey from t a left join t b on b.o_custkey = a.o_custkey and b.o_orderkey < a.o_orderkey and b.l < a.l group by 1",
+    "event_owners": "with p as (select user_id, ts, max(event_id) purchase_id from events where event_type = 'purchase' group by 1, 2) select e.event_id, p.purchase_id from events e asof left join p on e.user_id = p.user_id and e.ts >= p.ts",
+    "league_table_top5": """with s as (select user_id, strftime(ts, '%Y-%m-%d') period, case event_type when 'purchase' then 1.0 when 'click' then 0.5 else 0.0 end p from events),
+t as (select user_id, period, cast(sum(p) as double) points from s group by grouping sets ((user_id, period), (user_id)))
+select *, cast(row_number() over (partition by period order by points desc, user_id) as int) "rank" from t qualify "rank" <= 5""",
+    "register_name_match": f"""with k as (select {_KEY('public_body_name')} k, count(distinct public_body_id) n, min(public_body_id) i from public_bodies where public_body_name is not null group by 1 having k <> ''), q as (select name, count(*) n_rows, {_KEY('name')} k from foi_disclosures where name is not null group by name)
+select name, n_rows, case when n = 1 then 'exact' when n > 1 then 'ambiguous' else 'unmatched' end match_status, case when n = 1 then i end matched_id, coalesce(n, 0) n_candidates from q left join k using (k)""",
+    "parent_overrides": f"""with {_current('cur', 'public_body_id', 'loaded_at', ['parent_id'], 'public_bodies')}, {_current('o', 'public_body_id', 'exported_at', ['parent_id'], _LAST)}
+select cur.public_body_id, case when o.public_body_id is not null then o.parent_id else cur.parent_id end wins, coalesce(cur.parent_id, o.parent_id) fills from cur left join o on o.public_body_id = cur.public_body_id""",
+    "body_status_fan_in": f"{_FAN_IN} select * from fan",
+    "body_coverage": " union all ".join(
+        f"select '{n}' input, (select count(*) from b where k in (select k from {n})) n_covered, (select count(*) from b where k not in (select k from {n})) n_missing, (select count(*) from {n} where k not in (select k from b)) n_orphans"
+        for n in ("files", "requests", "contacts")
+    ).join(["with b as (select distinct public_body_id k from public_bodies where public_body_id is not null), files as (select distinct public_body_id k from disclosure_files where public_body_id is not null), requests as (select distinct public_body_id k from foi_disclosures where public_body_id is not null), contacts as (select distinct public_body_id k from public_body_snapshots where public_body_id is not null) ", ""]),
+    "hierarchy_audit": f"""with {_current('cur', 'public_body_id', 'loaded_at', ['parent_id', 'parent_name', 'public_body_name'], 'public_bodies')},
+j as (select c.public_body_id, c.parent_id, case when c.parent_id = c.public_body_id then 'self' when p.public_body_id is null then 'dangling' when {_KEY('c.parent_name')} <> {_KEY('p.public_body_name')} then 'name_mismatch' end issue from cur c left join cur p on p.public_body_id = c.parent_id where c.parent_id is not null)
+select * from j where issue is not null""",
+    "file_attribution": """with f as (select document_url file_url, count(distinct public_body_id) n, min(public_body_id) o from disclosure_files where document_url is not null group by 1)
+select case when n is null then 'unlisted' when n > 1 then 'several' when o = public_body_id then 'agrees' else 'other_body' end state, count(*) n_rows, count(distinct d.file_url) n_files from foi_disclosures d left join f on f.file_url = d.file_url group by 1""",
+    "snapshot_edition_pairs": "with t as (select distinct public_body_id, snapshot_no from public_body_snapshots where public_body_id is not null) select *, lag(snapshot_no) over (partition by public_body_id order by snapshot_no) previous_no from t qualify previous_no is not null",
+    "register_vs_snapshot": f"""with {_current('a', 'public_body_id', 'loaded_at', ['public_body_name'], 'public_bodies')}, {_current('b', 'public_body_id', 'exported_at', ['public_body_name'], _LAST)}
+select case when b.public_body_id is null then 'extra' when a.public_body_id is null then 'missing' when {_SQUEEZE('a.public_body_name')} is not distinct from {_SQUEEZE('b.public_body_name')} then 'equal' else 'different' end state, count(*) n_bodies from a full join b on a.public_body_id = b.public_body_id group by 1""",
+    "status_distribution": "select decision_status, review_status, count(*) n_rows from foi_disclosures group by 1, 2",
+    "quality_checks": f"with {_QUALITY} select * from q",
+    "orders_year_rollup": "select cast(year(o_orderdate) as int) \"year\", count(*) n_orders, cast(sum(cast(o_totalprice as decimal(18,2))) as double) total, count(distinct o_custkey) n_customers, cast(sum(case when o_orderstatus = 'F' then cast(o_totalprice as decimal(18,2)) else 0 end) as double) total_finished from orders group by 1",
+    "split_index": "select c_mktsegment segment, cast(year(o_orderdate) as int) \"year\", count(*) n_orders, cast(sum(cast(o_totalprice as decimal(18,2))) as double) total, min(year(o_orderdate)) || '-' || max(year(o_orderdate)) \"years\" from orders join customer on c_custkey = o_custkey group by grouping sets ((c_mktsegment), (cast(year(o_orderdate) as int)))",
+    "order_totals_reconciled": """with s as (select l_orderkey, sum(cast(l_extendedprice as decimal(18,2))) e from lineitem group by 1)
+select o_orderkey, cast(cast(o_totalprice as decimal(18,2)) as double) declared, cast(e as double) extracted, cast(e - cast(o_totalprice as decimal(18,2)) as double) delta, coalesce(abs(e - cast(o_totalprice as decimal(18,2))) > 0.005, true) withheld from orders left join s on l_orderkey = o_orderkey""",
+    "order_block_remainder": """with b as (select l_orderkey, l_returnflag, sum(cast(l_extendedprice as decimal(18,2))) e from lineitem group by 1, 2), d as (select b.*, case when l_returnflag <> 'N' then e end d, cast(o_totalprice as decimal(18,2)) t from b join orders on o_orderkey = l_orderkey),
+s as (select l_orderkey, sum(coalesce(d, 0)) s, count(*) - count(d) k from d group by 1),
+r as (select d.l_orderkey, l_returnflag, e, coalesce(d, case when k = 1 then t - s end) a, case when t is null then 'no_total' when k > 1 then 'several_undeclared' when t - s < 0 then 'over_declared' end p from d join s on s.l_orderkey = d.l_orderkey)
+select l_orderkey, l_returnflag, cast(a as double) amount, p problem, p is not null or not coalesce(a = e, false) withheld from r""",
+    "issue_triage": f"""with t as (select case when {_BLANK('decision_date')} then 'blank_date' when not regexp_full_match(decision_date, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') then 'other_form' end issue, public_body_id, file_type from foi_disclosures)
+select issue, public_body_id, file_type, count(*) n_rows, cast(sum(count(*)) over (partition by file_type, issue) as bigint) n_of_type from t where issue is not null group by 1, 2, 3""",
+    "body_funnel": f"""{_FAN_IN}, s as (select public_body_category, '1_listed' step from fan union all select public_body_category, '2_files' from fan where files_status = 'success' union all select public_body_category, '3_requests' from fan where files_status = 'success' and requests_status = 'success'),
+n as (select public_body_category, step, count(*) n_bodies from s group by 1, 2) select *, coalesce(lag(n_bodies) over (partition by public_body_category order by step) - n_bodies, 0) dropped from n""",
+    "issue_tiers": f"""with {_QUALITY}, s as (select public_body_id, n_failed + decided_before_received score from q), r as (select *, row_number() over (order by score desc, public_body_id) r, count(*) over () n from s)
+select public_body_id, score, case when r <= n // 3 then 'high' when r <= 2 * (n // 3) then 'medium' else 'low' end tier from r""",
+    "candidate_ranking": "with t as (select l_partkey, l_suppkey, count(*) n, min(l_extendedprice) p from lineitem group by 1, 2) select l_partkey, l_suppkey, n n_lines from t qualify row_number() over (partition by l_partkey order by n desc, p, l_suppkey) = 1",
+    "column_cardinality": """with t as (select file_type, 'decision_status' column_name, lower(trim(decision_status, ' ')) v from foi_disclosures union all select file_type, 'requester_type', lower(trim(requester_type, ' ')) from foi_disclosures union all select file_type, 'review_status', lower(trim(review_status, ' ')) from foi_disclosures),
+n as (select file_type, column_name, count(distinct v) n_distinct from t where v <> '' group by 1, 2) select * from n qualify row_number() over (partition by file_type order by n_distinct desc, column_name) = 1""",
+    "repeated_lines": r"""with l as (select source, doc_id, unnest(regexp_split_to_array(text, '\r?\n')) l from documents where text is not null), d as (select distinct source, doc_id, regexp_replace(trim(l, ' '), '[0-9]+', '9', 'g') line from l), a as (select source, count(*) n from documents where text is not null group by 1)
+select source, line, count(*) n_documents from d join a using (source) where line <> '' group by source, line, n having count(*) >= 2 and count(*) * 10 >= n""",
+    "weighted_language": "with n as (select source, lang, cast(sum(n_chars) as bigint) chars from documents group by 1, 2) select * from n qualify row_number() over (partition by source order by chars desc, lang asc nulls last) = 1",
+    "extension_evaluation": f"""with t as (select file_type g, {_EXT} s from foi_disclosures), k as (select g label, 1 a, 0 b, case when g = s then 1 else 0 end c from t union all select s, 0, 1, 0 from t),
+n as (select label, sum(a) n_gold, sum(b) n_said, sum(c) n_both from k where label is not null group by 1)
+select label, cast(n_gold as bigint) n_gold, cast(n_said as bigint) n_said, cast(n_both as bigint) n_both, n_both / nullif(n_said, 0) "precision", n_both / nullif(n_gold, 0) recall, 2 * n_both / (n_said + n_gold) f1 from n""",
+    "publication_invariants": """with r as (select 'lineitem_without_order' "rule", count(*) n_broken from lineitem where l_orderkey not in (select o_orderkey from orders)
+union all select 'order_without_customer', count(*) from orders where o_custkey not in (select c_custkey from customer)
+union all select 'duplicate_order_key', count(*) from (select 1 from orders group by o_orderkey having count(*) > 1)
+union all select 'duplicate_line', count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)
+union all select 'unknown_status', count(*) from orders where o_orderstatus not in ('F', 'O', 'P')
+union all select 'discount_out_of_range', count(*) from lineitem where l_discount < 0 or l_discount > 1) select * from r where n_broken > 0""",
+    "missing_order_keys": "with k as (select distinct o_orderkey k from orders), n as (select k, lead(k) over (order by k) n from k) select k + 1 first_missing, n - 1 last_missing from n where n > k + 1",
+    "body_manifest": f"select public_body_id, count(*) n_rows, strftime(min(loaded_at), '%Y-%m-%d') first_day, strftime(max(loaded_at), '%Y-%m-%d') last_day, {_XOR.format("concat_ws('|', cast(id as varchar), file_url)")} digest from foi_disclosures where public_body_id is not null group by 1",
+    "scoped_merge": "with s as (select distinct o_custkey from orders where o_orderstatus = 'F' and o_custkey % 3 = 0) select o_custkey, o_orderkey, case when o_custkey in (select o_custkey from s) then lower(o_orderstatus) else o_orderstatus end o_orderstatus from orders",
+    "page_changes": f"""with t as (select distinct source_page_url p, document_url d, loaded_at < timestamp '2024-07-01 00:00:00' old from disclosure_files where source_page_url is not null and document_url is not null),
+b as (select p, {_XOR.format('d')} x from (select distinct p, d from t where old) group by 1), n as (select p, {_XOR.format('d')} x from (select distinct p, d from t) group by 1)
+select case when b.p is null then 'new' when n.p is null then 'gone' when b.x = n.x then 'unchanged' else 'changed' end state, count(*) n_pages from b full join n on b.p = n.p group by 1""",
+    "recheck_due": f"with {_current('cur', 'public_body_id', 'loaded_at', [], 'public_bodies')} select public_body_id from cur where coalesce(date_diff('day', cast(loaded_at as date), date '2025-06-30') > 180, true)",
+    "fetch_gaps": f"""with h as (select id, string_split({_SITE}, '.') l, loaded_at from disclosure_files), t as (select id, case when len(l) < 2 then '' when len(l) >= 3 and length(l[-1]) = 2 and l[-2] in ('co', 'ac', 'org', 'net', 'com') then array_to_string(l[-3:], '.') else array_to_string(l[-2:], '.') end site, loaded_at from h),
+g as (select site, loaded_at - lag(loaded_at) over (partition by site order by loaded_at, id) g from t) select site, count(*) n_close from g where g < interval 1 minute group by 1""",
+    "status_longest_contained": rf"""with v as (select distinct regexp_replace({_STATUS('s')}, '[^\p{{L}}\p{{N}}]+', ' ', 'g') s, label from (select label, unnest(list_append(also_known_as, label)) s from vocab_entries where field_name = 'decision_status')),
+t as (select decision_status, count(*) n_rows, ' ' || regexp_replace({_STATUS('decision_status')}, '[^\p{{L}}\p{{N}}]+', ' ', 'g') || ' ' p from foi_disclosures where decision_status is not null group by decision_status)
+select decision_status, n_rows, label canonical from t left join v on contains(p, ' ' || s || ' ') qualify row_number() over (partition by decision_status order by length(s) desc, label, s) = 1""",
+    "vocabulary_exact": f"""with v as (select distinct field_name, label, {_BARE('s')} k from (select field_name, label, unnest(list_append(also_known_as, label)) s from vocab_entries)),
+t as (select 'requester_type' field_name, {_BARE('requester_type')} k from foi_disclosures union all select 'decision_status', {_BARE('decision_status')} from foi_disclosures)
+select field_name, label, count(*) n_rows from t join v using (field_name, k) where k <> '' group by 1, 2""",
+}
