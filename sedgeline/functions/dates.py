@@ -125,7 +125,7 @@ def _parsed_anyhow(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
     for s in values:
         known = {v: one(v) for v in s.dropna().unique()}
-        yield s.map(known)
+        yield pd.Series([known.get(v) for v in s], dtype=object)
 
 
 def date_cell_or_guess(c: Column) -> Column:

@@ -9,12 +9,12 @@ from urllib.parse import urljoin
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 
 def step_json(spark: SparkSession, path: str, schema: StructType, field: str = "results") -> DataFrame:
     """The records under one field of JSON documents; bad documents give none."""
-    whole = StructType().add("_", "string").add(field, f"array<{schema.simpleString()}>")
+    whole = StructType().add("_", "string").add(field, ArrayType(schema))
     return spark.read.schema(whole).option("multiLine", True).json(path).select(F.explode(field).alias("r")).select("r.*")
 
 
@@ -29,7 +29,7 @@ def csv_contract(spark: SparkSession, path: str, header: list[str], encoding: st
     A byte order mark is no part of the header. All columns are strings.
     """
     first = spark.read.option("encoding", encoding).text(path).limit(1).collect()
-    got = next(iter(spark.read.option("encoding", encoding).csv(spark.sparkContext.parallelize([first[0][0].lstrip("﻿")])).collect()), []) if first else []
+    got = next(iter(spark.read.option("encoding", encoding).csv(spark.sparkContext.parallelize([first[0][0].lstrip("\ufeff")])).collect()), []) if first else []
     if list(got) != header:
         raise ValueError(f"header is {list(got)}, the contract says {header}")
     schema = StructType()

@@ -12,7 +12,7 @@ from sedgeline.functions.urls import loggable_url
 def json_line(columns: list[str]) -> Column:
     """A row as one line of JSON, keys in this order, nulls kept out, line separators escaped."""
     line = F.to_json(F.struct(*columns))
-    return F.replace(F.replace(line, F.lit(" "), F.lit("\\u2028")), F.lit(" "), F.lit("\\u2029"))
+    return F.replace(F.replace(line, F.lit("\u2028"), F.lit("\\u2028")), F.lit("\u2029"), F.lit("\\u2029"))
 
 
 def write_parts(df: DataFrame, path: str, key: str, order: str, columns: list[str], rows_per_file: int = 1_000_000) -> None:
