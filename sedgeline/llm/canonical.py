@@ -217,7 +217,7 @@ def mapped_values(rows: DataFrame, key: str, fields: list[str], reference: DataF
         held, freq = shared.value
         known = {f: Resolver(x, {label: freq.get((f, label), 0) for label in x}, p) for f, x in held.items()}
         for b in batches:
-            b["label"] = [known[f](v) for f, v in zip(b["field_name"], b["value"])]
+            b["label"] = pd.Series([known[f](v) for f, v in zip(b["field_name"], b["value"])], index=b.index, dtype=object)
             yield b
 
     return cells.filter(~as_written).mapInPandas(resolve, f"id {cells.schema['id'].dataType.simpleString()}, field_name string, value string, label string").withColumnRenamed("id", key)

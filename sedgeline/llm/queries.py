@@ -80,4 +80,8 @@ def p3_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_unmatched, p4_found, p4_classes, p8_packs, p8_fill, p9_found, p9_leaks, p10_found, p10_documents, p10_segments)}
 
-SQL: dict[str, str] = {}
+SQL = {
+    "p9_found": r"""with d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w from documents where text is not null), i as (select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w from eval_items),
+dg as (select doc_id, w, unnest(range(1, len(w) - 8)) k from d), ig as (select item_id, w, unnest(range(1, len(w) - 8)) k from i)
+select distinct doc_id, item_id from (select doc_id, array_to_string(w[k:k + 9], ' ') g from dg) a join (select item_id, array_to_string(w[k:k + 9], ' ') g from ig) b using (g)""",
+}
