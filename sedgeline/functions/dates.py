@@ -145,3 +145,26 @@ def latest_deadline(text: Column) -> Column:
     return F.array_max(found)
 
 
+
+
+def link_date(c: Column) -> Column:
+    """The date in a link's text or address: ISO, `5 May 2024`, or a run of eight figures (day first); null if none."""
+    def tried(t: Column) -> Column:
+        tries = [(r"(?is)^.*?(?<![0-9])([0-9]{4})[-_/]([0-9]{2})[-_/]([0-9]{2})(?![0-9]).*$", "$1|$2|$3"), (rf"(?is)^.*?(?<![0-9])([0-9]{{1,2}})(?:st|nd|rd|th)?[ _%20.-]+{_NAME}[ _%20,.-]+([0-9]{{4}})(?![0-9]).*$", "$3|$2|$1"), (r"(?s)^.*?(?<![0-9])([0-3][0-9])([01][0-9])((?:19|20)[0-9]{2})(?![0-9]).*$", "$3|$2|$1")]
+        return F.split(F.coalesce(*[F.when(t.rlike(p), F.regexp_replace(t, p, to)) for p, to in tries]), r"\|")
+
+    return bound(bound(c, tried), lambda s: _day(s[0].try_cast("int"), month_number(s[1]), s[2].try_cast("int")))
+
+
+def resolved_date(upstream: Column, stated: Column, text: Column, lines: int = 15) -> Column:
+    """A meeting's date: the upstream one, else the stated one, else day and month from the top lines with a year that stands there too."""
+    top = F.array_join(F.slice(F.split(text, r"\r?\n"), 1, lines), " ")
+    day = F.regexp_extract(top, rf"(?i)(?<![0-9])([0-9]{{1,2}})(?:st|nd|rd|th)?\s+(?:of\s+)?({'|'.join(MONTHS)})\b", 1).try_cast("int")
+    month = F.regexp_extract(top, rf"(?i)(?<![0-9])[0-9]{{1,2}}(?:st|nd|rd|th)?\s+(?:of\s+)?({'|'.join(MONTHS)})\b", 1)
+    year = F.regexp_extract(top, r"\b((?:19|20)[0-9]{2})\b", 1).try_cast("int")
+    return F.coalesce(upstream, stated, _day(year, month_number(month), day))
+
+
+def year_quarter(c: Column) -> Column:
+    """struct(year, quarter) of a strict `Qn yyyy`, else null."""
+    return F.when(c.rlike("^Q[1-4] [0-9]{4}$"), F.struct(F.right(c, F.lit(4)).cast("int").alias("year"), F.substring(c, 2, 1).cast("int").alias("quarter")))
