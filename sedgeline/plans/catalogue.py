@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sedgeline.plans import cells, problems, relations, shapes
+from sedgeline.plans import cells, problems, relations, shapes, structure
 
-MODULES = [problems, cells, relations, shapes]
+MODULES = [problems, cells, relations, shapes, structure]
 FLAGSHIP = "body_status_fan_in"
 
 
