@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedgeline.runtime import cut
+
 
 def keep_first(df: DataFrame, keys: list[Column], order: list[str]) -> DataFrame:
     """The first row of each key in the given order, null being a key like any other.
@@ -39,11 +41,11 @@ def assigned_ids(known: DataFrame, new: DataFrame, key: str, ident: str) -> Data
     The numbering is spread: keys are range-partitioned, counted per partition, and each
     partition numbers its own from its offset (a table with one row per partition).
     """
-    top = known.agg(F.coalesce(F.max(ident), F.lit(0)).cast("bigint").alias("_top"))
+    top = known.agg(F.coalesce(F.max(ident), F.lit(0)).cast("bigint")).first()[0]
     fresh = new.select(key).filter(F.col(key).isNotNull()).distinct().join(known.select(key).distinct(), key, "left_anti")
-    ranged = fresh.repartitionByRange(key).withColumn("_part", F.spark_partition_id())
+    ranged = cut(fresh.repartitionByRange(key).withColumn("_part", F.spark_partition_id()))  # its borders come from a sample: read twice, made once
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).select("_part", "_offset")
     n = F.row_number().over(Window.partitionBy("_part").orderBy(key))
-    return ranged.withColumn("_rank", n).join(F.broadcast(offsets), "_part").crossJoin(F.broadcast(top)).select(key, (F.col("_top") + F.col("_offset") + F.col("_rank")).alias(ident))
+    return ranged.withColumn("_rank", n).join(F.broadcast(offsets), "_part").select(key, (F.lit(top) + F.col("_offset") + F.col("_rank")).alias(ident))

@@ -67,10 +67,10 @@ def priority_tiers(df: DataFrame, score: str, order: list[str]) -> DataFrame:
     Ranks come from counts per distinct score (a small table), so the rows are not sorted in one
     task; only the ties at a border are.
     """
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
+    n = df.count()
     above = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, -1)
     steps = df.groupBy(score).agg(F.count(F.lit(1)).alias("_k")).withColumn("_above", F.coalesce(F.sum("_k").over(above), F.lit(0))).drop("_k")
     tied = F.row_number().over(Window.partitionBy(score).orderBy(*order))
-    third = F.floor(F.col("_n") / 3)
+    third = n // 3
     at = F.col("_above") + F.col("_tied")
-    return df.withColumn("_tied", tied).join(steps, score).crossJoin(F.broadcast(n)).withColumn("tier", F.when(at <= third, "high").when(at <= 2 * third, "medium").otherwise("low")).drop("_tied", "_above", "_n")
+    return df.withColumn("_tied", tied).join(steps, score).withColumn("tier", F.when(at <= third, "high").when(at <= 2 * third, "medium").otherwise("low")).drop("_tied", "_above")

@@ -47,7 +47,7 @@ class SnapshotIndex:
         remove_path(self.spark, self.path)
 
 
-def snapshot_changes(snapshots: DataFrame, number: str, key: str, version: str, values: Mapping[str, Column], buckets: int = 16, most_snapshots: int = 10_000) -> DataFrame:
+def snapshot_changes(snapshots: DataFrame, number: str, key: str, version: str, values: Mapping[str, Column], buckets: int | None = None, most_snapshots: int = 10_000) -> DataFrame:
     """Added, removed and changed keys of each snapshot against the one numbered one less.
 
     Within a snapshot the row with the greatest version holds. Rows with a null key or
@@ -60,6 +60,9 @@ def snapshot_changes(snapshots: DataFrame, number: str, key: str, version: str,
     """
     spark = snapshots.sparkSession
     names = list(values)
+    if buckets is None:  # about a million keys each
+        largest = snapshots.groupBy(number).count().agg(F.max("count")).first()[0] or 0
+        buckets = max(16, -(-largest // 1_000_000))
     numbers = sorted(r[0] for r in bounded_rows(snapshots.filter(F.col(number).isNotNull()).select(number).distinct(), most_snapshots, "snapshot numbers"))
     last: SnapshotIndex | None = None
     last_no, paths = None, []

@@ -104,7 +104,26 @@ a as (select n.* from s n join nos b on b.snapshot_no = n.snapshot_no - 1),
 b as (select o.snapshot_no + 1 snapshot_no, o.public_body_id, o.w, o.e from s o join nos n on n.snapshot_no = o.snapshot_no + 1),
 j as (select coalesce(a.snapshot_no, b.snapshot_no) snapshot_no, coalesce(a.public_body_id, b.public_body_id) public_body_id, a.public_body_id is null gone, b.public_body_id is null fresh, a.w aw, a.e ae, b.w bw, b.e be from a full join b on a.snapshot_no = b.snapshot_no and a.public_body_id = b.public_body_id)"""
 
+_MASK = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(v, '\p{Nd}', '9', 'g'), '[\p{Ll}\p{Lm}\p{Lo}]+', 'a', 'g'), '[\p{Lu}\p{Lt}]+', 'A', 'g'), '\s+', ' ', 'g')"
+_TEXT_MASK = r"concat(case when regexp_matches(v, '\p{Lu}') then 'A' else '' end, case when regexp_matches(v, '\p{Ll}') then 'a' else '' end, case when regexp_matches(v, '\p{Nd}') then '9' else '' end, case when regexp_matches(v, '[\r\n]') then '¶' else '' end, case when regexp_matches(v, '[^\p{L}\p{Nd}\s\p{P}\p{Sc}]') then '?' else '' end)"
+_PROFILED = f"""with cells as (
+ select feed_id, load_no, loaded_at, 'decision_date' column_name, 'date' kind, decision_date v from foi_disclosures
+ union all select feed_id, load_no, loaded_at, 'requester_type', 'code', requester_type from foi_disclosures
+ union all select feed_id, load_no, loaded_at, 'request_description', 'text', request_description from foi_disclosures),
+c as (select *, v is null or trim(v, ' ') = '' blank, case when kind = 'text' then {_TEXT_MASK} else {_MASK} end mask, case when kind = 'text' then {_TEXT_MASK} else v end shown,
+ case when regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') then try_cast(v as date) end d from cells)"""
+
 SQL = {
+    "p2_profile": f"""{_PROFILED}, t as (select feed_id, load_no, column_name, shown, count(*) n from c where not blank group by all), m as (select feed_id, load_no, column_name, max(n) top from t group by all)
+select c.feed_id, c.load_no, c.column_name, c.kind, count(*) n_rows, count(*) filter (blank) n_blank, count(*) filter (not blank) n_values, count(distinct shown) filter (not blank) n_distinct, min(shown) filter (not blank) least_value, max(shown) filter (not blank) greatest_value,
+ count(*) filter (not blank and d is not null) n_real_dates, count(*) filter (not blank and contains(mask, '9')) n_with_digit, count(*) filter (c.kind = 'date' and (d < date '1998-01-01' or d > cast(loaded_at as date))) n_outside, coalesce(any_value(top), 0) n_top,
+ cast(coalesce(sum(length(v)) filter (not blank), 0) as bigint) sum_len, min(length(v)) filter (not blank) least_len, max(length(v)) filter (not blank) most_len from c left join m on m.feed_id = c.feed_id and m.load_no = c.load_no and m.column_name = c.column_name group by 1, 2, 3, 4""",
+    "p2_mask_drift": f"""{_PROFILED}, n as (select feed_id f, load_no l, column_name k, mask, count(*) n from c where not blank and feed_id is not null and load_no is not null group by all),
+s as (select *, n / sum(n) over (partition by f, l, k) p, sum(n) over (partition by f, l, k) total from n),
+j as (select coalesce(a.f, b.f) f, coalesce(a.l, b.l + 1) l, coalesce(a.k, b.k) k, coalesce(a.p, 0) p, coalesce(b.p, 0) q from s a full join s b on b.f = a.f and b.l = a.l - 1 and b.k = a.k and b.mask = a.mask),
+e as (select f, l, k, sum((case when p > 0 then p * log2(p / ((p + q) / 2)) else 0 end + case when q > 0 then q * log2(q / ((p + q) / 2)) else 0 end) / 2) js from j group by all)
+select s.f feed_id, s.l load_no, s.k column_name, arg_max(mask, (n, mask)) dominant_mask, max(p) dominant_share, count(*) n_masks, cast(coalesce(sum(n) filter (p < 0.01), 0) as bigint) n_rare_mask,
+ case when exists (select 1 from s b where b.f = s.f and b.l = s.l - 1 and b.k = s.k) then any_value(js) else 0.0 end divergence from s join e on e.f = s.f and e.l = s.l and e.k = s.k group by s.f, s.l, s.k""",
     "p2_found": r"""with cells as (
  select feed_id, load_no, loaded_at, 'decision_date' column_name, 'date' kind, decision_date v from foi_disclosures
  union all select feed_id, load_no, loaded_at, 'requester_type', 'code', requester_type from foi_disclosures
