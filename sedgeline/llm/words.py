@@ -23,8 +23,16 @@ def word_hash(word: str) -> int:
 _ASCII = bytes(i if chr(i).isalnum() and i < 128 else 32 for i in range(256))
 
 
+# Frequent signs outside ASCII that are no part of words.
+_SIGNS = "€–—’‘“”•"
+
+
 def words_of(text: str) -> list[str]:
     """The words of a text, in lower case."""
+    if not text.isascii():
+        for sign in _SIGNS:
+            if sign in text:
+                text = text.replace(sign, " ")
     if text.isascii():  # the same words, by a table instead of an expression
         return text.lower().encode().translate(_ASCII).decode().split()
     return WORD.findall(text.lower())
