@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sedgeline.runtime import cut
 
 
-def tree_paths(nodes: DataFrame, key: str, parent: str, most_rounds: int = 400) -> DataFrame:
+def tree_paths(nodes: DataFrame, key: str, parent: str, most_rounds: int = 400, most_parts: int = 8) -> DataFrame:
     """Root, depth and path of every node; circles and what hangs below them are marked.
 
     nodes: one row per key (null keys and repeated rows are dropped; of several parents of a
@@ -29,18 +29,18 @@ def tree_paths(nodes: DataFrame, key: str, parent: str, most_rounds: int = 400)
     ids = nodes.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("v")).agg(F.min(parent).alias("p"))
     known = ids.select(F.col("v").alias("p"), F.lit(True).alias("_known"))
     edges = ids.join(known, "p", "left").select(
-        "v", F.when(F.col("_known"), F.col("p")).alias("p"), F.col("v").cast("string").alias("label"), F.col("v").alias("least")
+        "v", F.when(F.col("_known"), F.col("p")).alias("p"), F.col("v").cast("string").alias("label"), F.col("v").alias("least"), F.lit(0).alias("round")
     )
     live = cut(edges)
     recorded: list[DataFrame] = []
-    for r in range(most_rounds):
+    for _ in range(most_rounds):
         if live.filter(F.col("p").isNotNull() & (F.col("p") != F.col("v"))).isEmpty():
             break
         first = live.filter(F.col("p").isNotNull()).groupBy(F.col("p").alias("v")).agg(F.lit(True).alias("_inner"))
         marked = live.join(first, "v", "left").withColumn("_leaf", F.col("_inner").isNull() & F.col("p").isNotNull()).drop("_inner")
         left = marked.filter(~F.col("_leaf"))
         unary = left.filter(F.col("p").isNotNull()).groupBy(F.col("p").alias("v")).agg(F.count(F.lit(1)).alias("_n"), F.min("v").alias("_child")).filter("_n = 1")
-        coin = lambda c: F.pmod(F.xxhash64(c, F.lit(r)), F.lit(2))
+        coin = lambda c: F.pmod(F.xxhash64(c, F.col("round")), F.lit(2))
         marked = marked.join(unary, "v", "left").withColumn(
             "_spliced",
             ~F.col("_leaf") & F.col("_n").isNotNull() & F.col("p").isNotNull() & (F.col("p") != F.col("v")) & (F.col("_child") != F.col("v")) & (coin(F.col("v")) == 1) & (coin(F.col("p")) == 0),
@@ -53,10 +53,11 @@ def tree_paths(nodes: DataFrame, key: str, parent: str, most_rounds: int = 400)
             F.when(F.col("_up").isNotNull() & ~F.col("_leaf"), F.concat_ws("/", "_above", "label")).otherwise(F.col("label")).alias("label"),
             F.when(F.col("_up").isNotNull() & ~F.col("_leaf"), F.least("_least", "least")).otherwise(F.col("least")).alias("least"),
             F.when(F.col("_leaf"), "leaf").when(F.coalesce("_spliced", F.lit(False)), "spliced").otherwise("live").alias("state"),
+            (F.col("round") + 1).alias("round"),  # a column, not a literal: all rounds share their generated code
         )
         tagged = cut(tagged)
         recorded.append(tagged.filter("state <> 'live'").select("v", "p", "label", "state"))
-        live = tagged.filter("state = 'live'").select("v", F.coalesce("_up", "p").alias("p"), "label", "least")
+        live = tagged.filter("state = 'live'").select("v", F.coalesce("_up", "p").alias("p"), "label", "least", "round")
     else:
         raise RuntimeError(f"contraction did not end within {most_rounds} rounds")
     circle = F.col("p").isNotNull()
@@ -82,6 +83,8 @@ def tree_paths(nodes: DataFrame, key: str, parent: str, most_rounds: int = 400)
                 F.when(good, F.concat_ws("/", "_path", "label")).otherwise(F.lit("cycle")).alias("path"),
             )
             parts.append(cut(part))
+            if len(parts) > most_parts:  # keeps the plans short
+                parts = [cut(reduce(DataFrame.unionByName, parts))]
     return reduce(DataFrame.unionByName, parts).select(F.col("v").alias(key), "root", "depth", "path")
 
 
