@@ -57,7 +57,7 @@ class LanguageModel:
     bits: int = 16
     sample_docs: int = 300
     epochs: int = 8
-    regularisation: float = 1e-4
+    regularisation: float = 1e-3
     refits: int = 2
     least_words: int = 6
 
@@ -74,12 +74,12 @@ class Machines:
 
 
 def features(word: str, bits: int) -> list[int]:
-    """Hashed features of a word: itself and its 1- to 4-letter pieces with its ends marked."""
+    """Hashed features of a word: itself and its two- and three-letter pieces with its ends marked."""
     core = EDGE.sub("", word.lower())
     if not core or not any(ch.isalpha() for ch in core) or any(ch.isdigit() for ch in core):
         return []
     marked = f"<{core}>"
-    pieces = {"w" + core} | {marked[i : i + n] for n in (1, 2, 3, 4) for i in range(len(marked) - n + 1)}
+    pieces = {"w" + core} | {marked[i : i + n] for n in (2, 3) for i in range(len(marked) - n + 1)}
     return sorted({xxhash.xxh32_intdigest(p.encode("utf-8", "surrogatepass")) >> (32 - bits) for p in pieces})
 
 
@@ -107,9 +107,12 @@ def labelled_sample(documents: DataFrame, p: LanguageModel) -> list[tuple[str, s
     return [(r[0], r[1]) for r in sorted(rows, key=lambda r: (r[0], r[2]))]
 
 
-def _fit(x: list[np.ndarray], y: np.ndarray, groups: list[list[int]], pairs: list[tuple[int, int]], p: LanguageModel) -> np.ndarray:
-    """Averaged Pegasos for each pair of groups of labels; x: feature numbers of each sentence."""
-    out = np.zeros((1 << p.bits, len(pairs)), np.float32)
+def _fit(x: list[np.ndarray], y: np.ndarray, groups: list[list[int]], pairs: list[tuple[int, int]], epochs: int, last: np.ndarray | None, p: LanguageModel) -> np.ndarray:
+    """Averaged Pegasos for each pair of groups of labels; x: feature numbers of each sentence.
+
+    A pair of which one side has no sentence keeps the machine of the last fit.
+    """
+    out = np.zeros((1 << p.bits, len(pairs)), np.float32) if last is None else last.copy()
     rng = np.random.default_rng(5)
     for m, (a, b) in enumerate(pairs):
         ia, ib = np.flatnonzero(np.isin(y, groups[a])), np.flatnonzero(np.isin(y, groups[b]))
@@ -117,17 +120,20 @@ def _fit(x: list[np.ndarray], y: np.ndarray, groups: list[list[int]], pairs: lis
             continue
         n = min(max(len(ia), len(ib)), 4 * min(len(ia), len(ib)), 4000)
         w, total, scale, t = np.zeros(1 << p.bits), np.zeros(1 << p.bits), 1.0, 0
-        for _ in range(p.epochs):
-            for k, sign in rng.permutation([*[(i, 1) for i in rng.choice(ia, n)], *[(i, -1) for i in rng.choice(ib, n)]]):
+        signs = np.repeat([1.0, -1.0], n)
+        for _ in range(epochs):
+            rows = np.concatenate([rng.choice(ia, n), rng.choice(ib, n)])
+            order = rng.permutation(2 * n)
+            for k, sign in zip(rows[order].tolist(), signs[order].tolist()):
                 t += 1
                 f = x[k]
-                norm = 1 / np.sqrt(len(f))
+                norm = len(f) ** -0.5
                 step = 1 / (p.regularisation * (t + 1000))
                 scale *= 1 - step * p.regularisation
                 if sign * scale * w[f].sum() * norm < 1:
                     w[f] += sign * step * norm / scale
             total += scale * w
-        out[:, m] = total / p.epochs
+        out[:, m] = total / epochs
     return out
 
 
@@ -155,8 +161,11 @@ def train(sample: list[tuple[str, str]], p: LanguageModel) -> Machines:
             whole.append(np.array([n for w in words for n in memo[w]], np.int64))
     y, para = np.array(y, np.int64), np.array(para, np.int64)
     singles = [[i] for i in range(len(codes))]
+    first = second = None
     for k in range(p.refits + 1):
-        w = np.concatenate([_fit(x, y, families, family_pairs, p), _fit(x, y, singles, inner_pairs, p)], axis=1)
+        epochs = p.epochs if k == p.refits else p.epochs // 2  # earlier fits need only tell whole paragraphs apart
+        first, second = _fit(x, y, families, family_pairs, epochs, first, p), _fit(x, y, singles, inner_pairs, epochs, second, p)
+        w = np.concatenate([first, second], axis=1)
         m = Machines(codes, families, family_pairs, inner_pairs, w)
         if k < p.refits and len(y):
             said, _ = decide(m, np.stack([w[f].sum(axis=0) / np.sqrt(max(len(f), 1)) for f in whole]))
