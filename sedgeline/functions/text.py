@@ -143,8 +143,10 @@ def tokens(c: Column) -> Column:
 def has_keyword(c: Column, keyword: str) -> Column:
     """The keyword as a whole word; case counts only for all-capital two-letter keywords."""
     literal = "".join("\\" + ch if not ch.isalnum() and ch != " " else ch for ch in keyword)
-    case = "" if keyword.isupper() and len(keyword) <= 2 else "(?i)"
-    return c.rlike(rf"{case}(^|[^\p{{L}}\p{{N}}_]){literal}($|[^\p{{L}}\p{{N}}_])")
+    exact = keyword.isupper() and len(keyword) <= 2
+    case = "" if exact else "(?i)"
+    somewhere = F.contains(c if exact else F.lower(c), F.lit(keyword if exact else keyword.lower()))  # cheap, and false for most
+    return somewhere & c.rlike(rf"{case}(^|[^\p{{L}}\p{{N}}_]){literal}($|[^\p{{L}}\p{{N}}_])")
 
 
 def verification_tier(c: Column, strong: list[str], weak: list[str]) -> Column:
