@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedgeline.functions import dates, documents, urls
+from sedgeline.functions import dates, documents, text, urls
 from sedgeline.operators import pages, records, texts
 from sedgeline.operators.references import current_rows
 from sedgeline.runtime import table
@@ -93,3 +93,38 @@ j as (select r.i, r.doc_id, e.title from r left join e on e.doc_id = r.doc_id an
 select title "section", count(*) n_references, count(distinct doc_id) n_documents from j group by 1""",
     "repaired_orders": "select o_orderkey, case when o_orderstatus = 'P' then 'F' else o_orderstatus end o_orderstatus from orders where not (coalesce(o_orderstatus, '') = 'P' and not starts_with(o_orderpriority, '1'))",
 }
+
+
+def document_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The date that the top lines of each document name: a day and month, with a year that stands there."""
+    d = table(spark, sf_dir, "documents").filter("text is not null")
+    none = F.lit(None).cast("date")
+    return d.select("doc_id", dates.resolved_date(none, none, F.col("text")).alias("top_date")).filter("top_date is not null")
+
+
+def status_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON object of each body's contact states."""
+    cur = current_rows(table(spark, sf_dir, "public_bodies"), "public_body_id", "loaded_at", ["website_url_status", "foi_email_status"])
+    return cur.select("public_body_id", documents.status_object({"website": F.col("website_url_status"), "email": F.col("foi_email_status")}).alias("status"))
+
+
+def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length and digest of each document as running text, words cut at line ends healed."""
+    t = table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", text.joined_lines(F.split("text", r"\r?\n")).alias("joined"))
+    return t.select("doc_id", F.length("joined").alias("n_joined"), F.md5("joined").alias("digest"))
+
+
+QUERIES |= {f.__name__: f for f in (document_dates, status_objects, joined_lines)}
+
+_MONTHS = "|".join(dates.MONTHS)
+_TOP = rf"array_to_string(regexp_split_to_array(text, '\r?\n')[1:15], ' ')"
+_DAY = rf"(?i)(?:^|[^0-9])([0-9]{{1,2}})(?:st|nd|rd|th)?\s+(?:of\s+)?({_MONTHS})\b"
+SQL |= {
+    "document_dates": rf"""with t as (select doc_id, {_TOP} t from documents where text is not null), p as (select doc_id, try_cast(regexp_extract(t, '{_DAY}', 1) as int) d, lower(regexp_extract(t, '{_DAY}', 2)) m, try_cast(regexp_extract(t, '\b((?:19|20)[0-9]{{2}})\b', 1) as int) y from t),
+q as (select doc_id, try_cast(printf('%04d-%02d-%02d', y, list_position(['{"', '".join(dates.MONTHS)}'], m), d) as date) top_date from p where m <> '' and y is not null and d is not null) select * from q where top_date is not null""",
+    "status_objects": f"""with {_CUR.format('website_url_status desc nulls last, foi_email_status desc nulls last')}
+select public_body_id, '{{' || concat_ws(',', '"website":"' || website_url_status || '"', '"email":"' || foi_email_status || '"') || '}}' status from cur""",
+    "joined_lines": r"""with l as (select doc_id, list_filter(list_transform(regexp_split_to_array(text, '\r?\n'), lambda x: regexp_replace(x, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')), lambda x: x <> '') a from documents where text is not null),
+j as (select doc_id, case when len(a) = 0 then '' else list_reduce(a, lambda a, x: case when regexp_matches(a, '\p{L}-$') and regexp_matches(x, '^\p{Ll}') then a[:-2] || x else a || ' ' || x end) end j from l)
+select doc_id, cast(length(j) as int) n_joined, md5(j) digest from j""",
+}
