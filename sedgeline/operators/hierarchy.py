@@ -23,6 +23,8 @@ def tree_paths(nodes: DataFrame, key: str, parent: str, most_rounds: int = 400,
     id. What can't be raked contracts to a node that is its own parent: a circle. The
     recorded contractions are then undone in reverse order, each by a join with its parent.
 
+    Other columns are ignored. An empty table gives no rows.
+
     Returns key, root, depth, path; on and below a circle root is the least id on the
     circle, depth -1 and path `cycle`.
     """

@@ -44,7 +44,10 @@ def value_counts(rows: DataFrame, keys: list[str], columns: Mapping[str, str], l
 
     columns maps each profiled column to its kind: `date`, `code` or `text`. One row of the
     input becomes one per column; the map side combines equal values, so a load or value with
-    a third of all rows reaches the shuffle as a few rows per task.
+    a third of all rows reaches the shuffle as a few rows per task. Null and blank cells are
+    counted as blank, null keys are a group of their own (load_findings() leaves it out), repeated
+    rows count as often as they occur, texts count in full length, an empty table gives no
+    rows, and columns that are not named here are ignored, whatever they are called.
     """
     day = F.to_date(F.col(loaded_at))
     cells = []
@@ -96,7 +99,8 @@ def load_findings(profile: DataFrame, feed: str, load: str) -> DataFrame:
     """Findings of each load, alone or against the load numbered one less in its feed.
 
     Shares are over non-blank values (blank_shift: over rows); a share of nothing gives no
-    finding. Rows without feed or load number are left out.
+    finding. Rows without feed or load number are left out. Of equally frequent values any has the
+    same share, so ties do not matter. An empty profile gives no findings.
     """
     w = Window.partitionBy(feed, "column_name").orderBy(load)
     p = profile.filter(F.col(feed).isNotNull() & F.col(load).isNotNull())
@@ -121,6 +125,8 @@ def mask_drift(counts: DataFrame, feed: str, load: str, rare_share: float = 0.01
     Jensen-Shannon divergence (base 2, 0 to 1) of its masks from those of the load before.
 
     A mask is rare when it holds less than rare_share of the column's values in that load.
+    Of equally frequent masks the greatest is called dominant. Without a load before, the
+    divergence is 0; a load without values has no row.
     """
     by = [feed, load, "column_name"]
     m = masked(counts).filter(~F.col("is_blank") & F.col(feed).isNotNull() & F.col(load).isNotNull()).groupBy(*by, "mask").agg(F.sum("n").alias("n"))

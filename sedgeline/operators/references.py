@@ -37,8 +37,8 @@ def faulty_references(references: list[DataFrame], parents: DataFrame, key: str,
     key is one row. Only keys that can be faulty are joined back to the rows.
 
     Null references, and rows without a key of their own, give no rows. A null time can be
-    judged only for `missing`; its period is an empty string. Repeated rows of a key
-    give one row each.
+    judged only for `missing`; its period is an empty string. Equal rows give one row.
+    Without parents every reference is missing; without references there are no rows.
     """
     rows = reduce(DataFrame.unionByName, references)
     keys = rows.groupBy("fk").agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"))

@@ -50,7 +50,8 @@ class SnapshotIndex:
 def snapshot_changes(snapshots: DataFrame, number: str, key: str, version: str, values: Mapping[str, Column], buckets: int | None = None, most_snapshots: int = 10_000) -> DataFrame:
     """Added, removed and changed keys of each snapshot against the one numbered one less.
 
-    Within a snapshot the row with the greatest version holds. Rows with a null key or
+    Within a snapshot the row with the greatest version holds, of equal versions the one with
+    the greatest values. Values are compared in full length; other columns are ignored; an empty table gives no rows. Rows with a null key or
     number are left out. A snapshot whose predecessor is absent yields nothing. The index of
     the last snapshot is kept, probed by the new one, then replaced by it; the changes of
     each step are written before the old index goes.
