@@ -302,7 +302,12 @@ def document_languages(documents: DataFrame, p: LanguageModel = LanguageModel())
 
 
 def mislabelled_paragraphs(documents: DataFrame, p: LanguageModel = LanguageModel()) -> DataFrame:
-    """Paragraphs of at least least_words words whose language is not the one the label names."""
+    """Paragraphs of at least least_words words whose language is not the one the label names.
+
+    A label that is null, empty or names no known language names none: all such paragraphs of the
+    document come out. Paragraphs without a judged word do not. Null ids and texts give no rows, equal rows
+    one; other columns are ignored; texts are read in full, however long.
+    """
     labels = documents.filter("doc_id is not null").select("doc_id", named_language(F.col("lang")).alias("named")).distinct()
     paras = paragraph_languages(documents, p).filter((F.col("n_words") >= p.least_words) & F.col("language").isNotNull())
     return paras.join(labels, "doc_id").filter(F.col("named").isNull() | (F.col("named") != F.col("language"))).select("doc_id", "para_no", "language", "confidence").distinct()

@@ -99,7 +99,7 @@ def leaked_items(documents: DataFrame, items: DataFrame, p: Leaks = Leaks(), mos
 
     documents: doc_id, text; items: item_id, text. Words are runs of letters or digits in
     lower case, so breaks and punctuation do not count. Items and texts that are null or
-    shorter than the seed match nothing; equal rows give one row. Items are a stated query
+    shorter than the seed match nothing; equal rows give one row; other columns are ignored. Items are a stated query
     set: they are searched in blocks against all documents, whole texts, without a cap.
     """
     rows = bounded_rows(items.select("item_id", "text").filter("item_id is not null and text is not null").distinct(), most_items, "test items")

@@ -426,7 +426,7 @@ def repaired_texts(rows: DataFrame, key: str, name: str, text: str, p: ScanRepai
     """key, kinds (sorted array of noise kinds found), repaired (continuous text), for each non-null text.
 
     Rows with a null key or text give none; repeated rows repeat; an empty text is repaired to
-    an empty text. Whole texts are read, however long.
+    an empty text. Whole texts are read, however long; other columns are ignored; an empty table gives no rows.
     """
     texts = rows.select(F.col(key).alias("id"), F.col(name).alias("name"), F.col(text).alias("text")).filter("id is not null and text is not null")
     shared = rows.sparkSession.sparkContext.broadcast(statistics(texts, p))

@@ -43,7 +43,7 @@ def brute_pairs(rows, size, threshold, least):
     sets = {}
     for i, t in rows:
         w = words.words_of(t or "")
-        if len(w) >= least:
+        if i is not None and len(w) >= least:
             sets[i] = {tuple(w[k : k + size]) for k in range(len(w) - size + 1)}
     ids = sorted(sets)
     return {(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b])}
@@ -54,6 +54,7 @@ def test_near_duplicates_against_brute_force(spark):
     rows = list(enumerate(variants(rng, 60)))
     rows += [(1000, None), (1001, ""), (1002, "too short"), (1003, rows[0][1]), (1004, rows[0][1].upper() + "!"), (1004, rows[0][1].upper() + "!")]
     rows += [(1005, "long " * 20_000), (1006, "long " * 20_001)]
+    rows += [(None, rows[0][1])]
     p = near_duplicates.NearDuplicates(shingle=3, threshold=0.5, least_words=10)
     df = spark.createDataFrame(rows, "id long, text string").withColumn("name", F.lit("clash")).withColumn("a", F.lit(1))
     got = [tuple(r) for r in near_duplicates.near_duplicate_pairs(df, p).collect()]
