@@ -40,6 +40,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def clear_stored(spark: SparkSession) -> None:
+    """Delete what stored() and the snapshot indexes left in the shared folder; results that still read it end with it."""
+    remove_path(spark, f"{shared_dir(spark)}/sedgeline")
+
+
 def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     """Collect a table that must be small by its nature; refuse beyond the stated bound."""
     rows = df.limit(limit + 1).collect()
