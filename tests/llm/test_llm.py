@@ -102,7 +102,7 @@ def test_large_family_of_variants(spark):
 def test_estimate_follows_similarity(spark):
     p = near_duplicates.NearDuplicates(shingle=1, threshold=0.5, least_words=1, hashes=256, bits=2)
     a, b = " ".join(f"k{i}" for i in range(150)), " ".join(f"k{i}" for i in range(50, 200))
-    s = near_duplicates.signatures(spark.createDataFrame([(1, a), (2, b)], "id long, text string"), p)
+    s = near_duplicates.signatures(near_duplicates.signed_and_counted(spark.createDataFrame([(1, a), (2, b)], "id long, text string"), p))
     x, y = (s.filter(F.col("id") == i).select(*[F.col(f"s{k}").alias(f"{n}s{k}") for k in range(8)]) for i, n in ((1, "a_"), (2, "b_")))
     assert x.crossJoin(y).select(near_duplicates.estimated_similarity(p, "a_", "b_")).first()[0] == pytest.approx(0.5, abs=0.12)
 
