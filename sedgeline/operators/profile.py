@@ -7,7 +7,7 @@ everything after the first aggregation works on masks and groups, not on rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +29,19 @@ def text_mask(c: Column) -> Column:
     return F.concat(has(r"\p{Lu}", "A"), has(r"\p{Ll}", "a"), has(r"\p{Nd}", "9"), has(r"[\r\n]", "¶"), has(r"[^\p{L}\p{Nd}\s\p{P}\p{Sc}]", "?"))
 
 
+def form_mask(c: Column) -> Column:
+    """For long texts: the mask without lengths. A run of digits becomes one `9`, white space with a line
+    break `¶`, and words of one form in a row (small, capital, capitalised, digits) count as one."""
+    out = F.regexp_replace(c, r"\p{Nd}+", "9")
+    out = F.regexp_replace(out, r"[\p{Lu}\p{Lt}]+", "A")
+    out = F.regexp_replace(out, r"[\p{L}&&[^A]]+", "a")
+    out = F.regexp_replace(out, r"\s*[\r\n]\s*", "¶")
+    out = F.regexp_replace(out, r"\s+", " ")
+    for form in ("a", "A", "9", "Aa"):
+        out = F.regexp_replace(out, rf"\b{form}( {form})+\b", form)
+    return out
+
+
 def blank(c: Column) -> Column:
     """Null, empty or spaces only."""
     return c.isNull() | (F.trim(c) == "")
@@ -65,19 +78,52 @@ def value_counts(rows: DataFrame, keys: list[str], columns: Mapping[str, str], l
     )
 
 
-def masked(counts: DataFrame) -> DataFrame:
-    """value_counts() with the mask of each distinct value."""
-    return counts.withColumn("mask", F.when(F.col("kind") == "text", F.col("value")).otherwise(mask(F.col("value"))))
+def masked(counts: DataFrame, of_text: Callable[[Column], Column] = lambda c: c) -> DataFrame:
+    """Counts with the mask of each distinct value; of_text makes it for long texts (value_counts() has done so)."""
+    return counts.withColumn("mask", F.when(F.col("kind") == "text", of_text(F.col("value"))).otherwise(mask(F.col("value"))))
+
+
+def whole_value_counts(rows: DataFrame, keys: list[str], columns: Mapping[str, str], loaded_at: str) -> DataFrame:
+    """Counts per keys, column and value, long texts included: one row per value, with its mask.
+
+    As value_counts(), but a value is always itself, never its mask, whatever its length: distinct
+    counts, ranges and most frequent values are exact. The map side combines equal values; what
+    follows from the value (length, mask) is worked out once per distinct value, behind the shuffle.
+    """
+    day = F.to_date(F.col(loaded_at))
+    names = list(columns)
+    cells = []
+    for i, name in enumerate(names):
+        v = F.col(name).cast("string")
+        out = F.lit(False)
+        if columns[name] == "date":
+            out = F.coalesce((real_date(v) < F.lit("1998-01-01").cast("date")) | (real_date(v) > day), F.lit(False))
+        cells.append(F.struct(F.lit(i).alias("_no"), F.when(~blank(v), v).alias("value"), (out & ~blank(v)).cast("int").alias("_out")))
+    at = lambda of: F.element_at(F.array(*[F.lit(x) for x in of]), F.col("_no") + 1)
+    length = F.coalesce(F.length("value"), F.lit(0)).cast("bigint")
+    counted = rows.select(*keys, F.inline(F.array(*cells))).groupBy(*keys, "_no", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("_out").alias("n_outside"))
+    return masked(
+        counted.select(
+            *keys, at(names).alias("column_name"), at(columns.values()).alias("kind"), F.col("value").isNull().alias("is_blank"), "value", "n", "n_outside",
+            (F.col("n") * length).alias("len"), length.alias("least_len"), length.alias("most_len"),
+        ),
+        form_mask,
+    )
 
 
 def column_profile(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Per keys and column: rows, blanks, distinct values, ranges, masks and the figures that the checks use."""
+    n_outside = F.sum(F.when(F.col("outside"), F.col("n")).otherwise(0))
+    per_value = masked(counts).groupBy(*keys, "column_name", "kind", "is_blank", "value", "mask").agg(F.sum("n").alias("n"), F.sum("len").alias("len"), F.min("least_len").alias("least_len"), F.max("most_len").alias("most_len"), n_outside.alias("n_outside"))
+    return value_profile(per_value, keys)
+
+
+def value_profile(per_value: DataFrame, keys: list[str]) -> DataFrame:
+    """column_profile() of counts that have one row per value, as whole_value_counts() gives them."""
     by = [*keys, "column_name", "kind"]
-    m = masked(counts)
     date_form = (F.col("mask") == "9999-99-99") & real_date(F.col("value")).isNotNull()
     filled = ~F.col("is_blank")
     n_if = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
-    per_value = m.groupBy(*by, "is_blank", "value", "mask").agg(F.sum("n").alias("n"), F.sum("len").alias("len"), F.min("least_len").alias("least_len"), F.max("most_len").alias("most_len"), n_if(F.col("outside")).alias("n_outside"))
     return per_value.groupBy(*by).agg(
         F.sum("n").alias("n_rows"),
         n_if(F.col("is_blank")).alias("n_blank"),
@@ -129,7 +175,7 @@ def mask_drift(counts: DataFrame, feed: str, load: str, rare_share: float = 0.01
     divergence is 0; a load without values has no row.
     """
     by = [feed, load, "column_name"]
-    m = masked(counts).filter(~F.col("is_blank") & F.col(feed).isNotNull() & F.col(load).isNotNull()).groupBy(*by, "mask").agg(F.sum("n").alias("n"))
+    m = (counts if "mask" in counts.columns else masked(counts)).filter(~F.col("is_blank") & F.col(feed).isNotNull() & F.col(load).isNotNull()).groupBy(*by, "mask").agg(F.sum("n").alias("n"))
     total = m.groupBy(*by).agg(F.sum("n").alias("_all"), F.max_by("mask", F.struct("n", "mask")).alias("dominant_mask"), F.max("n").alias("_most"))
     share = m.join(total, by).withColumn("p", F.col("n") / F.col("_all"))
     before = share.select(feed, (F.col(load) + 1).alias(load), "column_name", "mask", F.col("p").alias("q"))

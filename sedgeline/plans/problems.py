@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedgeline.operators.hierarchy import tree_descendants, tree_paths
-from sedgeline.operators.profile import column_profile, load_findings, mask_drift, value_counts
+from sedgeline.operators.profile import column_profile, load_findings, mask_drift, value_counts, value_profile, whole_value_counts
 from sedgeline.operators.references import current_rows, fault_counts, faulty_references, reference_rows
 from sedgeline.operators.snapshots import plain_url, plain_value, snapshot_changes
 from sedgeline.runtime import table
 
 PROFILED = {"decision_date": "date", "requester_type": "code", "request_description": "text"}
 
+WHOLE = PROFILED
+
 
 def _profiled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return value_counts(table(spark, sf_dir, "foi_disclosures"), ["feed_id", "load_no"], PROFILED, "loaded_at")
@@ -30,6 +32,20 @@ def p2_mask_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask_drift(_profiled(spark, sf_dir), "feed_id", "load_no")
 
 
+def _whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whole_value_counts(table(spark, sf_dir, "foi_disclosures"), ["feed_id", "load_no"], WHOLE, "loaded_at")
+
+
+def p2_whole_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As p2_profile, with the values of long texts themselves, not their masks."""
+    return value_profile(_whole(spark, sf_dir), ["feed_id", "load_no"])
+
+
+def p2_whole_mask_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As p2_mask_drift, with masks of long texts that show their form."""
+    return mask_drift(_whole(spark, sf_dir), "feed_id", "load_no")
+
+
 def _current_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = table(spark, sf_dir, "public_bodies")
     return current_rows(bodies, "public_body_id", "loaded_at", ["parent_id", "first_listed_at", "removed_at"])
@@ -76,7 +92,7 @@ def p7_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fault_counts(p7_found(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_profile, p2_mask_drift, p5_found, p5_descendants, p6_found, p6_changed_values, p7_found, p7_counts)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_profile, p2_mask_drift, p2_whole_profile, p2_whole_mask_drift, p5_found, p5_descendants, p6_found, p6_changed_values, p7_found, p7_counts)}
 
 _CURRENT = "cur as (select public_body_id, loaded_at, parent_id, first_listed_at, removed_at from public_bodies where public_body_id is not null qualify row_number() over (partition by public_body_id order by loaded_at desc nulls last, parent_id desc nulls last, first_listed_at desc nulls last, removed_at desc nulls last) = 1)"
 _TREE = """, edge as (select c.public_body_id v, p.public_body_id p from cur c left join cur p on p.public_body_id = c.parent_id),
@@ -112,6 +128,12 @@ _PROFILED = f"""with cells as (
  union all select feed_id, load_no, loaded_at, 'request_description', 'text', request_description from foi_disclosures),
 c as (select *, v is null or trim(v, ' ') = '' blank, case when kind = 'text' then {_TEXT_MASK} else {_MASK} end mask, case when kind = 'text' then {_TEXT_MASK} else v end shown,
  case when regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') then try_cast(v as date) end d from cells)"""
+_FORM_MASK = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(v, '\p{Nd}+', '9', 'g'), '[\p{Ll}\p{Lm}\p{Lo}]+', 'a', 'g'), '[\p{Lu}\p{Lt}]+', 'A', 'g'), '\s*[\r\n]\s*', '¶', 'g'), '\s+', ' ', 'g')"
+for _form in ("a", "A", "9", "Aa"):
+    _FORM_MASK = rf"regexp_replace({_FORM_MASK}, '\b{_form}( {_form})+\b', '{_form}', 'g')"
+_WHOLE = f"""with cells as ({' union all '.join(f"select feed_id, load_no, loaded_at, '{c}' column_name, '{kind}' kind, cast({c} as varchar) v from foi_disclosures" for c, kind in WHOLE.items())}),
+c as (select *, v is null or trim(v, ' ') = '' blank, case when kind = 'text' then {_FORM_MASK} else {_MASK} end mask, v shown,
+ case when regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') then try_cast(v as date) end d from cells)"""
 
 SQL = {
     "p2_profile": f"""{_PROFILED}, t as (select feed_id, load_no, column_name, shown, count(*) n from c where not blank group by all), m as (select feed_id, load_no, column_name, max(n) top from t group by all)
@@ -154,3 +176,4 @@ union all select snapshot_no, public_body_id, 'foi_email', be, ae from j where a
     "p7_found": f"{_FAULTS} select source_table, row_key, period, reason from found where reason is not null and row_key is not null",
     "p7_counts": f"{_FAULTS} select source_table, period, reason, count(*) n_references from found where reason is not null and row_key is not null group by all",
 }
+SQL |= {f"p2_whole_{q}": SQL[f"p2_{q}"].replace(_PROFILED, _WHOLE) for q in ("profile", "mask_drift")}

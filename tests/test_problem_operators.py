@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sedgeline.operators.hierarchy import tree_descendants, tree_paths
-from sedgeline.operators.profile import column_profile, load_findings, mask, mask_drift, value_counts
+from sedgeline.operators.profile import column_profile, form_mask, load_findings, mask, mask_drift, value_counts, value_profile, whole_value_counts
 from sedgeline.operators.references import current_rows, fault_counts, faulty_references, reference_rows
 from sedgeline.operators.snapshots import plain_url, plain_value, snapshot_changes
 
@@ -60,6 +60,23 @@ def test_mask_drift(spark):
     assert got[2, "d"]["divergence"] == pytest.approx(1.0) and got[2, "c"]["divergence"] == 0.0
 
 
+def test_whole_texts(spark):
+    texts = [f"Please send record {i} of the council." for i in range(100)]
+    rows = _load(1, 1, [None] * 100, ["A"] * 100, texts) + _load(1, 2, [None] * 100, ["A"] * 100, texts[:99] + ["please send: record 7 (of the council)"])
+    counts = whole_value_counts(spark.createDataFrame(rows, ROWS), ["feed", "load"], KINDS, "at")
+    got = {(r["load"], r["column_name"]): r for r in value_profile(counts, ["feed", "load"]).collect()}
+    assert got[1, "t"]["n_distinct"] == 100 and got[1, "t"]["n_top"] == 1
+    assert (got[1, "t"]["least_value"], got[1, "t"]["greatest_value"]) == (min(texts), max(texts))
+    moved = {(r["load"], r["column_name"]): r for r in mask_drift(counts, "feed", "load", rare_share=0.02).collect()}
+    assert moved[1, "t"]["dominant_mask"] == "Aa a 9 a." and moved[1, "t"]["n_rare_mask"] == 0
+    assert moved[2, "t"]["n_rare_mask"] == 1 and moved[2, "t"]["divergence"] > 0
+
+
+def test_form_mask(spark):
+    df = spark.createDataFrame([("Dear Sir,\r\n send 2,000 of FOI ACT Form 12 13",), ("",), (None,)], "v string")
+    assert [r[0] for r in df.select(form_mask(F.col("v"))).collect()] == ["Aa,¶a 9,9 a A Aa 9", "", None]
+
+
 def brute_tree(parents):
     out = {}
     for v in parents:
