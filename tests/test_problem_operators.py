@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from sedgeline.operators.hierarchy import tree_descendants, tree_paths
 from sedgeline.operators.profile import column_profile, form_mask, load_findings, mask, mask_drift, value_counts, value_profile, whole_value_counts
 from sedgeline.operators.references import current_rows, fault_counts, faulty_references, reference_rows
@@ -72,6 +73,13 @@ def test_whole_texts(spark):
     assert moved[2, "t"]["n_rare_mask"] == 1 and moved[2, "t"]["divergence"] > 0
 
 
+def test_every_column_is_profiled(spark):
+    folder = "/root/testdata/sf0.001"
+    columns = set(spark.read.parquet(f"{folder}/foi_disclosures.parquet").columns)
+    for q in ("p2_whole_profile", "p2_whole_mask_drift"):
+        assert {r[0] for r in contract.queries()[q](spark, folder).select("column_name").distinct().collect()} == columns
+
+
 def test_form_mask(spark):
     df = spark.createDataFrame([("Dear Sir,\r\n send 2,000 of FOI ACT Form 12 13",), ("",), (None,)], "v string")
     assert [r[0] for r in df.select(form_mask(F.col("v"))).collect()] == ["Aa,¶a 9,9 a A Aa 9", "", None]
