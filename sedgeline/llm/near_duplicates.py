@@ -1,11 +1,12 @@
 """Near-duplicate records by b-bit MinHash over word shingles.
 
 1. A count-min sketch of fixed size counts all shingles of all texts. Shingles in more than
-   `common_share` of the texts (and `least_common` of them) are common. Candidates are based on
-   a text's other shingles, as long as those are `rare_share` of it; else (the variants of one
-   text may be a third of all rows, and their shingles common for that) on all of them.
-2. Each text gives `bands` keys, each of `rows` minima. Keys travel to their shard packed, as
-   bytes; in a shard equal keys give candidate pairs. A text is named by the hash of its
+   `common_share` of the texts (and `least_common` of them) are common. A text's other shingles give
+   its band keys, the more of them the greater its share of common ones, so that what the common
+   ones take from the similarity of two texts costs no recall. Texts with `common_limit` or more of
+   common shingles (as in a large family of variants) have keys over all their shingles besides.
+2. Each key is made of `rows` minima (`full_rows` over all shingles). Keys travel to their shard
+   packed, as bytes; in a shard equal keys give candidate pairs. A text is named by the hash of its
    words, so any number of copies of a text is one candidate (combined per batch before the
    shuffle and again in the shard).
 3. Candidates meet packed signatures: the lowest `bits` bits of `hashes` minima over all
@@ -14,8 +15,9 @@
    threshold is kept.
 4. What is left is checked exactly on the texts.
 
-The band keys decide recall: a pair whose shingles so chosen have Jaccard similarity s is found
-with probability 1 - (1 - s**rows)**bands. Nothing is capped or sampled.
+The band keys decide recall: a pair at the threshold is found with probability
+1 - (1 - threshold**rows)**bands at least, whatever part of its texts is common; more bands are
+taken where needed for that. Nothing is capped or sampled.
 """
 
 from __future__ import annotations
@@ -50,7 +52,8 @@ class NearDuplicates:
     deviations: float = 3.0
     common_share: float = 0.01
     least_common: int = 100
-    rare_share: float = 0.5
+    common_limit: float = 0.25
+    full_rows: int = 5
     sketch_rows: int = 3
     sketch_bits: int = 18
     shard_entries: int = 1_000_000
@@ -112,11 +115,55 @@ def common_shingles(counted: DataFrame, p: NearDuplicates) -> tuple[int, np.ndar
     return n, _unpacked(cells).reshape(p.sketch_rows, -1) > max(p.common_share * n, p.least_common)
 
 
+SHARES = np.arange(0, 1.001, 0.025)
+
+
+def _bands_for(p: NearDuplicates, rows: int, similarity: float) -> int:
+    """Bands of so many rows that miss a pair of this similarity no oftener than p.bands of p.rows one at the threshold."""
+    miss = p.bands * math.log1p(-min(p.threshold, 1 - 1e-9) ** p.rows)
+    return math.ceil(miss / math.log1p(-min(similarity, 1 - 1e-9) ** rows) - 1e-9)
+
+
+def _needed_bands(p: NearDuplicates) -> np.ndarray:
+    """Per step of SHARES, up to common_limit: the bands over rare shingles for a text with at most that share of common ones.
+
+    Two texts share at most a part x of their union in common shingles, x the lesser of their shares, so a
+    pair at the threshold t has rare sets of similarity (t - x) / (1 - x) at least.
+    """
+    x = np.minimum(SHARES, p.common_limit)
+    return np.array([_bands_for(p, p.rows, (p.threshold - v) / (1 - v)) for v in x])
+
+
+def _distinct_counts(h: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """Different shingles of each text; text rises."""
+    order = np.lexsort((h, text))
+    a, b = h[order], text[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return np.bincount(b[new], minlength=n)
+
+
+def _band_keys(h: np.ndarray, text: np.ndarray, rows: int, bands: range, multipliers: np.ndarray) -> np.ndarray:
+    """Keys (band by text) of the texts whose shingles are given; text rises."""
+    minima = _minima(h, np.flatnonzero(np.diff(text, prepend=-1)), multipliers).astype(np.uint64)
+    keys = np.empty((len(bands), minima.shape[1]), np.uint64)
+    with np.errstate(over="ignore"):
+        for i, k in enumerate(bands):
+            x = np.full(minima.shape[1], k + 1, np.uint64)
+            for r in range(rows):
+                x = mixed(x * np.uint64(0x9E3779B97F4A7C15) + minima[i * rows + r])
+            keys[i] = x
+    return keys
+
+
 def candidate_pairs(texts: DataFrame, p: NearDuplicates, n: int, common: np.ndarray) -> DataFrame:
     """Pairs of text names (a < b) that share a band key; a pair may occur once per shard."""
     shards = max(1, math.ceil(n * p.bands / p.shard_entries))
     shared = texts.sparkSession.sparkContext.broadcast(np.packbits(common))
-    multipliers = _multipliers(11, p.rows * p.bands)
+    needed = _needed_bands(p)
+    levels = [int(x) for x in np.unique(needed)]
+    full_bands = _bands_for(p, p.full_rows, p.threshold)
+    multipliers, full_multipliers = _multipliers(11, p.rows * levels[-1]), _multipliers(37, p.full_rows * full_bands)
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = np.unpackbits(shared.value).astype(bool).reshape(common_shape)
@@ -127,20 +174,22 @@ def candidate_pairs(texts: DataFrame, p: NearDuplicates, n: int, common: np.ndar
             names, first = np.unique(_class_ids(words), return_index=True)
             words = [words[i] for i in first]
             h, counts = shingle_hashes(*hashed_batch(words), p.shingle)
-            keep = ~np.logical_and.reduce([hot[r][_cells(h, r, p.sketch_bits)] for r in range(p.sketch_rows)])
             text = np.repeat(np.arange(len(words)), counts)
-            rare = np.bincount(text[keep], minlength=len(words))
-            keep |= (rare < p.rare_share * counts)[text]  # mostly common, as in a large family of variants: all count
-            rare = np.bincount(text[keep], minlength=len(words))
-            minima = _minima(h[keep], _starts(rare), multipliers).astype(np.uint64)
-            keys = np.empty((p.bands, len(words)), np.uint64)
-            with np.errstate(over="ignore"):
-                for k in range(p.bands):
-                    x = np.full(len(words), k + 1, np.uint64)
-                    for r in range(p.rows):
-                        x = mixed(x * np.uint64(0x9E3779B97F4A7C15) + minima[k * p.rows + r])
-                    keys[k] = x
-            keys, ents = keys.ravel(), np.tile(names, p.bands)
+            rare = ~np.logical_and.reduce([hot[r][_cells(h, r, p.sketch_bits)] for r in range(p.sketch_rows)])
+            n_all, n_rare = _distinct_counts(h, text, len(words)), _distinct_counts(h[rare], text[rare], len(words))
+            share = 1 - n_rare / n_all
+            wanted = np.where(n_rare > 0, needed[np.searchsorted(SHARES, np.minimum(share, p.common_limit))], 0)
+            got_keys, got_names = [], []
+            for low, high in zip([0, *levels], levels):
+                chosen = wanted >= high
+                if chosen.any():
+                    got_keys.append(_band_keys(h[rare & chosen[text]], text[rare & chosen[text]], p.rows, range(low, high), multipliers[low * p.rows : high * p.rows]).ravel())
+                    got_names.append(np.tile(names[chosen], high - low))
+            chosen = share >= p.common_limit
+            if chosen.any():
+                got_keys.append(_band_keys(h[chosen[text]], text[chosen[text]], p.full_rows, range(100_000, 100_000 + full_bands), full_multipliers).ravel())
+                got_names.append(np.tile(names[chosen], full_bands))
+            keys, ents = np.concatenate(got_keys), np.concatenate(got_names)
             shard = ((keys >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard.astype(np.uint16) if shards < 2**16 else shard, kind="stable")
             cuts = np.searchsorted(shard[order], np.arange(shards + 1))

@@ -99,6 +99,21 @@ def test_large_family_of_variants(spark):
     assert len(want) > 5000 and got <= want and len(got) >= 0.97 * len(want)
 
 
+def test_pairs_on_a_common_template(spark):
+    """Pairs that reach the threshold only with a template that all texts hold: 48 % of each, and 54 % of one, 38 % of the other."""
+    template = [f"t{i}" for i in range(31)]
+    words = lambda kind, g, n: [f"{kind}{g}x{i}" for i in range(n)]
+    texts = []
+    for g in range(200):
+        texts += [template + words("s", g, 11) + words(side, g, 20) for side in "ab"]
+    for g in range(200, 300):
+        texts += [template + words("s", g, 25), template + words("s", g, 25) + words("b", g, 22)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {tuple(r) for r in near_duplicates.near_duplicate_pairs(spark.createDataFrame(rows, "id long, text string"), queries.REQUESTS).collect()}
+    want = brute_pairs(rows, 3, 0.5, 20)
+    assert len(want) == 300 and got <= want and len(got) >= 0.98 * len(want)
+
+
 def test_estimate_follows_similarity(spark):
     p = near_duplicates.NearDuplicates(shingle=1, threshold=0.5, least_words=1, hashes=256, bits=2)
     a, b = " ".join(f"k{i}" for i in range(150)), " ".join(f"k{i}" for i in range(50, 200))
