@@ -52,7 +52,7 @@ ODD = re.compile(r"[^\w'’\-.]|\d", re.UNICODE)
 @dataclass(frozen=True)
 class ScanRepair:
     """least_share: a word in fewer of the texts is no vocabulary. ratio: how much more frequent the
-    meant word must be. common_share: more frequent words are never looked at."""
+    meant word must be. common_share: more frequent words are looked at only if a word outnumbers them by the ratio."""
 
     least_share: float = 1e-5
     ratio: float = 8.0
@@ -241,6 +241,8 @@ class Reader:
         self.common = p.common_share * s.n
         self.status: dict[str, int] = {}
         self.meant: dict[str, dict] = {}
+        # the first parts of words that outnumber both their parts by the ratio though these are common
+        self.torn = {w[:k] for w, n in s.words.items() if n >= p.ratio * self.common for k in range(1, len(w)) if self.common <= min(self.count(w[:k]), self.count(w[k:])) <= n / p.ratio}
 
     def count(self, w: str) -> int:
         return self.s.words.get(w, 0)
@@ -273,7 +275,7 @@ class Reader:
         return min(found, key=lambda v: (found[v][0], found[v][1], -self.beside(before, v) - self.beside(v, after), -found[v][2], v))
 
     def look(self, raw: str) -> int:
-        """0: nothing to see in this token; 1: rare, look at it and its neighbours; 2: ends in a hyphen."""
+        """0: nothing to see in this token; 1: rare or outnumbered, look at it and its neighbours; 2: ends in a hyphen."""
         got = self.status.get(raw)
         if got is None:
             if len(self.status) > 400_000:
@@ -284,7 +286,7 @@ class Reader:
             elif not any(ch.isalpha() for ch in w) or "/" in w:
                 got = 0
             else:
-                got = int(self.count(w) < self.common)
+                got = int(self.count(w) < self.common or w in self.torn or bool(self.candidates(w)))
             self.status[raw] = got
         return got
 
@@ -351,7 +353,7 @@ class Reader:
                 if joined:
                     kinds.add("hyphen_break")
                     w = core(joined)
-                    right = self.misread(w, core(out[-1]) if out else "", core(tokens[k + 2]) if k + 2 < n else "") if self.count(w) < self.common else None
+                    right = self.misread(w, core(out[-1]) if out else "", core(tokens[k + 2]) if k + 2 < n else "")
                     if right:
                         kinds.add("misread")
                         joined = _recased(joined, w, right)

@@ -243,6 +243,19 @@ def test_reading(reader, text, kinds, repaired):
     assert reader.read(text, "Foo Board") == (kinds, repaired)
 
 
+def test_frequent_misreadings(spark):
+    """Wrong forms and parts of words that stand in over common_share of the texts."""
+    good = "Please send the full record of this request"
+    rows = [(i, "Body", good) for i in range(1000)]
+    rows += [(1000 + i, "Body", good.replace(" the ", " tbe ")) for i in range(15)]
+    rows += [(2000 + i, "Body", good.replace("request", "re quest")) for i in range(15)]
+    rows += [(3000 + i, "Body", good.replace(" the ", " t-\nbe ")) for i in range(3)]
+    got = {r["id"]: (set(r["kinds"]), r["repaired"]) for r in scans.repaired_texts(spark.createDataFrame(rows, "id long, name string, t string"), "id", "name", "t").collect()}
+    assert all(got[i] == (set(), good) for i in range(1000))
+    assert all(got[i] == ({"misread"}, good) for i in [*range(1000, 1015), *range(2000, 2015)])
+    assert all(got[i] == ({"hyphen_break", "misread"}, good) for i in range(3000, 3003))
+
+
 def test_repaired_texts_edges(spark):
     rows = [(1, None, BASE[0]), (2, "n", None), (None, "n", "x"), (3, "n", "word " * 50_000), (4, "n", "")]
     df = spark.createDataFrame(rows, "id long, name string, t string").withColumn("text", F.lit("clash")).withColumn("kinds", F.lit(1))
