@@ -36,7 +36,8 @@ _ENCODINGS: dict = {}
 @dataclass(frozen=True)
 class Packing:
     """tokenizer: a file of byte-level BPE ranks. tokens_per_segment: a pack of c tokens holds at most
-    c / tokens_per_segment segments. loss_share: and at most this share of c in loss-bearing tokens.
+    c / tokens_per_segment segments. loss_share: and at most this share of c in loss-bearing tokens
+    (1.0: no limit beyond c itself).
     block: items that a task packs at a time. full: share of the tokens from which a pack is
     closed in its block."""
 

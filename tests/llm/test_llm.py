@@ -297,6 +297,18 @@ def test_packs(spark):
     assert packing.packed_texts(df.filter("false"), sizes, p).count() == 0 and packing.packed_texts(df, sizes.filter("false"), p).count() == 0
 
 
+def test_loss_limit_binds(spark):
+    docs = [(i, "prompt " * (10 + i % 40) + "\n\n" + "answer " * (10 + i * 7 % 90)) for i in range(300)]
+    df, sizes = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, 512)], "pack_id int, capacity_tokens int")
+
+    def losses(p):
+        rows = packing.packed_texts(df, sizes, p).groupBy("pack_no").agg(F.sum("n_loss").alias("n_loss"), F.count("*").alias("n")).collect()
+        assert sum(r["n"] for r in rows) == len(docs)
+        return [r["n_loss"] for r in rows]
+
+    assert max(losses(packing.Packing())) > 256 >= max(losses(packing.Packing(loss_share=0.5)))
+
+
 def test_pack_block_limits():
     demand = np.array([[5, 1, 9], [5, 1, 1], [5, 1, 1], [1, 1, 0]], float)
     packs = packing.pack_block(demand, np.array([10, 2, 10], float))
