@@ -304,12 +304,19 @@ def body_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scoped_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Finished orders replaced by a new version of them; customers with a finished order are the scope."""
+    """Finished orders replaced by a new version of them; every third customer number with a finished order is the scope."""
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
     new = o.withColumn("o_orderstatus", F.lower("o_orderstatus"))
     return incremental.merged_by_key(o, new, o.filter("o_orderstatus = 'F' and o_custkey % 3 = 0"), "o_custkey")
 
 
+def scoped_merge_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As scoped_merge, with every customer with a finished order in the scope."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    new = o.withColumn("o_orderstatus", F.lower("o_orderstatus"))
+    return incremental.merged_by_key(o, new, o.filter("o_orderstatus = 'F'"), "o_custkey")
+
+
 def page_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages whose set of files changed from the first half-year of loading to all of it."""
     t = table(spark, sf_dir, "disclosure_files").filter("source_page_url is not null and document_url is not null")
@@ -344,7 +351,7 @@ def vocabulary_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.join(v, ["field_name", "key"]).groupBy("field_name", "label").agg(F.sum("n").alias("n_rows"))
 
 
-QUERIES = {f.__name__: f for f in (dedup_by_reference, dedup_documents_by_text, dedup_lineitem_keys, ordinal_suffix_ids, request_sequence_ids, assigned_name_ids, forward_filled_types, event_clusters, event_day_islands, order_intervals, order_parents, event_owners, league_table_top5, register_name_match, fuzzy_name_match, parent_overrides, body_status_fan_in, body_coverage, hierarchy_audit, file_attribution, snapshot_edition_pairs, register_vs_snapshot, status_distribution, quality_checks, orders_year_rollup, split_index, order_totals_reconciled, order_block_remainder, issue_triage, body_funnel, issue_tiers, candidate_ranking, column_cardinality, repeated_lines, weighted_language, extension_evaluation, publication_invariants, missing_order_keys, body_manifest, scoped_merge, page_changes, recheck_due, fetch_gaps, status_longest_contained, vocabulary_exact)}
+QUERIES = {f.__name__: f for f in (dedup_by_reference, dedup_documents_by_text, dedup_lineitem_keys, ordinal_suffix_ids, request_sequence_ids, assigned_name_ids, forward_filled_types, event_clusters, event_day_islands, order_intervals, order_parents, event_owners, league_table_top5, register_name_match, fuzzy_name_match, parent_overrides, body_status_fan_in, body_coverage, hierarchy_audit, file_attribution, snapshot_edition_pairs, register_vs_snapshot, status_distribution, quality_checks, orders_year_rollup, split_index, order_totals_reconciled, order_block_remainder, issue_triage, body_funnel, issue_tiers, candidate_ranking, column_cardinality, repeated_lines, weighted_language, extension_evaluation, publication_invariants, missing_order_keys, body_manifest, scoped_merge, scoped_merge_all, page_changes, recheck_due, fetch_gaps, status_longest_contained, vocabulary_exact)}
 
 _W = r"[\s\p{Z}]"
 _STRIP = lambda c: f"regexp_replace({c}, '^{_W}+|{_W}+$', '', 'g')"
@@ -450,6 +457,7 @@ union all select 'discount_out_of_range', count(*) from lineitem where l_discoun
     "missing_order_keys": "with k as (select distinct o_orderkey k from orders), n as (select k, lead(k) over (order by k) n from k) select k + 1 first_missing, n - 1 last_missing from n where n > k + 1",
     "body_manifest": f"select public_body_id, count(*) n_rows, strftime(min(loaded_at), '%Y-%m-%d') first_day, strftime(max(loaded_at), '%Y-%m-%d') last_day, {_XOR.format("concat_ws('|', cast(id as varchar), file_url)")} digest from foi_disclosures where public_body_id is not null group by 1",
     "scoped_merge": "with s as (select distinct o_custkey from orders where o_orderstatus = 'F' and o_custkey % 3 = 0) select o_custkey, o_orderkey, case when o_custkey in (select o_custkey from s) then lower(o_orderstatus) else o_orderstatus end o_orderstatus from orders",
+    "scoped_merge_all": "with s as (select distinct o_custkey from orders where o_orderstatus = 'F') select o_custkey, o_orderkey, case when o_custkey in (select o_custkey from s) then lower(o_orderstatus) else o_orderstatus end o_orderstatus from orders",
     "page_changes": f"""with t as (select distinct source_page_url p, document_url d, loaded_at < timestamp '2024-07-01 00:00:00' old from disclosure_files where source_page_url is not null and document_url is not null),
 b as (select p, {_XOR.format('d')} x from (select distinct p, d from t where old) group by 1), n as (select p, {_XOR.format('d')} x from (select distinct p, d from t) group by 1)
 select case when b.p is null then 'new' when n.p is null then 'gone' when b.x = n.x then 'unchanged' else 'changed' end state, count(*) n_pages from b full join n on b.p = n.p group by 1""",

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from sedgeline.operators import dedup, grids, incremental, matching, rollups, texts, windows
 
 
@@ -170,3 +171,10 @@ def test_milestones_and_repairs(spark):
     df = spark.createDataFrame([("Off ice OFF ICE a@ice.ie",), (None,)], "v string")
     assert [r[0] for r in df.select(fix("v")).collect()] == ["Office OFFICE a@ice.ie", None]
     assert df.select(texts.suspicious_spans(F.lit("x (cid:3) G r a n t ok"))).first()[0] == ["(cid:3)", "G r a n t"]
+
+
+def test_scoped_merge_all(spark):
+    """Every customer with a finished order is in the scope, whatever the number."""
+    rows = contract.queries()["scoped_merge_all"](spark, "/root/testdata/sf0.001").collect()
+    finished = {r["o_custkey"] for r in rows if r["o_orderstatus"] in ("F", "f")}
+    assert finished and all(r["o_orderstatus"].islower() == (r["o_custkey"] in finished) for r in rows)
