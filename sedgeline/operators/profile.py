@@ -189,3 +189,14 @@ def mask_drift(counts: DataFrame, feed: str, load: str, rare_share: float = 0.01
         total.join(rare, by).join(divergence, by, "left")
         .select(*by, "dominant_mask", (F.col("_most") / F.col("_all")).alias("dominant_share"), "n_masks", "n_rare_mask", F.coalesce("_js", F.lit(0.0)).alias("divergence"))
     )
+
+
+def rare_masks(per_value: DataFrame, feed: str, load: str, rare_share: float = 0.01) -> DataFrame:
+    """Per load, column and rare mask: its count (n), its share and the least value of that form.
+
+    per_value as whole_value_counts() gives it; rare as in mask_drift(), so n sums to its n_rare_mask.
+    """
+    by = [feed, load, "column_name"]
+    m = per_value.filter(~F.col("is_blank") & F.col(feed).isNotNull() & F.col(load).isNotNull()).groupBy(*by, "mask").agg(F.sum("n").alias("n"), F.min("value").alias("example"))
+    total = F.sum("n").over(Window.partitionBy(*by))
+    return m.withColumn("share", F.col("n") / total).filter(F.col("share") < rare_share).select(*by, "mask", "n", "share", "example")

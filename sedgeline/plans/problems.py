@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedgeline.operators.hierarchy import tree_descendants, tree_paths
-from sedgeline.operators.profile import column_profile, load_findings, mask_drift, value_counts, value_profile, whole_value_counts
+from sedgeline.operators.profile import column_profile, load_findings, mask_drift, rare_masks, value_counts, value_profile, whole_value_counts
 from sedgeline.operators.references import current_rows, fault_counts, faulty_references, reference_rows
 from sedgeline.operators.snapshots import plain_url, plain_value, snapshot_changes
 from sedgeline.runtime import stored, table
@@ -47,6 +47,11 @@ def p2_whole_mask_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mask_drift(stored(masks), "feed_id", "load_no")  # stored: the plan reads them three times
 
 
+def p2_rare_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rare masks that p2_whole_mask_drift counts, each with an example."""
+    return rare_masks(_whole(spark, sf_dir), "feed_id", "load_no")
+
+
 def _current_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
     bodies = table(spark, sf_dir, "public_bodies")
     return current_rows(bodies, "public_body_id", "loaded_at", ["parent_id", "first_listed_at", "removed_at"])
@@ -93,7 +98,7 @@ def p7_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fault_counts(p7_found(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_profile, p2_mask_drift, p2_whole_profile, p2_whole_mask_drift, p5_found, p5_descendants, p6_found, p6_changed_values, p7_found, p7_counts)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_profile, p2_mask_drift, p2_whole_profile, p2_whole_mask_drift, p2_rare_masks, p5_found, p5_descendants, p6_found, p6_changed_values, p7_found, p7_counts)}
 
 _CURRENT = "cur as (select public_body_id, loaded_at, parent_id, first_listed_at, removed_at from public_bodies where public_body_id is not null qualify row_number() over (partition by public_body_id order by loaded_at desc nulls last, parent_id desc nulls last, first_listed_at desc nulls last, removed_at desc nulls last) = 1)"
 _TREE = """, edge as (select c.public_body_id v, p.public_body_id p from cur c left join cur p on p.public_body_id = c.parent_id),
@@ -178,3 +183,5 @@ union all select snapshot_no, public_body_id, 'foi_email', be, ae from j where a
     "p7_counts": f"{_FAULTS} select source_table, period, reason, count(*) n_references from found where reason is not null and row_key is not null group by all",
 }
 SQL |= {f"p2_whole_{q}": SQL[f"p2_{q}"].replace(_PROFILED, _WHOLE) for q in ("profile", "mask_drift")}
+SQL["p2_rare_masks"] = f"""{_WHOLE}, n as (select feed_id, load_no, column_name, mask, count(*) n, min(v) example from c where not blank and feed_id is not null and load_no is not null group by all)
+select feed_id, load_no, column_name, mask, n, n / sum(n) over (partition by feed_id, load_no, column_name) share, example from n qualify share < 0.01"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from sedgeline.operators.hierarchy import tree_descendants, tree_paths
-from sedgeline.operators.profile import column_profile, form_mask, load_findings, mask, mask_drift, value_counts, value_profile, whole_value_counts
+from sedgeline.operators.profile import column_profile, form_mask, load_findings, mask, mask_drift, rare_masks, value_counts, value_profile, whole_value_counts
 from sedgeline.operators.references import current_rows, fault_counts, faulty_references, reference_rows
 from sedgeline.operators.snapshots import plain_url, plain_value, snapshot_changes
 
@@ -80,6 +80,13 @@ def test_every_column_is_profiled(spark):
         assert {r[0] for r in contract.queries()[q](spark, folder).select("column_name").distinct().collect()} == columns
 
 
+def test_rare_masks(spark):
+    rows = _load(1, 1, ["2023-05-01"] * 198 + ["5.1.2023", "4.1.2023"], ["A"] * 200, ["t"] * 200)
+    counts = whole_value_counts(spark.createDataFrame(rows, ROWS), ["feed", "load"], KINDS, "at")
+    assert [tuple(r) for r in rare_masks(counts, "feed", "load", rare_share=0.02).collect()] == [(1, 1, "d", "9.9.9999", 2, 0.01, "4.1.2023")]
+    assert {r["column_name"]: r["n_rare_mask"] for r in mask_drift(counts, "feed", "load", rare_share=0.02).collect()} == {"d": 2, "c": 0, "t": 0}
+
+
 def test_form_mask(spark):
     df = spark.createDataFrame([("Dear Sir,\r\n send 2,000 of FOI ACT Form 12 13",), ("",), (None,)], "v string")
     assert [r[0] for r in df.select(form_mask(F.col("v"))).collect()] == ["Aa,¶a 9,9 a A Aa 9", "", None]
