@@ -1,13 +1,15 @@
 """Column profiles by character-class masks, and what breaks or moves between loads.
 
 A value is generalised to a mask: a run of capitals becomes `A`, of other letters `a`, each
-digit `9`, white space one blank; other characters stay. Profiles are counts per mask, so
-everything after the first aggregation works on masks and groups, not on rows.
+digit `9`, white space one blank; other characters stay. Long texts have a mask of their form,
+without lengths. The most frequent mask of a column is its mined pattern; what departs from it
+is a violation. Everything after the first aggregation works on counts, not on rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +17,22 @@ from pyspark.sql import functions as F
 EPS = 1e-9
 
 
+@dataclass(frozen=True)
+class Checks:
+    """From which shares and ratios on a load has a finding; the defaults are those of problem 2.
+
+    pattern_break holds one share per kind of column. earliest: dates before it are out of range.
+    """
+
+    blank_shift: float = 0.20
+    date_pattern_break: float = 0.30
+    code_pattern_break: float = 0.15
+    range_break: float = 0.05
+    top_share_shift: float = 0.25
+    length_ratio: float = 1.5
+    earliest: str = "1998-01-01"
+
+
 def mask(c: Column) -> Column:
     """The character-class mask of a value; null stays null."""
     out = F.regexp_replace(c, r"\p{Nd}", "9")
@@ -23,12 +41,6 @@ def mask(c: Column) -> Column:
     return F.regexp_replace(out, r"\s+", " ")
 
 
-def text_mask(c: Column) -> Column:
-    """For long texts: which character classes occur, as a bounded mask (at most 32 of them)."""
-    has = lambda pattern, sign: F.when(c.rlike(pattern), sign).otherwise(F.lit(""))
-    return F.concat(has(r"\p{Lu}", "A"), has(r"\p{Ll}", "a"), has(r"\p{Nd}", "9"), has(r"[\r\n]", "¶"), has(r"[^\p{L}\p{Nd}\s\p{P}\p{Sc}]", "?"))
-
-
 def form_mask(c: Column) -> Column:
     """For long texts: the mask without lengths. A run of digits becomes one `9`, white space with a line
     break `¶`, and words of one form in a row (small, capital, capitalised, digits) count as one."""
@@ -52,87 +64,81 @@ def real_date(c: Column) -> Column:
     return F.when(c.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), c.try_cast("date"))
 
 
-def value_counts(rows: DataFrame, keys: list[str], columns: Mapping[str, str], loaded_at: str) -> DataFrame:
-    """Counts per keys, column and value; long texts are counted per mask, not per value.
+def value_counts(rows: DataFrame, keys: list[str], columns: Mapping[str, str], loaded_at: str, texts: str = "value", checks: Checks = Checks()) -> DataFrame:
+    """Counts per keys, column and value, with the mask of each value.
+
+    columns maps each profiled column to its kind: `date`, `code` or `text`. Dates and codes are counted by
+    value; their masks are worked out once per distinct value, behind the shuffle. A text never
+    travels: texts="value" counts it by 128 bits of hash, with its form and length, and adds per keys
+    the least and greatest text as rows of n = 0; texts="form" counts forms, texts="length" lengths alone.
 
-    columns maps each profiled column to its kind: `date`, `code` or `text`. One row of the
-    input becomes one per column; the map side combines equal values, so a load or value with
+    One row of the input becomes one per column; the map side combines equal ones, so a load or value with
     a third of all rows reaches the shuffle as a few rows per task. Null and blank cells are
     counted as blank, null keys are a group of their own (load_findings() leaves it out), repeated
     rows count as often as they occur, texts count in full length, an empty table gives no
     rows, and columns that are not named here are ignored, whatever they are called.
     """
-    day = F.to_date(F.col(loaded_at))
-    cells = []
-    for name, kind in columns.items():
-        v = F.col(name).cast("string")
-        out = F.lit(False)
-        if kind == "date":
-            out = F.coalesce((real_date(v) < F.lit("1998-01-01").cast("date")) | (real_date(v) > day), F.lit(False))
-        shown = F.when(blank(v), None).otherwise(text_mask(v) if kind == "text" else v)
-        cells.append(F.struct(F.lit(name).alias("column_name"), F.lit(kind).alias("kind"), blank(v).alias("is_blank"), shown.alias("value"), F.when(blank(v), 0).otherwise(F.length(v)).cast("bigint").alias("len"), out.alias("outside")))
-    return (
-        rows.select(*keys, F.inline(F.array(*cells)))
-        .groupBy(*keys, "column_name", "kind", "is_blank", "value", "outside")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("len").alias("len"), F.min("len").alias("least_len"), F.max("len").alias("most_len"))
-    )
-
-
-def masked(counts: DataFrame, of_text: Callable[[Column], Column] = lambda c: c) -> DataFrame:
-    """Counts with the mask of each distinct value; of_text makes it for long texts (value_counts() has done so)."""
-    return counts.withColumn("mask", F.when(F.col("kind") == "text", of_text(F.col("value"))).otherwise(mask(F.col("value"))))
-
-
-def whole_value_counts(rows: DataFrame, keys: list[str], columns: Mapping[str, str], loaded_at: str) -> DataFrame:
-    """Counts per keys, column and value, long texts included: one row per value, with its mask.
-
-    As value_counts(), but a value is always itself, never its mask, whatever its length: distinct
-    counts, ranges and most frequent values are exact. The map side combines equal values; what
-    follows from the value (length, mask) is worked out once per distinct value, behind the shuffle.
-    """
-    day = F.to_date(F.col(loaded_at))
-    names = list(columns)
+    day, names = F.to_date(F.col(loaded_at)), list(columns)
+    null = lambda kind: F.lit(None).cast(kind)
     cells = []
     for i, name in enumerate(names):
-        v = F.col(name).cast("string")
-        out = F.lit(False)
+        v, text = F.col(name).cast("string"), columns[name] == "text"
+        held = F.when(~blank(v), v)
+        out = F.lit(0)
         if columns[name] == "date":
-            out = F.coalesce((real_date(v) < F.lit("1998-01-01").cast("date")) | (real_date(v) > day), F.lit(False))
-        cells.append(F.struct(F.lit(i).alias("_no"), F.when(~blank(v), v).alias("value"), (out & ~blank(v)).cast("int").alias("_out")))
+            out = (~blank(v) & F.coalesce((real_date(v) < F.lit(checks.earliest).cast("date")) | (real_date(v) > day), F.lit(False))).cast("int")
+        hashed = F.when(held.isNotNull(), F.struct(F.xxhash64(held).alias("a"), F.xxhash64(held, F.lit(name)).alias("b")))
+        cells.append(F.struct(
+            F.lit(i).alias("_no"), blank(v).alias("is_blank"), (null("string") if text else held).alias("value"),
+            (hashed["a"] if text and texts == "value" else null("bigint")).alias("_a"), (hashed["b"] if text and texts == "value" else null("bigint")).alias("_b"),
+            (form_mask(held) if text and texts != "length" else null("string")).alias("_form"), (F.length(held) if text and texts != "form" else null("int")).alias("_len"), out.alias("_out"),
+        ))
     at = lambda of: F.element_at(F.array(*[F.lit(x) for x in of]), F.col("_no") + 1)
-    length = F.coalesce(F.length("value"), F.lit(0)).cast("bigint")
-    counted = rows.select(*keys, F.inline(F.array(*cells))).groupBy(*keys, "_no", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("_out").alias("n_outside"))
-    return masked(
-        counted.select(
-            *keys, at(names).alias("column_name"), at(columns.values()).alias("kind"), F.col("value").isNull().alias("is_blank"), "value", "n", "n_outside",
-            (F.col("n") * length).alias("len"), length.alias("least_len"), length.alias("most_len"),
-        ),
-        form_mask,
-    )
+    length = F.coalesce(F.col("_len"), F.length("value"), F.lit(0)).cast("bigint")
+    counted = rows.select(*keys, F.inline(F.array(*cells))).groupBy(*keys, "_no", "is_blank", "value", "_a", "_b", "_form", "_len").agg(F.count(F.lit(1)).alias("n"), F.sum("_out").alias("n_outside"))
+    kind = at(columns.values())
+    shape = F.when(kind == "text", F.col("_form")).otherwise(mask(F.col("value"))).alias("mask")
+    out = counted.select(*keys, at(names).alias("column_name"), kind.alias("kind"), "is_blank", "value", shape, "n", "n_outside", (F.col("n") * length).alias("len"), length.alias("least_len"), length.alias("most_len"))
+    long = [c for c in names if columns[c] == "text"] if texts == "value" else []
+    if not long:
+        return out
+    ends = [f(F.when(~blank(F.col(c).cast("string")), F.col(c).cast("string"))).alias(f"_{w}{i}") for i, c in enumerate(long) for w, f in (("least", F.min), ("most", F.max))]
+    ranges = rows.groupBy(*keys).agg(*ends).select(*keys, F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.array(f"_least{i}", f"_most{i}").alias("_ends")) for i, c in enumerate(long)])))
+    ranges = ranges.select(*keys, "column_name", F.explode("_ends").alias("value")).filter("value is not null")
+    zero = F.lit(0).cast("bigint")
+    return out.unionByName(ranges.select(*keys, "column_name", F.lit("text").alias("kind"), F.lit(False).alias("is_blank"), "value", null("string").alias("mask"), zero.alias("n"), zero.alias("n_outside"), zero.alias("len"), null("bigint").alias("least_len"), null("bigint").alias("most_len")))
+
+
+def mined_patterns(counts: DataFrame) -> DataFrame:
+    """column_name, pattern: the most frequent mask of each column over all its loads, of equals the greatest."""
+    m = counts.filter(~F.col("is_blank") & (F.col("n") > 0)).groupBy("column_name", "mask").agg(F.sum("n").alias("n"))
+    return m.groupBy("column_name").agg(F.max_by("mask", F.struct("n", "mask")).alias("pattern"))
 
 
 def column_profile(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Per keys and column: rows, blanks, distinct values, ranges, masks and the figures that the checks use."""
-    n_outside = F.sum(F.when(F.col("outside"), F.col("n")).otherwise(0))
-    per_value = masked(counts).groupBy(*keys, "column_name", "kind", "is_blank", "value", "mask").agg(F.sum("n").alias("n"), F.sum("len").alias("len"), F.min("least_len").alias("least_len"), F.max("most_len").alias("most_len"), n_outside.alias("n_outside"))
-    return value_profile(per_value, keys)
+    """Per keys and column: rows, blanks, distinct values, ranges and the figures that the checks use.
 
-
-def value_profile(per_value: DataFrame, keys: list[str]) -> DataFrame:
-    """column_profile() of counts that have one row per value, as whole_value_counts() gives them."""
+    counts as value_counts() gives them. n_off_pattern counts the values that depart from the mined pattern of
+    their column: dates whose mask is another or that are no day of the calendar; codes with a
+    digit where the pattern has none. Texts have no such rule, only masks.
+    """
     by = [*keys, "column_name", "kind"]
-    date_form = (F.col("mask") == "9999-99-99") & real_date(F.col("value")).isNotNull()
+    patterns = mined_patterns(counts)
+    real = real_date(F.col("value")).isNotNull()
     filled = ~F.col("is_blank")
+    digit = F.coalesce(F.col("mask").contains("9") & F.col("value").rlike("[0-9]"), F.lit(False))
+    off = F.when(F.col("kind") == "date", (F.col("mask") != F.col("pattern")) | ~real).when(F.col("kind") == "code", digit & ~F.col("pattern").contains("9")).otherwise(F.lit(False))
     n_if = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
-    return per_value.groupBy(*by).agg(
+    return counts.join(patterns, "column_name", "left").groupBy(*by).agg(
         F.sum("n").alias("n_rows"),
         n_if(F.col("is_blank")).alias("n_blank"),
         n_if(filled).alias("n_values"),
-        F.count(F.when(filled, F.lit(1))).alias("n_distinct"),
+        F.count(F.when(filled & (F.col("n") > 0), F.lit(1))).alias("n_distinct"),
         F.min("value").alias("least_value"),
         F.max("value").alias("greatest_value"),
-        n_if(filled & date_form).alias("n_real_dates"),
+        n_if(filled & real).alias("n_real_dates"),
         n_if(filled & F.col("mask").contains("9")).alias("n_with_digit"),
+        n_if(filled & off).alias("n_off_pattern"),
         F.sum("n_outside").alias("n_outside"),
         F.coalesce(F.max(F.when(filled, F.col("n"))), F.lit(0)).alias("n_top"),
         F.sum("len").alias("sum_len"),
@@ -141,7 +147,7 @@ def value_profile(per_value: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def load_findings(profile: DataFrame, feed: str, load: str) -> DataFrame:
+def load_findings(profile: DataFrame, feed: str, load: str, checks: Checks = Checks()) -> DataFrame:
     """Findings of each load, alone or against the load numbered one less in its feed.
 
     Shares are over non-blank values (blank_shift: over rows); a share of nothing gives no
@@ -155,15 +161,15 @@ def load_findings(profile: DataFrame, feed: str, load: str) -> DataFrame:
     moved = lambda a, n, by: F.abs(share(a, n) - share(f"_b.{a}", f"_b.{n}")) >= by - EPS
     ratio = share("sum_len", "n_values") / share("_b.sum_len", "_b.n_values")
     column = lambda *kinds: F.col("kind").isin(*kinds)
-    checks = {
-        "blank_shift": moved("n_blank", "n_rows", 0.20),
-        "pattern_break": F.when(column("date"), 1 - share("n_real_dates", "n_values") >= 0.30 - EPS).when(column("code"), share("n_with_digit", "n_values") >= 0.15 - EPS),
-        "range_break": column("date") & (share("n_outside", "n_real_dates") >= 0.05 - EPS),
-        "top_share_shift": column("date", "code") & moved("n_top", "n_values", 0.25),
-        "length_shift": column("text") & ((ratio >= 1.5 - EPS) | (ratio <= 2 / 3 + EPS)),
+    broken = F.when(column("date"), F.lit(checks.date_pattern_break)).when(column("code"), F.lit(checks.code_pattern_break))
+    found = {
+        "blank_shift": moved("n_blank", "n_rows", checks.blank_shift),
+        "pattern_break": share("n_off_pattern", "n_values") >= broken - EPS,
+        "range_break": column("date") & (share("n_outside", "n_real_dates") >= checks.range_break - EPS),
+        "top_share_shift": column("date", "code") & moved("n_top", "n_values", checks.top_share_shift),
+        "length_shift": column("text") & ((ratio >= checks.length_ratio - EPS) | (ratio <= 1 / checks.length_ratio + EPS)),
     }
-    found = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in checks.items()]))
-    return p.select(F.col(feed), F.col(load), "column_name", F.explode(found).alias("finding"))
+    return p.select(F.col(feed), F.col(load), "column_name", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in found.items()]))).alias("finding"))
 
 
 def mask_drift(counts: DataFrame, feed: str, load: str, rare_share: float = 0.01) -> DataFrame:
@@ -175,7 +181,7 @@ def mask_drift(counts: DataFrame, feed: str, load: str, rare_share: float = 0.01
     divergence is 0; a load without values has no row.
     """
     by = [feed, load, "column_name"]
-    m = (counts if "mask" in counts.columns else masked(counts)).filter(~F.col("is_blank") & F.col(feed).isNotNull() & F.col(load).isNotNull()).groupBy(*by, "mask").agg(F.sum("n").alias("n"))
+    m = counts.filter((F.col("n") > 0) & ~F.col("is_blank") & F.col(feed).isNotNull() & F.col(load).isNotNull()).groupBy(*by, "mask").agg(F.sum("n").alias("n"))
     total = m.groupBy(*by).agg(F.sum("n").alias("_all"), F.max_by("mask", F.struct("n", "mask")).alias("dominant_mask"), F.max("n").alias("_most"))
     share = m.join(total, by).withColumn("p", F.col("n") / F.col("_all"))
     before = share.select(feed, (F.col(load) + 1).alias(load), "column_name", "mask", F.col("p").alias("q"))
@@ -192,11 +198,12 @@ def mask_drift(counts: DataFrame, feed: str, load: str, rare_share: float = 0.01
 
 
 def rare_masks(per_value: DataFrame, feed: str, load: str, rare_share: float = 0.01) -> DataFrame:
-    """Per load, column and rare mask: its count (n), its share and the least value of that form.
+    """Per load, column and rare mask: its count (n), its share and the least value of that mask.
 
-    per_value as whole_value_counts() gives it; rare as in mask_drift(), so n sums to its n_rare_mask.
+    per_value as value_counts() gives it; rare as in mask_drift(), so n sums to its n_rare_mask. The
+    form of a long text is its own example, since texts do not travel.
     """
     by = [feed, load, "column_name"]
-    m = per_value.filter(~F.col("is_blank") & F.col(feed).isNotNull() & F.col(load).isNotNull()).groupBy(*by, "mask").agg(F.sum("n").alias("n"), F.min("value").alias("example"))
+    m = per_value.filter((F.col("n") > 0) & ~F.col("is_blank") & F.col(feed).isNotNull() & F.col(load).isNotNull()).groupBy(*by, "mask").agg(F.sum("n").alias("n"), F.coalesce(F.min("value"), "mask").alias("example"))
     total = F.sum("n").over(Window.partitionBy(*by))
     return m.withColumn("share", F.col("n") / total).filter(F.col("share") < rare_share).select(*by, "mask", "n", "share", "example")

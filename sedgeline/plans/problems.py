@@ -6,50 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedgeline.operators.hierarchy import tree_descendants, tree_paths
-from sedgeline.operators.profile import column_profile, load_findings, mask_drift, rare_masks, value_counts, value_profile, whole_value_counts
+from sedgeline.operators.profile import column_profile, load_findings, mask_drift, rare_masks, value_counts
 from sedgeline.operators.references import current_rows, fault_counts, faulty_references, reference_rows
 from sedgeline.operators.snapshots import plain_url, plain_value, snapshot_changes
 from sedgeline.runtime import stored, table
 
+#: The columns that p2_found looks at, with their kinds; the other p2 queries take all columns of the table.
 PROFILED = {"decision_date": "date", "requester_type": "code", "request_description": "text"}
+COLUMNS = {c: "code" for c in ("id", "public_body_id", "name", "file_url", "file_type", "foi_reference_id", "decision_status", "review_status", "related_request", "feed_id", "load_no", "loaded_at")} | {"date_received": "date"} | PROFILED
 
-WHOLE = {c: "code" for c in ("id", "public_body_id", "name", "file_url", "file_type", "foi_reference_id", "decision_status", "review_status", "related_request", "feed_id", "load_no", "loaded_at")} | {"date_received": "date"} | PROFILED
 
-
-def _profiled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return value_counts(table(spark, sf_dir, "foi_disclosures"), ["feed_id", "load_no"], PROFILED, "loaded_at")
+def _counts(spark: SparkSession, sf_dir: str, columns: dict[str, str], texts: str) -> DataFrame:
+    return value_counts(table(spark, sf_dir, "foi_disclosures"), ["feed_id", "load_no"], columns, "loaded_at", texts)
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_findings(column_profile(_profiled(spark, sf_dir), ["feed_id", "load_no"]), "feed_id", "load_no")
+    return load_findings(column_profile(_counts(spark, sf_dir, PROFILED, "length"), ["feed_id", "load_no"]), "feed_id", "load_no")
 
 
 def p2_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return column_profile(_profiled(spark, sf_dir), ["feed_id", "load_no"])
+    return column_profile(_counts(spark, sf_dir, COLUMNS, "value"), ["feed_id", "load_no"])
 
 
 def p2_mask_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mask_drift(_profiled(spark, sf_dir), "feed_id", "load_no")
-
-
-def _whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return whole_value_counts(table(spark, sf_dir, "foi_disclosures"), ["feed_id", "load_no"], WHOLE, "loaded_at")
-
-
-def p2_whole_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As p2_profile, of every column, with the values of long texts themselves, not their masks."""
-    return value_profile(_whole(spark, sf_dir), ["feed_id", "load_no"])
-
-
-def p2_whole_mask_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As p2_mask_drift, of every column, with masks of long texts that show their form."""
-    masks = _whole(spark, sf_dir).groupBy("feed_id", "load_no", "column_name", "is_blank", "mask").agg(F.sum("n").alias("n"))
+    masks = _counts(spark, sf_dir, COLUMNS, "form").groupBy("feed_id", "load_no", "column_name", "is_blank", "mask").agg(F.sum("n").alias("n"))
     return mask_drift(stored(masks), "feed_id", "load_no")  # stored: the plan reads them three times
 
 
 def p2_rare_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rare masks that p2_whole_mask_drift counts, each with an example."""
-    return rare_masks(_whole(spark, sf_dir), "feed_id", "load_no")
+    """The rare masks that p2_mask_drift counts, each with an example."""
+    return rare_masks(_counts(spark, sf_dir, COLUMNS, "form"), "feed_id", "load_no")
 
 
 def _current_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +84,7 @@ def p7_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fault_counts(p7_found(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_profile, p2_mask_drift, p2_whole_profile, p2_whole_mask_drift, p2_rare_masks, p5_found, p5_descendants, p6_found, p6_changed_values, p7_found, p7_counts)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_profile, p2_mask_drift, p2_rare_masks, p5_found, p5_descendants, p6_found, p6_changed_values, p7_found, p7_counts)}
 
 _CURRENT = "cur as (select public_body_id, loaded_at, parent_id, first_listed_at, removed_at from public_bodies where public_body_id is not null qualify row_number() over (partition by public_body_id order by loaded_at desc nulls last, parent_id desc nulls last, first_listed_at desc nulls last, removed_at desc nulls last) = 1)"
 _TREE = """, edge as (select c.public_body_id v, p.public_body_id p from cur c left join cur p on p.public_body_id = c.parent_id),
@@ -127,26 +113,23 @@ b as (select o.snapshot_no + 1 snapshot_no, o.public_body_id, o.w, o.e from s o
 j as (select coalesce(a.snapshot_no, b.snapshot_no) snapshot_no, coalesce(a.public_body_id, b.public_body_id) public_body_id, a.public_body_id is null gone, b.public_body_id is null fresh, a.w aw, a.e ae, b.w bw, b.e be from a full join b on a.snapshot_no = b.snapshot_no and a.public_body_id = b.public_body_id)"""
 
 _MASK = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(v, '\p{Nd}', '9', 'g'), '[\p{Ll}\p{Lm}\p{Lo}]+', 'a', 'g'), '[\p{Lu}\p{Lt}]+', 'A', 'g'), '\s+', ' ', 'g')"
-_TEXT_MASK = r"concat(case when regexp_matches(v, '\p{Lu}') then 'A' else '' end, case when regexp_matches(v, '\p{Ll}') then 'a' else '' end, case when regexp_matches(v, '\p{Nd}') then '9' else '' end, case when regexp_matches(v, '[\r\n]') then '¶' else '' end, case when regexp_matches(v, '[^\p{L}\p{Nd}\s\p{P}\p{Sc}]') then '?' else '' end)"
-_PROFILED = f"""with cells as (
- select feed_id, load_no, loaded_at, 'decision_date' column_name, 'date' kind, decision_date v from foi_disclosures
- union all select feed_id, load_no, loaded_at, 'requester_type', 'code', requester_type from foi_disclosures
- union all select feed_id, load_no, loaded_at, 'request_description', 'text', request_description from foi_disclosures),
-c as (select *, v is null or trim(v, ' ') = '' blank, case when kind = 'text' then {_TEXT_MASK} else {_MASK} end mask, case when kind = 'text' then {_TEXT_MASK} else v end shown,
- case when regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') then try_cast(v as date) end d from cells)"""
 _FORM_MASK = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(v, '\p{Nd}+', '9', 'g'), '[\p{Ll}\p{Lm}\p{Lo}]+', 'a', 'g'), '[\p{Lu}\p{Lt}]+', 'A', 'g'), '\s*[\r\n]\s*', '¶', 'g'), '\s+', ' ', 'g')"
 for _form in ("a", "A", "9", "Aa"):
     _FORM_MASK = rf"regexp_replace({_FORM_MASK}, '\b{_form}( {_form})+\b', '{_form}', 'g')"
-_WHOLE = f"""with cells as ({' union all '.join(f"select feed_id, load_no, loaded_at, '{c}' column_name, '{kind}' kind, cast({c} as varchar) v from foi_disclosures" for c, kind in WHOLE.items())}),
-c as (select *, v is null or trim(v, ' ') = '' blank, case when kind = 'text' then {_FORM_MASK} else {_MASK} end mask, v shown,
+_CELLS = f"""with cells as ({' union all '.join(f"select feed_id, load_no, loaded_at, '{c}' column_name, '{kind}' kind, cast({c} as varchar) v from foi_disclosures" for c, kind in COLUMNS.items())}),
+c as (select *, v is null or trim(v, ' ') = '' blank, case when kind = 'text' then {_FORM_MASK} else {_MASK} end mask,
  case when regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') then try_cast(v as date) end d from cells)"""
 
 SQL = {
-    "p2_profile": f"""{_PROFILED}, t as (select feed_id, load_no, column_name, shown, count(*) n from c where not blank group by all), m as (select feed_id, load_no, column_name, max(n) top from t group by all)
-select c.feed_id, c.load_no, c.column_name, c.kind, count(*) n_rows, count(*) filter (blank) n_blank, count(*) filter (not blank) n_values, count(distinct shown) filter (not blank) n_distinct, min(shown) filter (not blank) least_value, max(shown) filter (not blank) greatest_value,
- count(*) filter (not blank and d is not null) n_real_dates, count(*) filter (not blank and contains(mask, '9')) n_with_digit, count(*) filter (c.kind = 'date' and (d < date '1998-01-01' or d > cast(loaded_at as date))) n_outside, coalesce(any_value(top), 0) n_top,
- cast(coalesce(sum(length(v)) filter (not blank), 0) as bigint) sum_len, min(length(v)) filter (not blank) least_len, max(length(v)) filter (not blank) most_len from c left join m on m.feed_id = c.feed_id and m.load_no = c.load_no and m.column_name = c.column_name group by 1, 2, 3, 4""",
-    "p2_mask_drift": f"""{_PROFILED}, n as (select feed_id f, load_no l, column_name k, mask, count(*) n from c where not blank and feed_id is not null and load_no is not null group by all),
+    "p2_profile": f"""{_CELLS}, t as (select feed_id, load_no, column_name, v, count(*) n from c where not blank group by all), m as (select feed_id, load_no, column_name, max(n) top from t group by all),
+pat as (select column_name, arg_max(mask, (n, mask)) pattern from (select column_name, mask, count(*) n from c where not blank group by all) group by all)
+select c.feed_id, c.load_no, c.column_name, c.kind, count(*) n_rows, count(*) filter (blank) n_blank, count(*) filter (not blank) n_values, count(distinct v) filter (not blank) n_distinct, min(v) filter (not blank) least_value, max(v) filter (not blank) greatest_value,
+ count(*) filter (not blank and d is not null) n_real_dates, count(*) filter (not blank and contains(mask, '9')) n_with_digit,
+ count(*) filter (not blank and (c.kind = 'date' and (d is null or mask <> pattern) or c.kind = 'code' and not contains(pattern, '9') and regexp_matches(v, '[0-9]'))) n_off_pattern,
+ count(*) filter (c.kind = 'date' and (d < date '1998-01-01' or d > cast(loaded_at as date))) n_outside, coalesce(any_value(top), 0) n_top,
+ cast(coalesce(sum(length(v)) filter (not blank), 0) as bigint) sum_len, min(length(v)) filter (not blank) least_len, max(length(v)) filter (not blank) most_len
+from c left join pat on pat.column_name = c.column_name left join m on m.feed_id = c.feed_id and m.load_no = c.load_no and m.column_name = c.column_name group by 1, 2, 3, 4""",
+    "p2_mask_drift": f"""{_CELLS}, n as (select feed_id f, load_no l, column_name k, mask, count(*) n from c where not blank and feed_id is not null and load_no is not null group by all),
 s as (select *, n / sum(n) over (partition by f, l, k) p, sum(n) over (partition by f, l, k) total from n),
 j as (select coalesce(a.f, b.f) f, coalesce(a.l, b.l + 1) l, coalesce(a.k, b.k) k, coalesce(a.p, 0) p, coalesce(b.p, 0) q from s a full join s b on b.f = a.f and b.l = a.l - 1 and b.k = a.k and b.mask = a.mask),
 e as (select f, l, k, sum((case when p > 0 then p * log2(p / ((p + q) / 2)) else 0 end + case when q > 0 then q * log2(q / ((p + q) / 2)) else 0 end) / 2) js from j group by all)
@@ -182,6 +165,5 @@ union all select snapshot_no, public_body_id, 'foi_email', be, ae from j where a
     "p7_found": f"{_FAULTS} select source_table, row_key, period, reason from found where reason is not null and row_key is not null",
     "p7_counts": f"{_FAULTS} select source_table, period, reason, count(*) n_references from found where reason is not null and row_key is not null group by all",
 }
-SQL |= {f"p2_whole_{q}": SQL[f"p2_{q}"].replace(_PROFILED, _WHOLE) for q in ("profile", "mask_drift")}
-SQL["p2_rare_masks"] = f"""{_WHOLE}, n as (select feed_id, load_no, column_name, mask, count(*) n, min(v) example from c where not blank and feed_id is not null and load_no is not null group by all)
+SQL["p2_rare_masks"] = f"""{_CELLS}, n as (select feed_id, load_no, column_name, mask, count(*) n, coalesce(min(v) filter (kind <> 'text'), any_value(mask)) example from c where not blank and feed_id is not null and load_no is not null group by all)
 select feed_id, load_no, column_name, mask, n, n / sum(n) over (partition by feed_id, load_no, column_name) share, example from n qualify share < 0.01"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from sedgeline.operators.hierarchy import tree_descendants, tree_paths
-from sedgeline.operators.profile import column_profile, form_mask, load_findings, mask, mask_drift, rare_masks, value_counts, value_profile, whole_value_counts
+from sedgeline.operators.profile import column_profile, form_mask, load_findings, mask, mask_drift, mined_patterns, rare_masks, value_counts
 from sedgeline.operators.references import current_rows, fault_counts, faulty_references, reference_rows
 from sedgeline.operators.snapshots import plain_url, plain_value, snapshot_changes
 
@@ -61,30 +61,39 @@ def test_mask_drift(spark):
     assert got[2, "d"]["divergence"] == pytest.approx(1.0) and got[2, "c"]["divergence"] == 0.0
 
 
-def test_whole_texts(spark):
+def test_texts_by_value_and_form(spark):
     texts = [f"Please send record {i} of the council." for i in range(100)]
     rows = _load(1, 1, [None] * 100, ["A"] * 100, texts) + _load(1, 2, [None] * 100, ["A"] * 100, texts[:99] + ["please send: record 7 (of the council)"])
-    counts = whole_value_counts(spark.createDataFrame(rows, ROWS), ["feed", "load"], KINDS, "at")
-    got = {(r["load"], r["column_name"]): r for r in value_profile(counts, ["feed", "load"]).collect()}
-    assert got[1, "t"]["n_distinct"] == 100 and got[1, "t"]["n_top"] == 1
+    df = spark.createDataFrame(rows, ROWS)
+    got = {(r["load"], r["column_name"]): r for r in column_profile(value_counts(df, ["feed", "load"], KINDS, "at"), ["feed", "load"]).collect()}
+    assert got[1, "t"]["n_distinct"] == 100 and got[1, "t"]["n_top"] == 1 and got[1, "t"]["n_values"] == 100
     assert (got[1, "t"]["least_value"], got[1, "t"]["greatest_value"]) == (min(texts), max(texts))
-    moved = {(r["load"], r["column_name"]): r for r in mask_drift(counts, "feed", "load", rare_share=0.02).collect()}
-    assert moved[1, "t"]["dominant_mask"] == "Aa a 9 a." and moved[1, "t"]["n_rare_mask"] == 0
-    assert moved[2, "t"]["n_rare_mask"] == 1 and moved[2, "t"]["divergence"] > 0
+    for how in ("value", "form"):
+        moved = {(r["load"], r["column_name"]): r for r in mask_drift(value_counts(df, ["feed", "load"], KINDS, "at", how), "feed", "load", rare_share=0.02).collect()}
+        assert moved[1, "t"]["dominant_mask"] == "Aa a 9 a." and moved[1, "t"]["n_rare_mask"] == 0
+        assert moved[2, "t"]["n_rare_mask"] == 1 and moved[2, "t"]["divergence"] > 0
+
+
+def test_mined_patterns(spark):
+    rows = _load(1, 1, ["05.01.2023"] * 3 + ["2023-05-01"] * 2 + ["99.99.2023", None], ["X1"] * 4 + ["Y2", "Z", None], ["t"] * 7)
+    counts = value_counts(spark.createDataFrame(rows, ROWS), ["feed", "load"], KINDS, "at", "length")
+    assert {tuple(r) for r in mined_patterns(counts).collect()} == {("d", "99.99.9999"), ("c", "A9"), ("t", None)}
+    got = {r["column_name"]: r["n_off_pattern"] for r in column_profile(counts, ["feed", "load"]).collect()}
+    assert got == {"d": 6, "c": 0, "t": 0}  # no value is a day written yyyy-mm-dd in the mined mask; codes hold digits by rule
 
 
 def test_every_column_is_profiled(spark):
     folder = "/root/testdata/sf0.001"
     columns = set(spark.read.parquet(f"{folder}/foi_disclosures.parquet").columns)
-    for q in ("p2_whole_profile", "p2_whole_mask_drift"):
+    for q in ("p2_profile", "p2_mask_drift"):
         assert {r[0] for r in contract.queries()[q](spark, folder).select("column_name").distinct().collect()} == columns
 
 
 def test_rare_masks(spark):
-    rows = _load(1, 1, ["2023-05-01"] * 198 + ["5.1.2023", "4.1.2023"], ["A"] * 200, ["t"] * 200)
-    counts = whole_value_counts(spark.createDataFrame(rows, ROWS), ["feed", "load"], KINDS, "at")
-    assert [tuple(r) for r in rare_masks(counts, "feed", "load", rare_share=0.02).collect()] == [(1, 1, "d", "9.9.9999", 2, 0.01, "4.1.2023")]
-    assert {r["column_name"]: r["n_rare_mask"] for r in mask_drift(counts, "feed", "load", rare_share=0.02).collect()} == {"d": 2, "c": 0, "t": 0}
+    rows = _load(1, 1, ["2023-05-01"] * 198 + ["5.1.2023", "4.1.2023"], ["A"] * 200, ["t"] * 199 + ["T!"])
+    counts = value_counts(spark.createDataFrame(rows, ROWS), ["feed", "load"], KINDS, "at", "form")
+    assert {tuple(r) for r in rare_masks(counts, "feed", "load", rare_share=0.02).collect()} == {(1, 1, "d", "9.9.9999", 2, 0.01, "4.1.2023"), (1, 1, "t", "A!", 1, 0.005, "A!")}
+    assert {r["column_name"]: r["n_rare_mask"] for r in mask_drift(counts, "feed", "load", rare_share=0.02).collect()} == {"d": 2, "c": 0, "t": 1}
 
 
 def test_form_mask(spark):
