@@ -1,17 +1,20 @@
 """Free-entered values to the labels of a closed list.
 
 A symmetric-delete dictionary holds, for each known form of a label, all strings that arise by
-up to `most_edits` deletions; a value's own deletions meet it there, so that every form within
-that many edits is retrieved. Candidates are ranked by weighted Damerau-Levenshtein distance,
-then by how often their label occurs as written in the data. A value whose words are all
-explained by one label's forms and by neutral words is that label too. The rest is UNMATCHED.
-
-The dictionary grows with the closed list only (its size is checked) and is sent to all
+a bounded number of deletions; a value's own deletions meet it there, so that every form within
+that many edits is retrieved. Candidates are ranked by weighted Damerau-Levenshtein distance
+and by how often their label occurs as written in the data. A second dictionary of the same kind
+holds the words of the forms, with their prefixes as abbreviations; where no form is near as a whole, the
+forms that share a word with the value are ranked by weighted Damerau-Levenshtein distance over
+words, in which function words, qualifiers and numbers cost little. The rest is UNMATCHED.
+
+Both dictionaries grow with the closed list only (its size is checked) and are sent to all
 executors; values are resolved where the rows lie, so no value, however frequent, moves.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import defaultdict
@@ -27,42 +30,27 @@ from sedgeline.runtime import bounded_rows
 
 UNMATCHED = "UNMATCHED"
 
-# Further names of the labels, as public bodies write them in their logs, in English and Irish.
-OTHER_NAMES = {
-    "Journalist": ["Journo", "Member of the press", "Media", "Iriseoir", "Reporter"],
-    "Member of the Public": ["Mem of the Public", "Ball den phobal", "Gen. public", "Private individual", "Public", "Citizen"],
-    "Business or Interest Group": ["Business", "Grúpa gnó nó leasa", "Bus. or Int. Group", "Business interests", "Commercial"],
-    "Oireachtas Member": ["T.D.", "Oireachtas", "Ball den Oireachtas", "Oireachtas Mbr", "Member of the Oireachtas", "Deputy"],
-    "Councillor": ["Local councillor", "Elected member", "Elected member (council)", "Comhairleoir"],
-    "Solicitor": ["Sol.", "Legal rep", "Solicitor on behalf of applicant", "Solicitor for client"],
-    "Client": ["Cliant", "Patient", "Personal"],
-    "Staff Member": ["Staff", "Member of staff", "Current staff", "Former employee", "Ball foirne"],
-    "Academic Researcher": ["Academic", "University researcher", "Acad. Researcher", "Taighdeoir", "Student"],
-    "Trade Union": ["T. Union", "Union official", "Trade-Union rep", "Ceardchumann"],
-    "Charity or Voluntary Body": ["Voluntary group", "Non-profit", "Carthanacht", "Voluntary"],
-    "Other": ["Oth.", "Other (not listed)"],
-    "Granted": ["Grant", "Access granted", "Released in full", "Granted in full", "Released", "Allowed"],
-    "Part-Granted": ["P/G", "Granted in part", "Partially granted", "Part grant", "Partly granted", "Released in part", "Ceadaithe go páirteach"],
-    "Refused": ["Refuse", "Refusal", "Request refused", "Refused s.15", "Refused in full", "Denied"],
-    "Deemed Refused": ["Deemed to be refused", "Deemed refusal (no reply)"],
-    "Withdrawn": ["Withdrew", "W/D", "Withdrawn by requester", "Request withdrawn"],
-    "Transferred": ["Transfer", "Trans.", "Transferred out", "Transferred to another body"],
-    "Handled Outside of FOI": ["O/S FOI", "Dealt with outside FOI", "Released outside of FOI", "Lasmuigh de SF"],
-    "No Records Held": ["Nil records", "No records", "Records do not exist", "Gan taifid"],
-}
-# Words that say nothing about which label is meant.
-NEUTRAL = {"a", "an", "the", "of", "or", "in", "to", "by", "for", "on", "be", "is", "and", "with", "rep", "request", "requester", "see", "file", "listed", "not"}
+# English function words and negations, which do not tell labels apart.
+FUNCTION_WORDS = {"a", "an", "the", "of", "or", "and", "in", "to", "by", "for", "from", "on", "at", "as", "be", "is", "was", "do", "does", "not", "no", "nil", "with", "behalf"}
+# After these words a value says more about its head.
+PREPOSITIONS = {"to", "by", "for", "from", "on", "at", "as", "with"}
+# Endings that make another form of the same word.
+ENDINGS = {"s", "es", "d", "ed", "ing", "ly", "ially", "al", "er", "or", "ers", "ors"}
 # Placeholders, which mean no label.
-PLACEHOLDERS = {"nil", "none", "unknown", "na", "tbc", "pending", "yes", "no"}
+PLACEHOLDERS = {"nil", "none", "unknown", "na", "tbc", "pending", "yes", "no", "not recorded"}
 
 
 @dataclass(frozen=True)
 class ValueMapping:
-    """most_edits: deletions on either side of the dictionary. most_forms: bound of the broadcast list."""
+    """most_edits: deletions on either side of the dictionaries. most_forms: bound of the broadcast list.
+    other_names: further names, label -> names, beside those of the list. word_limit: greatest distance over
+    words per word in common. frequency_weight: how much a rare label counts against a frequent one."""
 
     most_edits: int = 2
     most_forms: int = 200_000
-    other_names: dict = field(default_factory=lambda: OTHER_NAMES)
+    other_names: dict = field(default_factory=dict)
+    word_limit: float = 0.75
+    frequency_weight: float = 0.1
 
 
 def folded(value: str) -> str:
@@ -71,7 +59,7 @@ def folded(value: str) -> str:
     v = "".join(ch for ch in v if not unicodedata.combining(ch)).lower().strip()
     v = re.sub(r"^\(?\d{1,3}[.)]\s+", "", v)
     v = re.sub(r"\(\s*\d{1,3}\s*\)\s*\W*$", "", v)
-    v = re.sub(r"(?<=\w)\.(?=\w\b)", "", v)  # initials: t.d. -> td
+    v = re.sub(r"(?<=\b\w)[./](?=\w\b)", "", v)  # initials: t.d. and t/d -> td
     return " ".join(re.findall(r"[^\W_]+", v))
 
 
@@ -110,28 +98,130 @@ def weighted_distance(a: str, b: str) -> float:
     return rows[-1][-1]
 
 
+def alternatives(form: str) -> set[str]:
+    """A form, and if it reads `A or B C`, also A, B C and A C."""
+    left, _, right = form.partition(" or ")
+    if not right:
+        return {form}
+    return {form, left, right} | ({f"{left} {right.split(' ', 1)[1]}"} if " " in right else set())
+
+
+@dataclass(frozen=True)
+class Token:
+    """A word of a value: marked if written as an abbreviation (`sol.`, `w/d`), aside if it only qualifies the rest."""
+
+    word: str
+    marked: bool
+    aside: bool
+
+
+def tokens(value: str) -> list[Token]:
+    """The words of a value that are no function words; what stands in brackets or behind a preposition is aside."""
+    out, aside = [], False
+    for piece in re.findall(r"\(|\)|[^\s()]+", re.sub(r"\s*/\s+|\s+/\s*", " ", value)):
+        if piece in "()":
+            aside = piece == "("
+            continue
+        for w in folded(piece).split():
+            if w in FUNCTION_WORDS:
+                aside = aside or (w in PREPOSITIONS and bool(out))
+            else:
+                out.append(Token(w, bool(re.search(r"\w[./](\w\b|\W*$)", piece)), aside))
+    return out
+
+
+class Words:
+    """The words of all forms of a field: those a value's word may stand for, with what that costs."""
+
+    def __init__(self, words: set[str], most_edits: int):
+        self.words, self.most_edits = words, most_edits
+        self.index, self.prefixes, self.first = defaultdict(set), defaultdict(set), defaultdict(set)
+        for w in words:
+            for d in deletions(w, self._edits(w)):
+                self.index[d].add(w)
+            for n in range(1, len(w)):
+                self.prefixes[w[:n]].add(w)
+            self.first[w[0]].add(w)
+        self.longest = max(map(len, words), default=0)
+        self.memo: dict[tuple[str, bool], dict[str, tuple[float, bool]]] = {}
+
+    def _edits(self, w: str) -> int:
+        return 0 if len(w) < 5 else min(1 if len(w) < 8 else 2, self.most_edits)
+
+    def __call__(self, t: Token) -> dict[str, tuple[float, bool]]:
+        """word -> (cost, whether it needs another word of its form beside it)."""
+        got = self.memo.get((t.word, t.marked))
+        if got is None:
+            if len(self.memo) > 100_000:
+                self.memo.clear()
+            got = self.memo[t.word, t.marked] = self._meant(t.word, t.marked)
+        return got
+
+    def _meant(self, w: str, marked: bool) -> dict[str, tuple[float, bool]]:
+        out: dict[str, tuple[float, bool]] = {}
+
+        def add(x: str, cost: float, beside: bool = False) -> None:
+            if x not in out or (cost, beside) < out[x]:
+                out[x] = (cost, beside)
+
+        if len(w) <= self.longest + self.most_edits:
+            for d in deletions(w, self.most_edits):
+                for x in self.index.get(d, ()):
+                    if (edits := weighted_distance(w, x)) <= self._edits(x):
+                        add(x, edits / len(x))
+            for x in self.prefixes.get(w, ()):  # an abbreviation; a short one needs its dot or a companion
+                add(x, 0.2 if len(w) > 2 else 0.3, len(w) < 4 and not (marked and len(w) > 2))
+            if 5 < len(w) <= self.longest:  # a clipped word with one letter more or other
+                for d in deletions(w, 1):
+                    for x in self.prefixes.get(d, ()) if len(d) > 4 else ():
+                        add(x, 0.2 + 1 / len(w))
+            if 1 < len(w) < 5 and not re.search("[aeiou]", w[1:]):  # letters left out: mbr, w/d
+                for x in self.first.get(w[0], ()):
+                    if _in_order(w, x):
+                        add(x, 0.25, not marked)
+        for n in range(4, len(w)):
+            if w[n:] in ENDINGS or (w[n - 1] == w[n] and w[n + 1 :] in ENDINGS):
+                if w[:n] in self.words:
+                    add(w[:n], 0.2)
+        return out
+
+
+def _in_order(letters: str, word: str) -> bool:
+    at = iter(word)
+    return all(x in at for x in letters)
+
+
 class Resolver:
     """Resolves the values of one field."""
 
     def __init__(self, forms: dict[str, list[str]], frequency: dict[str, int], p: ValueMapping):
-        self.p, self.frequency, self.labels = p, frequency, set(forms)
+        self.p, self.labels = p, set(forms)
+        most = math.log1p(max(frequency.values(), default=0)) or 1.0
+        self.rarity = {label: p.frequency_weight * (1 - math.log1p(frequency.get(label, 0)) / most) for label in forms}
         self.form_labels: dict[str, set[str]] = defaultdict(set)
         self.index: dict[str, set[str]] = defaultdict(set)
-        self.lexicon: dict[str, set[str]] = {}
+        own: dict[str, set[str]] = defaultdict(set)
+        self.parts: list[tuple[str, list[str]]] = []  # label, content words of a form
         for label, names in forms.items():
-            for n in names:
+            for n in {x for n in names for x in alternatives(n)}:
                 f = folded(n)
                 if f:
                     self.form_labels[f].add(label)
-            self.lexicon[label] = {w for n in names for w in folded(n).split()}
-        uses = defaultdict(set)
-        for label, words in self.lexicon.items():
-            for w in words - NEUTRAL:
-                uses[w].add(label)
-        self.keys = {label: {w for w in words if uses.get(w) == {label} and len(w) > 2} for label, words in self.lexicon.items()}
+                words = [t.word for t in tokens(n)]
+                if words and (label, words) not in self.parts:
+                    self.parts.append((label, words))
+                for w in words:
+                    own[w].add(label)
+        self.only = {w for w, labels in own.items() if len(labels) == 1}
+        self.words = Words(set(own), p.most_edits)
+        self.with_word: dict[str, list[int]] = defaultdict(list)
+        for k, (_, words) in enumerate(self.parts):
+            for w in set(words):
+                self.with_word[w].append(k)
         for f in self.form_labels:
             for d in deletions(f, self._edits(f)):
                 self.index[d].add(f)
+        self.longest = max(map(len, self.form_labels), default=0)
         self.memo: dict[str, str] = {}
 
     def _edits(self, f: str) -> int:
@@ -154,44 +244,69 @@ class Resolver:
             label = self._nearest(t)
             if label:
                 return label
-        return self._explained(whole) or UNMATCHED
+        return self._by_words(tokens(value)) or UNMATCHED
 
     def _nearest(self, v: str) -> str | None:
+        """The label of the nearest form as a whole. Longer values than any form and its edits have none."""
         if v in self.form_labels:
             return self._often(self.form_labels[v])
         if v.replace(" ", "") in self.form_labels and len(v) <= 5:
             return self._often(self.form_labels[v.replace(" ", "")])
-        if len(v) < 4 or len(v) > 80:
+        if len(v) < 4 or len(v) > self.longest + self.p.most_edits:
             return None
         near = {f for d in deletions(v, self.p.most_edits) for f in self.index.get(d, ())}
-        ranked = sorted((weighted_distance(v, f), -max(self.frequency.get(x, 0) for x in self.form_labels[f]), f) for f in near)
-        for distance, _, f in ranked:
+        ranked = []
+        for f in near:
+            distance = weighted_distance(v, f)
             if distance <= self._edits(f) and distance <= 0.34 * len(f):
-                return self._often(self.form_labels[f])
-        return None
+                label = self._often(self.form_labels[f])
+                ranked.append((distance + self.rarity[label], distance, label))
+        return min(ranked)[2] if ranked else None
 
     def _often(self, labels: set[str]) -> str:
-        return max(labels, key=lambda x: (self.frequency.get(x, 0), x))
-
-    def _explained(self, v: str) -> str | None:
-        """The label whose words, with neutral ones, are all that the value holds: at least one of
-        its own words; of several labels the one named first."""
-        words = v.split()
-        first: tuple[int, str] | None = None
-        for label, lexicon in self.lexicon.items():
-            hits = [i for i, w in enumerate(words) if self._like(w, self.keys[label])]
-            if hits and (first is None or hits[0] < first[0]):
-                first = (hits[0], label)
-        if first is None:
-            return None
-        known = NEUTRAL | self.lexicon[first[1]]
-        return first[1] if all(self._like(w, known) or w.isdigit() for w in words) else None
-
-    @staticmethod
-    def _like(w: str, words: set[str]) -> bool:
-        if w in words:
-            return True
-        return len(w) > 4 and any(abs(len(w) - len(x)) <= 1 and len(x) > 4 and weighted_distance(w, x) <= 1.0 for x in words)
+        return min(labels, key=lambda x: (self.rarity[x], x))
+
+    def _by_words(self, value: list[Token]) -> str | None:
+        meant = [self.words(t) for t in value]
+        forms = {k for m in meant for w in m for k in self.with_word[w]}
+        ranked = []
+        for k in forms:
+            label, words = self.parts[k]
+            distance, matched = self._word_distance(value, meant, words)
+            if matched and distance <= self.p.word_limit * matched:
+                ranked.append((distance + self.rarity[label], label))
+        return min(ranked)[1] if ranked else None
+
+    def _word_distance(self, value: list[Token], meant: list[dict], form: list[str]) -> tuple[float, int]:
+        """(weighted Damerau-Levenshtein distance over words, words in common).
+
+        A word too many costs 0.5, 0.2 aside, 0.1 with a digit; a word of the form left out 1, or 0.5 if what
+        stands is of this label only; neighbours swapped 0.2; a word that needs another beside it counts only with it.
+        """
+        best = None
+        for alone in (False, True):  # with words that need a companion, and without
+            cost = lambda i, j: c[0] if (c := meant[i].get(form[j])) and not (alone and c[1]) else None  # noqa: B023, E731
+            extra = [0.1 if any(ch.isdigit() for ch in t.word) else 0.2 if t.aside else 0.5 for t in value]
+            rows = [[(float(j), 0, ()) for j in range(len(form) + 1)]]
+            for i in range(len(value)):
+                row = [(rows[-1][0][0] + extra[i], rows[-1][0][1], rows[-1][0][2])]
+                for j in range(len(form)):
+                    ways = [(rows[-1][j + 1][0] + extra[i], *rows[-1][j + 1][1:]), (row[j][0] + 1.0, *row[j][1:])]
+                    if (c1 := cost(i, j)) is not None:
+                        d, n, held = rows[-1][j]
+                        ways.append((d + c1, n + 1, (*held, j)))
+                    if i and j and (c1 := cost(i, j - 1)) is not None and (c2 := cost(i - 1, j)) is not None:
+                        d, n, held = rows[-2][j - 1]
+                        ways.append((d + c1 + c2 + 0.2, n + 2, (*held, j - 1, j)))
+                    row.append(min(ways, key=lambda x: (x[0], -x[1])))
+                rows.append(row)
+            d, n, held = rows[-1][-1]
+            if n and any(form[j] in self.only for j in held):
+                d -= 0.5 * (len(form) - n)
+            if n > 1 or alone:
+                return d, n
+            best = best or (d, n)
+        return best
 
 
 def mapped_values(rows: DataFrame, key: str, fields: list[str], reference: DataFrame, p: ValueMapping = ValueMapping()) -> DataFrame:

@@ -194,6 +194,24 @@ def test_mapped_values(spark):
     assert canonical.mapped_values(df.filter("false"), "id", ["f", "g"], ref).count() == 0
 
 
+def test_values_by_words():
+    forms = {"Dog Owner": ["Dog Owner", "Kennel"], "Owner or Keeper of Cattle": ["Owner or Keeper of Cattle", "Herdsman"], "Licence Withheld": ["Licence Withheld"]}
+    r = canonical.Resolver(forms, {"Dog Owner": 1000, "Licence Withheld": 10}, canonical.ValueMapping())
+    want = {
+        "owner of a dog": "Dog Owner", "dog ownr": "Dog Owner", "Local kennel": "Dog Owner", "Ken.": "Dog Owner", "kennel (north)": "Dog Owner", "Kennel for cattle": "Dog Owner",
+        "Keeper of cattle": "Owner or Keeper of Cattle", "Kpr of cattle": "Owner or Keeper of Cattle", "herdsmen": "Owner or Keeper of Cattle", "L/W": "UNMATCHED",
+        "licence is withheld s.12": "Licence Withheld", "ken": "UNMATCHED", "kennel club show": "UNMATCHED", "Not recorded": "UNMATCHED", "#KEN!": "UNMATCHED", "w/h": "Licence Withheld",
+    }
+    assert {v: r(v) for v in want} == want
+    assert r("dog owner " + "x" * 50_000) == r("dog owner " + "x " * 50_000 + "y") != "Licence Withheld"
+
+
+def test_frequency_ranks_near_labels():
+    forms = {"Tested": ["Tested"], "Texted": ["Texted"]}
+    assert canonical.Resolver(forms, {"Tested": 5000, "Texted": 1}, canonical.ValueMapping())("tefted") == "Tested"
+    assert canonical.Resolver(forms, {"Tested": 1, "Texted": 5000}, canonical.ValueMapping())("tefted") == "Texted"
+
+
 # scans
 
 
