@@ -203,7 +203,7 @@ def test_values_by_words():
         "licence is withheld s.12": "Licence Withheld", "ken": "UNMATCHED", "kennel club show": "UNMATCHED", "Not recorded": "UNMATCHED", "#KEN!": "UNMATCHED", "w/h": "Licence Withheld",
     }
     assert {v: r(v) for v in want} == want
-    assert r("dog owner " + "x" * 50_000) == r("dog owner " + "x " * 50_000 + "y") != "Licence Withheld"
+    assert r("dog owner " + "x" * 50_000) == "Dog Owner" and r("dog owner " + "x " * 50_000) == "UNMATCHED"
 
 
 def test_frequency_ranks_near_labels():
