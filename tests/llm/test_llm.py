@@ -234,12 +234,33 @@ def test_trie_is_complete():
             assert set(trie.within(w, 0, k)) == {v for v in vocabulary if distance(w, v) <= k}
 
 
+def test_trie_with_counts():
+    words = {"a": 3, "ab": 1, "é": 2, "abc": 9, "b" * 5000: 4}
+    trie = scans.Trie(words)
+    assert dict(trie.items()) == words and all(trie.count(w) == n for w, n in words.items()) and trie.count("ac") == trie.count("") == 0
+    assert scans.Trie({}).within("a", 1, 1) == {} and scans.Trie({}).count("a") == 0
+
+
+def test_plain_edits_by_shape(spark):
+    """Plain slips of the reader that no confusion explains are found in words of letters, where the neighbours speak for them."""
+    good = "the housing department holds information on planning and the environment"
+    bad = {"housing": "hausing", "information": "infornation", "planning": "planuing", "environment": "envirenment", "department": "departnent"}
+    rows = [(i, "Body", good) for i in range(500)] + [(1000 + i, "Body", good.replace(a, b)) for i, (a, b) in enumerate(bad.items())]
+    rows += [(2000, "Body", good.replace("housing", "housnig")), (2001, "Body", good.replace("planning", "plannning")), (2002, "Body", "zzz hausing qqq")]
+    got = {r["id"]: (r["kinds"], r["repaired"]) for r in scans.repaired_texts(spark.createDataFrame(rows, "id long, name string, t string"), "id", "name", "t").collect()}
+    assert all(got[1000 + i] == (["misread"], good) for i in range(5))
+    assert all(got[i][0] == [] for i in (*range(500), 2000, 2001, 2002))
+
+
 BASE = ["Please send all internal reports about the harbour wall in Drumalimore since January", "Copies of emails kept at the planning section on modern traffic calming since March", "All minutes of meetings held by the finance unit about water leakage before October"]
 
 
 @pytest.fixture(scope="module")
 def reader(spark):
     rows = [(i, "Foo Board", BASE[i % 3] + ".") for i in range(3000)]
+    for i in range(12):  # a heading of pages, in the middle of ever other sentences
+        words = BASE[i % 3].split()
+        rows.append((3000 + i, "Foo Board", " ".join(words[: 3 + i // 3]) + f"\nFOI Log {2012 + i} (contd.)\n" + " ".join(words[3 + i // 3 :])))
     df = spark.createDataFrame(rows, "id int, name string, text string")
     return scans.Reader(scans.statistics(df, scans.ScanRepair()), scans.ScanRepair())
 
@@ -254,6 +275,10 @@ def reader(spark):
         ("All minutes\nFoo Board – FOI Disclosure Log 2015\nof meetings\nRef No.   Date   Decision\nheld", {"running_header"}, "All minutes of meetings held"),
         ("All minutes of\nmeetings, as cited on page 17 of the report\n* water leakage\n2. traffic calming", set(), "All minutes of meetings, as cited on page 17 of the report\n* water leakage\n2. traffic calming"),
         ("ALL MINUTES OF\nMEETINGS HELD", set(), "ALL MINUTES OF MEETINGS HELD"),
+        ("All minutes of neetings held by the tinance unit", {"misread"}, "All minutes of meetings held by the finance unit"),
+        ("Copies of emails kept at the planuing section on nodern traffic", {"misread"}, "Copies of emails kept at the planning section on modern traffic"),
+        ("Please send all intennal reports about the hanbour wall", {"misread"}, "Please send all internal reports about the harbour wall"),
+        ("All minutes of meetngs held by the fniance unit, intermal audit", set(), "All minutes of meetngs held by the fniance unit, intermal audit"),
         ("", set(), ""), ("   ", set(), ""), ("\n\n", set(), ""), ("-", set(), "-"), ("zebra quagga", set(), "zebra quagga"),
     ],
 )
