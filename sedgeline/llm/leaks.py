@@ -1,11 +1,13 @@
 """Held-out passages inside corpus documents, by greedy string tiling.
 
 Runs of `seed` words of the items are hashed; a document's rolling hashes are matched
-against them (shared-token seeds). Documents with a hit are tiled: the longest common runs of
+against them (shared-token seeds). The seeds that a document shares with an item cover a part of the item, which
+no tiling can exceed: pairs whose cover reaches neither the longest run nor the share that make a leak go no further.
+The others are tiled: the longest common runs of
 unmarked words are marked again and again (running Karp-Rabin: runs of length s are found by
-equal rolling hashes and extended word by word, with s falling), until none of `shortest`
-words is left. A passage that is cut up or reordered keeps a high coverage of the item; the
-longest tile says how much stands in one piece.
+equal rolling hashes and extended word by word, with s falling), until none of `seed`
+words is left. A leak is an item of which one tile has `longest` words, or whose tiles cover the share `coverage` of it: so
+a passage that is cut up or reordered is found as well.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sedgeline.llm.words import hashed_batch, shingle_hashes, word_hash, words_of
 from sedgeline.runtime import bounded_rows
@@ -24,13 +27,14 @@ from sedgeline.runtime import bounded_rows
 
 @dataclass(frozen=True)
 class Leaks:
-    """seed: consecutive words that make a document a candidate for an item, and the least
-    longest tile of a reported leak. shortest: least tile that counts for the coverage.
-    block_items: items held in a task at once; more are searched in further passes."""
+    """seed: words of a seed, and least words of a tile. longest, coverage: the words of one tile, or the share
+    of the item's words in tiles, that make a leak. block_words: words of items held in a task at once (an item is
+    never parted); more are searched in further passes."""
 
-    seed: int = 10
-    shortest: int = 4
-    block_items: int = 20_000
+    seed: int = 5
+    longest: int = 10
+    coverage: float = 0.5
+    block_words: int = 2_000_000
 
 
 def tiles(item: list[int], doc: list[int], shortest: int, longest_first: int = 64) -> list[tuple[int, int, int]]:
@@ -94,6 +98,18 @@ def _equal_runs(item, free_i, doc, free_d, s: int) -> list[tuple[int, int]]:
     return [(i, j) for h, i in _rolled(item, free_i, s) for j in at.get(h, ()) if item[i : i + s] == doc[j : j + s]]
 
 
+def _blocks(items: list[tuple[int, list[int]]], most: int) -> Iterator[list[tuple[int, list[int]]]]:
+    """Items in blocks of about so many words."""
+    block, held = [], 0
+    for item in items:
+        if block and held + len(item[1]) > most:
+            yield block
+            block, held = [], 0
+        block.append(item)
+        held += len(item[1])
+    yield block
+
+
 def leaked_items(documents: DataFrame, items: DataFrame, p: Leaks = Leaks(), most_items: int = 1_000_000) -> DataFrame:
     """doc_id, item_id, longest (words in one piece), coverage (share of the item's words in tiles).
 
@@ -103,45 +119,68 @@ def leaked_items(documents: DataFrame, items: DataFrame, p: Leaks = Leaks(), mos
     set: they are searched in blocks against all documents, whole texts, without a cap.
     """
     rows = bounded_rows(items.select("item_id", "text").filter("item_id is not null and text is not null").distinct(), most_items, "test items")
-    rows = sorted((r[0], r[1]) for r in rows)
+    hashed = [(i, [word_hash(w) for w in words_of(t)]) for i, t in sorted((r[0], r[1]) for r in rows)]
     schema = "doc_id long, item_id long, longest int, coverage double"
     out = None
-    for k in range(0, max(len(rows), 1), p.block_items):
-        block = [(i, [word_hash(w) for w in words_of(t)]) for i, t in rows[k : k + p.block_items]]
-        block = [(i, w) for i, w in block if len(w) >= p.seed]
+    for block in _blocks([x for x in hashed if len(x[1]) >= p.seed], p.block_words):
         flat, lengths = np.array([w for _, x in block for w in x], np.uint64), np.array([len(x) for _, x in block], np.int64)
         seeds, counts = shingle_hashes(flat, lengths, p.seed)
         owner = np.repeat(np.arange(len(block)), counts)
+        position = np.arange(len(seeds)) - np.repeat(np.cumsum(counts) - counts, counts)
         order = np.argsort(seeds, kind="stable")
-        shared = documents.sparkSession.sparkContext.broadcast((block, seeds[order], owner[order]))
+        shared = documents.sparkSession.sparkContext.broadcast((block, seeds[order], owner[order], position[order]))
         found = documents.select("doc_id", "text").mapInPandas(lambda batches, shared=shared: _search(batches, shared.value, p), schema)
         out = found if out is None else out.unionByName(found)
-    return out.filter("doc_id is not null").distinct()
+    return out.filter("doc_id is not null").groupBy("doc_id", "item_id").agg(F.max("longest").alias("longest"), F.max("coverage").alias("coverage"))
+
+
+def covered(position: np.ndarray, new: np.ndarray, size: int) -> np.ndarray:
+    """Words covered by runs of `size` words at rising positions; new marks the first of each group. One number per group."""
+    gap = np.full(len(position), size, np.int64)
+    gap[:-1] = np.where(new[1:], size, np.minimum(size, np.diff(position)))
+    return np.add.reduceat(gap, np.flatnonzero(new)) if len(position) else np.zeros(0, np.int64)
 
 
 def _search(batches: Iterator[pd.DataFrame], shared, p: Leaks) -> Iterator[pd.DataFrame]:
-    block, seeds, owner = shared
+    block, seeds, owner, position = shared
+    length = np.array([len(x) for _, x in block], np.int64)
+    enough = np.minimum(p.longest, np.ceil(p.coverage * length - 1e-9)).astype(np.int64)
     for b in batches:
         texts = [words_of(t) if isinstance(t, str) else [] for t in b["text"]]
         flat, lengths = hashed_batch(texts)
         h, counts = shingle_hashes(flat, lengths, p.seed)
-        at = np.searchsorted(seeds, h)
-        hit = np.flatnonzero(seeds[np.minimum(at, len(seeds) - 1)] == h) if len(seeds) and len(h) else np.zeros(0, np.int64)
-        doc_of = np.searchsorted(np.cumsum(counts), hit, "right")
-        wanted: dict[int, set[int]] = defaultdict(set)
-        for d, x in zip(doc_of.tolist(), at[hit].tolist()):
-            seed = seeds[x]
-            while x < len(seeds) and seeds[x] == seed:
-                wanted[d].add(int(owner[x]))
-                x += 1
-        ends = np.cumsum(lengths)
         out = []
-        for d, candidates in wanted.items():
-            doc = flat[ends[d] - lengths[d] : ends[d]].tolist()
-            for c in sorted(candidates):
-                item_id, words = block[c]
-                got = tiles(words, doc, p.shortest)
-                longest = max((k for _, _, k in got), default=0)
-                if longest >= p.seed:
-                    out.append((b["doc_id"].iloc[d], item_id, longest, sum(k for _, _, k in got) / len(words)))
+        if len(seeds) and len(h):
+            low = np.searchsorted(seeds, h)
+            hit = np.flatnonzero(seeds[np.minimum(low, len(seeds) - 1)] == h)
+            times = np.searchsorted(seeds, h[hit], "right") - low[hit]
+            at = np.repeat(low[hit] - (np.cumsum(times) - times), times) + np.arange(times.sum())  # every equal seed of every item
+            where = np.repeat(hit, times)
+            doc = np.searchsorted(np.cumsum(counts), where, "right")
+            order = np.lexsort((position[at], owner[at], doc))
+            doc, item, pos, where = doc[order], owner[at][order], position[at][order], where[order]
+            new = np.ones(len(doc), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
+            starts = np.flatnonzero(new)
+            good = np.flatnonzero(covered(pos, new, p.seed) >= enough[item[starts]]) if len(starts) else []
+            stops, text_at, shift = np.append(starts[1:], len(doc)), np.cumsum(lengths) - lengths, np.cumsum(counts) - counts
+            for g in good:
+                a, d = starts[g], int(doc[starts[g]])
+                item_id, words = block[item[a]]
+                spots = np.unique(where[a : stops[g]]) - shift[d]
+                got = tiles(words, _around(flat[text_at[d] : text_at[d] + lengths[d]], spots, p.seed), p.seed)
+                longest, share = max((k for _, _, k in got), default=0), sum(k for _, _, k in got) / len(words)
+                if longest >= p.longest or share >= p.coverage - 1e-9:
+                    out.append((b["doc_id"].iloc[d], item_id, longest, share))
         yield pd.DataFrame(out, columns=["doc_id", "item_id", "longest", "coverage"])
+
+
+def _around(words: np.ndarray, spots: np.ndarray, size: int) -> list[int]:
+    """The words of a text that stand in a shared seed, runs of them parted by marks that equal no word:
+    a tile is made of seeds, so the rest of the text can hold none."""
+    out: list[int] = []
+    cuts = np.flatnonzero(np.diff(spots) > size) + 1
+    for k, run in enumerate(np.split(spots, cuts)):
+        out += words[run[0] : run[-1] + size].tolist()
+        out.append(-1 - k)
+    return out

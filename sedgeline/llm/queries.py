@@ -9,7 +9,7 @@ from sedgeline.llm.canonical import UNMATCHED, mapped_values
 from sedgeline.llm.languages import document_languages, mislabelled_paragraphs, segment_languages
 from sedgeline.llm.leaks import leaked_items
 from sedgeline.llm.near_duplicates import NearDuplicates, near_duplicate_classes, near_duplicate_pairs
-from sedgeline.llm.packing import pack_fill, packed_texts
+from sedgeline.llm.packing import Packing, pack_fill, packed_texts
 from sedgeline.llm.scans import repaired_texts
 from sedgeline.runtime import table
 
@@ -37,12 +37,26 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_fill(p8_packs(spark, sf_dir))
 
 
+#: Instruction data: at most four fifths of a pack may bear loss.
+INSTRUCTIONS = Packing(loss_share=0.8)
+
+
+def p8_loss_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As p8_packs, under a limit of loss-bearing tokens that binds; texts that exceed it alone are cut by it."""
+    return packed_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_sizes"), INSTRUCTIONS)
+
+
+def p8_loss_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_fill(p8_loss_packs(spark, sf_dir), INSTRUCTIONS.loss_share)
+
+
 def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of which a document holds ten words in a row, or half of the words in runs of five or more, in whatever order."""
     return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p9_leaks(spark, sf_dir).select("doc_id", "item_id")
+    return p9_leaks(spark, sf_dir).filter("longest >= 10").select("doc_id", "item_id")
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +92,7 @@ def p3_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mapped(spark, sf_dir).filter(F.col("label") == UNMATCHED).groupBy("field_name", "value").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_unmatched, p4_found, p4_classes, p8_packs, p8_fill, p9_found, p9_leaks, p10_found, p10_documents, p10_segments)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_unmatched, p4_found, p4_classes, p8_packs, p8_fill, p8_loss_packs, p8_loss_fill, p9_found, p9_leaks, p10_found, p10_documents, p10_segments)}
 
 SQL = {
     "p9_found": r"""with d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w from documents where text is not null), i as (select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w from eval_items),

@@ -147,11 +147,35 @@ def test_leaks_against_brute_force(spark):
     d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
     i = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit("clash"))
     got = {(r["doc_id"], r["item_id"]): (r["longest"], r["coverage"]) for r in leaks.leaked_items(d, i, p).collect()}
-    assert got == {(a, b): (12, 1.0) for a in (1, 6) for b in (10, 11)}
-    assert {(r["doc_id"], r["item_id"]) for r in leaks.leaked_items(d, i, leaks.Leaks(block_items=1)).collect()} == set(got)
+    assert got == {(a, b): x for a, x in ((1, (12, 1.0)), (2, (9, 0.75)), (5, (6, 1.0)), (6, (12, 1.0))) for b in (10, 11)}
+    assert {(r["doc_id"], r["item_id"]) for r in leaks.leaked_items(d, i, leaks.Leaks(block_words=1)).collect()} == set(got)
+    assert {r["doc_id"] for r in leaks.leaked_items(d, i, leaks.Leaks(coverage=2.0)).collect()} == {1, 6}
     assert leaks.leaked_items(d, i.filter("false"), p).count() == 0 and leaks.leaked_items(d.filter("false"), i, p).count() == 0
-    moved = {r["doc_id"]: r["coverage"] for r in leaks.leaked_items(d, i, leaks.Leaks(seed=6)).collect()}
-    assert moved[5] == 1.0  # reordered, yet covered
+
+
+def test_cut_up_and_reordered_leaks(spark):
+    """An item in six shuffled pieces of eight words is a leak by its coverage; brute force over all pairs agrees."""
+    rng = random.Random(3)
+    items = [(k, [f"k{k}w{i}" for i in range(48)]) for k in range(8)] + [(100, "a b c d e".split()), (101, "a b c d".split())]
+    docs = []
+    for n in range(80):
+        k = rng.randrange(8)
+        parts = [items[k][1][i : i + 8] for i in range(0, 48, 8)]
+        rng.shuffle(parts)
+        words = [w for part in parts[: rng.randrange(1, 7)] for w in [*part, *(f"n{rng.randrange(99)}" for _ in range(rng.randrange(1, 4)))]]
+        docs.append((n, words + "a b c d e".split()[: rng.randrange(6)]))
+    p = leaks.Leaks()
+    want = {}
+    for n, doc in docs:
+        for k, item in items:
+            got = leaks.tiles([hash(w) for w in item], [hash(w) for w in doc], p.seed)
+            longest, share = max((x for *_, x in got), default=0), sum(x for *_, x in got) / len(item)
+            if longest >= p.longest or share >= p.coverage:
+                want[n, k] = (longest, share)
+    d = spark.createDataFrame([(n, " ".join(w)) for n, w in docs], "doc_id long, text string").repartition(3)
+    i = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]): (r["longest"], r["coverage"]) for r in leaks.leaked_items(d, i, p).collect()} == want
+    assert any(x == 8 and share == 1.0 for x, share in want.values()) and any(k == 100 for _, k in want) and not any(k == 101 for _, k in want)
 
 
 def test_leaks_sql(spark):
@@ -352,6 +376,31 @@ def test_loss_limit_binds(spark):
     assert max(losses(packing.Packing())) > 256 >= max(losses(packing.Packing(loss_share=0.5)))
 
 
+def test_pieces_by_every_limit(spark):
+    assert list(packing.pieces(10, 2, 10, 10)) == [(0, 10, 8)] and list(packing.pieces(0, 0, 5, 5)) == []
+    assert list(packing.pieces(10, 2, 10, 3)) == [(0, 5, 3), (5, 3, 3), (8, 2, 2)] and list(packing.pieces(9, 9, 4, 1)) == [(0, 4, 0), (4, 4, 0), (8, 1, 0)]
+    df = spark.createDataFrame([(i, "ask " * 3 + "\n\n" + "answer " * 900) for i in range(7)], "doc_id long, text string")
+    sizes = spark.createDataFrame([(1, 512)], "pack_id int, capacity_tokens int")
+    p = packing.Packing(loss_share=0.8, block=4)
+    packed = packing.packed_texts(df, sizes, p)
+    fill = packing.pack_fill(packed, 0.8).first()
+    assert fill["most_loss"] <= 409 and fill["most_tokens"] <= 512 and fill["n_loss"] == packed.agg(F.sum("n_loss")).first()[0]
+    enc = packing.encoding(p.tokenizer)
+    for t in ("a  \n\n b c", "\n\nx", "one two\r\n \r\n\r\nthree", "no break", "x 1's\n\n\n y\n\nz", "tab\t\n\t\n\tq"):
+        assert packing.measured(enc, t)[0] == len(enc.encode_ordinary(t))
+
+
+def test_nothing_waits_for_ever():
+    """Items that no pack takes together are closed after some blocks."""
+    x = packing._Packer(1, 100, 0, packing.Packing(block=10, patience=2))
+    out = []
+    for k in range(200):
+        out += [r for df in x.add([(k, 60, 0)]) for r in df["doc_id"]]
+        assert len(x.waiting) <= 10 * 4
+    out += [r for df in x.end() for r in df["doc_id"]]
+    assert sorted(out) == list(range(200))
+
+
 def test_pack_block_limits():
     demand = np.array([[5, 1, 9], [5, 1, 1], [5, 1, 1], [1, 1, 0]], float)
     packs = packing.pack_block(demand, np.array([10, 2, 10], float))
