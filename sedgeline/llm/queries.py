@@ -94,7 +94,18 @@ def p3_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_repaired, p3_found, p3_unmatched, p4_found, p4_classes, p8_packs, p8_fill, p8_loss_packs, p8_loss_fill, p9_found, p9_leaks, p10_found, p10_documents, p10_segments)}
 
+_NEAR = r"""with t as (select id, regexp_extract_all(lower(coalesce(foi_reference_id, '') || ' ' || request_description), '[\p{L}\p{N}]+') w from foi_disclosures where request_description is not null and id is not null),
+c as (select array_to_string(w, ' ') name, any_value(w) w, min(id) class_id, count(distinct id) n_copies from t where len(w) >= 20 group by 1),
+s as (select distinct class_id, hash(w[k], w[k + 1], w[k + 2]) h from (select class_id, w, unnest(range(1, len(w) - 1)) k from c)),
+m as (select class_id, count(*) m from s group by 1),
+near as (select a, b from (select a.class_id a, b.class_id b, count(*) n from s a join s b on a.h = b.h and a.class_id < b.class_id group by all) join m x on x.class_id = a join m y on y.class_id = b where n >= 0.5 * (x.m + y.m - n)),
+member as (select distinct t.id, c.class_id, c.n_copies from t join c on array_to_string(t.w, ' ') = c.name)"""
+
 SQL = {
+    "p4_found": f"""{_NEAR} select least(x.id, y.id) id_a, greatest(x.id, y.id) id_b from near join member x on x.class_id = a join member y on y.class_id = b
+union select x.id, y.id from member x join member y on x.class_id = y.class_id and x.id < y.id""",
+    "p4_classes": f"""{_NEAR}, l as (select class_id, count(*) n from (select a class_id from near union all select b from near) group by 1)
+select id, member.class_id, n_copies, coalesce(l.n, 0) n_links from member left join l on l.class_id = member.class_id""",
     "p9_found": r"""with d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w from documents where text is not null), i as (select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') w from eval_items),
 dg as (select doc_id, w, unnest(range(1, len(w) - 8)) k from d), ig as (select item_id, w, unnest(range(1, len(w) - 8)) k from i)
 select distinct doc_id, item_id from (select doc_id, array_to_string(w[k:k + 9], ' ') g from dg) a join (select item_id, array_to_string(w[k:k + 9], ' ') g from ig) b using (g)""",
