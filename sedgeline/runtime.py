@@ -16,33 +16,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir of the session.
 
-    Only where the session names none (tests, single machine) a local one is set.
+    Where the session names none, a local session (tests, a single machine) gets one of its own; on a cluster that raises, since
+    executors cannot read each other's disks.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if not named:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        named = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="sedgeline-")
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(named)
+        current = context._jsc.sc().getCheckpointDir()
+        if current.isDefined():
+            named = current.get()
+        elif context.master.split("[")[0] == "local":
+            named = tempfile.mkdtemp(prefix="sedgeline-")
+        else:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(named)
     return named
 
 
+def scratch_path(spark: SparkSession, what: str) -> str:
+    """A new folder for an intermediate table, below the folder of this session, so that clearing it harms no other session."""
+    return f"{shared_dir(spark)}/sedgeline/{spark.sparkContext.applicationId}/{what}_{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Replace the lineage of df by files in the shared folder (reliable checkpoint)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, what: str = "table") -> DataFrame:
     """As cut(), but as compressed Parquet: for wide or large intermediate tables."""
-    path = f"{shared_dir(df.sparkSession)}/sedgeline/{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, what)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def clear_stored(spark: SparkSession) -> None:
-    """Delete what stored() and the snapshot indexes left in the shared folder; results that still read it end with it."""
-    remove_path(spark, f"{shared_dir(spark)}/sedgeline")
+    """Delete what this session stored; results that still read it end with it."""
+    remove_path(spark, f"{shared_dir(spark)}/sedgeline/{spark.sparkContext.applicationId}")
 
 
 def bounded_rows(df: DataFrame, limit: int, what: str) -> list:

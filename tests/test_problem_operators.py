@@ -10,7 +10,7 @@ import __spark_entry__ as contract
 from sedgeline.operators.hierarchy import tree_descendants, tree_paths
 from sedgeline.operators.profile import column_profile, form_mask, load_findings, mask, mask_drift, mined_patterns, rare_masks, value_counts
 from sedgeline.operators.references import current_rows, fault_counts, faulty_references, reference_rows
-from sedgeline.operators.snapshots import plain_url, plain_value, snapshot_changes
+from sedgeline.operators.snapshots import SnapshotIndex, plain_url, plain_value, snapshot_changes
 
 T = dt.datetime
 
@@ -178,3 +178,21 @@ def test_faulty_references(spark):
     none = refs.filter("false")
     assert faulty_references([reference_rows(none, "t", "id", "body", "at")], cur, "k", "listed", "removed").count() == 0
     assert faulty_references([reference_rows(refs, "t", "id", "body", "at")], cur.filter("false"), "k", "listed", "removed").count() == 6
+
+
+def test_snapshot_index_outlives_deliveries(spark):
+    """An index by name: probed by the next delivery, as it was after one that fails, found again by a new object."""
+    rows = lambda *x: spark.createDataFrame(x, "k int, url string, mail string")
+    make = lambda: SnapshotIndex.open(spark, "test_contacts", "k", ["url", "mail"], 3)
+    make().drop()
+    assert make().current() is None and make().deliver(rows((1, "a", "m"), (2, "b", None), (3, "c", "x")), 1) is None
+    held = make().current()
+    with pytest.raises(Exception):
+        make().deliver(rows((1, "a", "m")).withColumn("url", F.raise_error(F.lit("broken")).cast("string")), 2)
+    assert make().current() == held
+    got = make().deliver(rows((1, "a", "n"), (2, None, None), (4, "d", "y")), 2)
+    assert {tuple(r) for r in got.collect()} == {(1, "mail", "m", "n"), (2, "url", "b", None), (3, "removed", None, None), (4, "added", None, None)}
+    spark.sql(f"DROP TABLE IF EXISTS snapshot_index_{make().current()[0]}")  # as in a new session
+    assert make().deliver(rows((1, "a", "n"), (2, None, None), (4, "d", "y")), 3).count() == 0
+    assert make().deliver(rows((1, "a", "n")), 9) is None and make().current()[1] == 9
+    make().drop()

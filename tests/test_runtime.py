@@ -15,7 +15,7 @@ def test_bounded_rows(spark):
 
 def test_stored_and_cleared(spark):
     assert runtime.cut(spark.range(5)).count() == 5 and runtime.stored(spark.range(7)).count() == 7
-    folder = Path(runtime.shared_dir(spark).removeprefix("file:")) / "sedgeline"
+    folder = Path(runtime.shared_dir(spark).removeprefix("file:")) / "sedgeline" / spark.sparkContext.applicationId
     assert folder.exists()
     runtime.clear_stored(spark)
     assert not folder.exists()
