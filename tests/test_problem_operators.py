@@ -119,13 +119,13 @@ def brute_tree(parents):
     return out
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_tree_paths(spark, seed):
+@pytest.mark.parametrize("seed, core", [(0, 0), (1, 0), (0, 2000), (2, 20)])
+def test_tree_paths(spark, seed, core):
     rng = random.Random(seed)
     parents = {i: rng.choice([None, rng.randrange(120), i - 1 if i else None, 999]) for i in range(120)}
     rows = [(k, p, "x", 5) for k, p in parents.items()] * 2 + [(None, 3, "x", 5)]
     df = spark.createDataFrame(rows, "v int, p int, label string, least int")
-    got = tree_paths(df, "v", "p")
+    got = tree_paths(df, "v", "p", core=core)
     assert {r["v"]: (r["root"], r["depth"], r["path"]) for r in got.collect()} == brute_tree(parents)
     pairs = {tuple(r) for r in tree_descendants(got, "v").collect()}
     want = set()
@@ -137,11 +137,12 @@ def test_tree_paths(spark, seed):
 
 def test_tree_chain_and_empty(spark):
     chain = spark.createDataFrame([(i, i - 1 if i else None) for i in range(200)], "k int, up int")
-    got = {r["k"]: r["depth"] for r in tree_paths(chain, "k", "up").collect()}
+    got = {r["k"]: r["depth"] for r in tree_paths(chain, "k", "up", core=20).collect()}
     assert got == {i: i for i in range(200)}
     assert tree_paths(spark.createDataFrame([], "k int, up int"), "k", "up").count() == 0
     ring = spark.createDataFrame([(i, (i + 1) % 30) for i in range(30)] + [(50, 50)], "k int, up int")
-    assert {(r["k"], r["root"], r["depth"]) for r in tree_paths(ring, "k", "up").collect()} == {(i, 0, -1) for i in range(30)} | {(50, 50, -1)}
+    for core in (0, 2000):
+        assert {(r["k"], r["root"], r["depth"]) for r in tree_paths(ring, "k", "up", core=core).collect()} == {(i, 0, -1) for i in range(30)} | {(50, 50, -1)}
 
 
 SNAP = "no int, k int, at timestamp_ntz, url string, mail string, change_kind string, _key int"
