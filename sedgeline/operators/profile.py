@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedgeline.runtime import stored
+
 EPS = 1e-9
 
 
@@ -69,7 +71,7 @@ def value_counts(rows: DataFrame, keys: list[str], columns: Mapping[str, str], l
 
     columns maps each profiled column to its kind: `date`, `code` or `text`. Dates and codes are counted by
     value; their masks are worked out once per distinct value, behind the shuffle. A text never
-    travels: texts="value" counts it by 128 bits of hash, with its form and length, and adds per keys
+    travels: texts="value" counts it by 128 bits of hash, with its length and, for a mask, `9` if it holds a digit, and adds per keys
     the least and greatest text as rows of n = 0; texts="form" counts forms, texts="length" lengths alone.
 
     One row of the input becomes one per column; the map side combines equal ones, so a load or value with
@@ -91,7 +93,7 @@ def value_counts(rows: DataFrame, keys: list[str], columns: Mapping[str, str], l
         cells.append(F.struct(
             F.lit(i).alias("_no"), blank(v).alias("is_blank"), (null("string") if text else held).alias("value"),
             (hashed["a"] if text and texts == "value" else null("bigint")).alias("_a"), (hashed["b"] if text and texts == "value" else null("bigint")).alias("_b"),
-            (form_mask(held) if text and texts != "length" else null("string")).alias("_form"), (F.length(held) if text and texts != "form" else null("int")).alias("_len"), out.alias("_out"),
+            (form_mask(held) if text and texts == "form" else F.when(held.rlike(r"\p{Nd}"), "9") if text and texts == "value" else null("string")).alias("_form"), (F.length(held) if text and texts != "form" else null("int")).alias("_len"), out.alias("_out"),
         ))
     at = lambda of: F.element_at(F.array(*[F.lit(x) for x in of]), F.col("_no") + 1)
     length = F.coalesce(F.col("_len"), F.length("value"), F.lit(0)).cast("bigint")
@@ -122,28 +124,37 @@ def column_profile(counts: DataFrame, keys: list[str]) -> DataFrame:
     their column: dates whose mask is another or that are no day of the calendar; codes with a
     digit where the pattern has none. Texts have no such rule, only masks.
     """
-    by = [*keys, "column_name", "kind"]
-    patterns = mined_patterns(counts)
+    by, filled = [*keys, "column_name", "kind"], ~F.col("is_blank")
     real = real_date(F.col("value")).isNotNull()
-    filled = ~F.col("is_blank")
     digit = F.coalesce(F.col("mask").contains("9") & F.col("value").rlike("[0-9]"), F.lit(False))
-    off = F.when(F.col("kind") == "date", (F.col("mask") != F.col("pattern")) | ~real).when(F.col("kind") == "code", digit & ~F.col("pattern").contains("9")).otherwise(F.lit(False))
     n_if = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
-    return counts.join(patterns, "column_name", "left").groupBy(*by).agg(
+    per_mask = stored(counts.groupBy(*by, "is_blank", "mask").agg(  # one row per mask: from here on it is small
+        F.sum("n").alias("n"), F.count(F.when(F.col("n") > 0, F.lit(1))).alias("n_distinct"), F.min("value").alias("least_value"), F.max("value").alias("greatest_value"),
+        n_if(real).alias("n_real_dates"), n_if(digit).alias("n_digit"), F.sum("n_outside").alias("n_outside"), F.max("n").alias("n_top"),
+        F.sum("len").alias("sum_len"), F.min("least_len").alias("least_len"), F.max("most_len").alias("most_len"),
+    ))
+    off = (
+        F.when(F.col("kind") == "date", F.when(F.col("mask") == F.col("pattern"), F.col("n") - F.col("n_real_dates")).otherwise(F.col("n")))
+        .when((F.col("kind") == "code") & ~F.col("pattern").contains("9"), F.col("n_digit"))
+        .otherwise(0)
+    )
+    of = lambda f, c: f(F.when(filled, F.col(c)))
+    none = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
+    return per_mask.join(mined_patterns(per_mask), "column_name", "left").groupBy(*by).agg(
         F.sum("n").alias("n_rows"),
         n_if(F.col("is_blank")).alias("n_blank"),
         n_if(filled).alias("n_values"),
-        F.count(F.when(filled & (F.col("n") > 0), F.lit(1))).alias("n_distinct"),
-        F.min("value").alias("least_value"),
-        F.max("value").alias("greatest_value"),
-        n_if(filled & real).alias("n_real_dates"),
+        none(of(F.sum, "n_distinct")).alias("n_distinct"),
+        F.min("least_value").alias("least_value"),
+        F.max("greatest_value").alias("greatest_value"),
+        none(of(F.sum, "n_real_dates")).alias("n_real_dates"),
         n_if(filled & F.col("mask").contains("9")).alias("n_with_digit"),
-        n_if(filled & off).alias("n_off_pattern"),
+        none(F.sum(F.when(filled, off))).alias("n_off_pattern"),
         F.sum("n_outside").alias("n_outside"),
-        F.coalesce(F.max(F.when(filled, F.col("n"))), F.lit(0)).alias("n_top"),
-        F.sum("len").alias("sum_len"),
-        F.min(F.when(filled, F.col("least_len"))).alias("least_len"),
-        F.max(F.when(filled, F.col("most_len"))).alias("most_len"),
+        none(of(F.max, "n_top")).alias("n_top"),
+        F.sum("sum_len").alias("sum_len"),
+        of(F.min, "least_len").alias("least_len"),
+        of(F.max, "most_len").alias("most_len"),
     )
 
 
