@@ -23,8 +23,14 @@ def status_object(fields: dict[str, Column]) -> Column:
 
 
 def serialised_cell(c: Column) -> Column:
-    """struct(text, as_json): any value as text; nested ones as JSON, flagged."""
-    return F.struct(F.to_json(F.struct(c.alias("v"))).alias("text"), F.lit(True).alias("as_json"))
+    """struct(text, as_json) of a cell of any type: scalars keep their printed form, times are ISO; only nested and
+    binary values fall back to JSON, flagged. Null stays null."""
+    kind = F.typeof(c)
+    nested = kind.rlike("^(array|struct|map|binary|variant)")
+    whole = F.to_json(F.struct(c.alias("v")))
+    inner = F.substring(whole, F.lit(6), F.length(whole) - 6)  # {"v": ... }
+    printed = F.when(kind.startswith("timestamp"), F.replace(c.cast("string"), F.lit(" "), F.lit("T"))).otherwise(c.cast("string"))
+    return F.struct(F.when(c.isNull(), None).when(nested, inner).otherwise(printed).alias("text"), (nested & c.isNotNull()).alias("as_json"))
 
 
 def name_confidence(name: Column, domain: Column, least: int = 5, common: tuple[str, ...] = ("board", "council", "department", "national", "ireland", "authority", "office")) -> Column:

@@ -12,17 +12,17 @@ def row_id(url: Column, index: Column) -> Column:
 
 
 def set_fingerprint(c: Column) -> Column:
-    """Aggregate: a digest of the set of distinct values, whatever their order.
+    """Aggregate: a digest of a bag of values, whatever their order; equal values count as often as they occur.
 
-    Each distinct value adds 60 bits of its MD5, so the state is one number and no group is
-    ever collected; feed it distinct rows.
+    Each value adds both 60-bit halves of its MD5 to a sum, so the state is two numbers and no group is
+    ever collected; for a set feed it distinct rows. Null values add nothing.
     """
-    return F.bit_xor(number_of(c))
+    return F.concat_ws("-", F.sum(number_of(c).cast("decimal(28,0)")).cast("string"), F.sum(number_of(c, 16).cast("decimal(28,0)")).cast("string"))
 
 
-def number_of(c: Column) -> Column:
-    """60 bits of the MD5 of a value as a bigint."""
-    return F.conv(F.substring(F.md5(c), 1, 15), 16, 10).cast("bigint")
+def number_of(c: Column, first: int = 1) -> Column:
+    """60 bits of the MD5 of a value as a bigint, from that hex digit on."""
+    return F.conv(F.substring(F.md5(c), first, 15), 16, 10).cast("bigint")
 
 
 def content_key(*parts: Column) -> Column:
@@ -31,5 +31,6 @@ def content_key(*parts: Column) -> Column:
 
 
 def grouped_digest_sql(c: str) -> str:
-    """The SQL of number_of()."""
-    return f"cast('0x' || substr(md5({c}), 1, 15) as bigint)"
+    """The SQL of set_fingerprint()."""
+    half = lambda k: f"cast(sum(cast('0x' || substr(md5({c}), {k}, 15) as hugeint)) as varchar)"
+    return f"concat_ws('-', {half(1)}, {half(16)})"

@@ -196,7 +196,7 @@ g as (select k.public_body_id, count(address) n, min(address) first, min(address
 p as (select *, case when n = 1 then first else foi end address from g)
 select public_body_id, n n_addresses, address, case when n = 0 then 'not_found' when address is not null then 'found' else 'multiple_found' end email_status from p""",
     "row_ids": "select id, left(sha1(concat_ws(':', file_url, cast(id as varchar))), 12) row_id from foi_disclosures",
-    "page_fingerprints": f"with t as (select distinct source_page_url, document_url from disclosure_files where source_page_url is not null and document_url is not null) select source_page_url, count(*) n_files, bit_xor({hashes.grouped_digest_sql('document_url')}) fingerprint from t group by 1",
+    "page_fingerprints": f"with t as (select distinct source_page_url, document_url from disclosure_files where source_page_url is not null and document_url is not null) select source_page_url, count(*) n_files, {hashes.grouped_digest_sql('document_url')} fingerprint from t group by 1",
     "list_lines": r"""with l as (select doc_id, unnest(regexp_split_to_array(text, '\r?\n')) line from documents where text is not null)
 select doc_id, count(*) filter (trim(line, ' ') <> '') n_lines, count(*) filter (regexp_matches(line, '^[ \t]*[•*–-][ \t]+')) n_bullets, count(*) filter (regexp_matches(line, '^[ \t]*[0-9]{1,3}[.)][ \t]+')) n_ordered, count(*) filter (regexp_matches(line, '^#{1,6}[ \t]+')) n_headings from l group by 1""",
     "plain_texts": r"""with p as (select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?m)^#{1,6}[ \t]+', '', 'g'), '[*][*]([^*]+)[*][*]', '\1', 'g'), '`([^`]+)`', '\1', 'g'), '\[([^\]]+)\]\([^)]*\)', '\1', 'g'), '(?m)^[ \t]*[-*_]{3,}[ \t]*$', '', 'g') plain from documents where text is not null)

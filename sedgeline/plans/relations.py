@@ -382,7 +382,7 @@ _CHECKS = {"no_description": _BLANK("request_description"), "no_date": _BLANK("d
 _QUALITY = f"q as (select public_body_id, {', '.join(f'count(*) filter ({c}) {k}' for k, c in _CHECKS.items())}, {' + '.join(f'count(*) filter ({c})' for c in _CHECKS.values())} n_failed from foi_disclosures where public_body_id is not null group by 1 having n_failed >= 10)"
 _EXT = r"lower(regexp_extract(coalesce(file_url, ''), '[.]([A-Za-z0-9]{1,5})(?:[?#].*)?$', 1))"
 _SITE = r"regexp_replace(lower(regexp_extract(document_url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www[.]', '')"
-_XOR = "bit_xor(cast('0x' || substr(md5({}), 1, 15) as bigint))"
+_SUMS = "concat_ws('-', cast(sum(cast('0x' || substr(md5({0}), 1, 15) as hugeint)) as varchar), cast(sum(cast('0x' || substr(md5({0}), 16, 15) as hugeint)) as varchar))"
 
 SQL = {
     "dedup_by_reference": f"""with t as (select id, public_body_id, case when coalesce(foi_reference_id, '') <> '' then {_STRIP('foi_reference_id')} end r, concat_ws(chr(31), {', '.join(f"trim(coalesce({c}, ''), ' ')" for c in ['file_url', *CLEAN[1:]])}) c from foi_disclosures)
@@ -455,11 +455,11 @@ union all select 'duplicate_line', count(*) from (select 1 from lineitem group b
 union all select 'unknown_status', count(*) from orders where o_orderstatus not in ('F', 'O', 'P')
 union all select 'discount_out_of_range', count(*) from lineitem where l_discount < 0 or l_discount > 1) select * from r where n_broken > 0""",
     "missing_order_keys": "with k as (select distinct o_orderkey k from orders), n as (select k, lead(k) over (order by k) n from k) select k + 1 first_missing, n - 1 last_missing from n where n > k + 1",
-    "body_manifest": f"select public_body_id, count(*) n_rows, strftime(min(loaded_at), '%Y-%m-%d') first_day, strftime(max(loaded_at), '%Y-%m-%d') last_day, {_XOR.format("concat_ws('|', cast(id as varchar), file_url)")} digest from foi_disclosures where public_body_id is not null group by 1",
+    "body_manifest": f"select public_body_id, count(*) n_rows, strftime(min(loaded_at), '%Y-%m-%d') first_day, strftime(max(loaded_at), '%Y-%m-%d') last_day, {_SUMS.format("concat_ws('|', cast(id as varchar), file_url)")} digest from foi_disclosures where public_body_id is not null group by 1",
     "scoped_merge": "with s as (select distinct o_custkey from orders where o_orderstatus = 'F' and o_custkey % 3 = 0) select o_custkey, o_orderkey, case when o_custkey in (select o_custkey from s) then lower(o_orderstatus) else o_orderstatus end o_orderstatus from orders",
     "scoped_merge_all": "with s as (select distinct o_custkey from orders where o_orderstatus = 'F') select o_custkey, o_orderkey, case when o_custkey in (select o_custkey from s) then lower(o_orderstatus) else o_orderstatus end o_orderstatus from orders",
     "page_changes": f"""with t as (select distinct source_page_url p, document_url d, loaded_at < timestamp '2024-07-01 00:00:00' old from disclosure_files where source_page_url is not null and document_url is not null),
-b as (select p, {_XOR.format('d')} x from (select distinct p, d from t where old) group by 1), n as (select p, {_XOR.format('d')} x from (select distinct p, d from t) group by 1)
+b as (select p, {_SUMS.format('d')} x from (select distinct p, d from t where old) group by 1), n as (select p, {_SUMS.format('d')} x from (select distinct p, d from t) group by 1)
 select case when b.p is null then 'new' when n.p is null then 'gone' when b.x = n.x then 'unchanged' else 'changed' end state, count(*) n_pages from b full join n on b.p = n.p group by 1""",
     "recheck_due": f"with {_current('cur', 'public_body_id', 'loaded_at', [], 'public_bodies')} select public_body_id from cur where coalesce(date_diff('day', cast(loaded_at as date), date '2025-06-30') > 180, true)",
     "fetch_gaps": f"""with h as (select id, string_split({_SITE}, '.') l, loaded_at from disclosure_files), t as (select id, case when len(l) < 2 then '' when len(l) >= 3 and length(l[-1]) = 2 and l[-2] in ('co', 'ac', 'org', 'net', 'com') then array_to_string(l[-3:], '.') else array_to_string(l[-2:], '.') end site, loaded_at from h),

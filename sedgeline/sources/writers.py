@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from sedgeline.functions.hashes import number_of
+from sedgeline.functions.hashes import set_fingerprint
 from sedgeline.functions.urls import loggable_url
+from sedgeline.operators.dedup import assigned_ids
 
 
 def json_line(columns: list[str]) -> Column:
@@ -34,10 +40,17 @@ def write_parts(df: DataFrame, path: str, key: str, order: str, columns: list[st
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
-def manifest(df: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
-    """Per key: rows, duplicates of the order column, and a digest that does not depend on the order of rows."""
-    lines = df.select(F.col(key), F.col(order).alias("_order"), json_line(columns).alias("_line"))
-    return lines.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"), (F.count(F.lit(1)) - F.countDistinct("_order")).alias("n_duplicates"), F.bit_xor(number_of("_line")).alias("digest"))
+def manifest(df: DataFrame, key: str, order: str, columns: list[str], day: str | None = None) -> DataFrame:
+    """Per key: rows, duplicates of the order column, the span of a date column if one is named, and a digest that
+    does not depend on the order of rows but on how often each occurs."""
+    lines = df.select(F.col(key), F.col(order).alias("_order"), json_line(columns).alias("_line"), (F.col(day) if day else F.lit(None)).cast("string").alias("_day"))
+    span = [F.min("_day").alias("first_day"), F.max("_day").alias("last_day")] if day else []
+    return lines.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"), (F.count(F.lit(1)) - F.countDistinct("_order")).alias("n_duplicates"), *span, set_fingerprint(F.col("_line")).alias("digest"))
+
+
+def manifest_totals(parts: DataFrame) -> DataFrame:
+    """The head of a manifest: number of parts and rows over all of them."""
+    return parts.agg(F.count(F.lit(1)).alias("n_parts"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum("n_duplicates"), F.lit(0)).alias("n_duplicates"))
 
 
 def manifest_problems(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
@@ -48,6 +61,39 @@ def manifest_problems(expected: DataFrame, found: DataFrame, key: str) -> DataFr
     return e.join(f, key, "full").select(key, problem.alias("problem")).filter("problem is not null")
 
 
+def part_changes(before: DataFrame, now: DataFrame, key: str) -> DataFrame:
+    """key, change: the parts of a manifest that were added, changed or removed since another."""
+    both = before.select(key, F.struct("n_rows", "digest").alias("_b")).join(now.select(key, F.struct("n_rows", "digest").alias("_n")), key, "full")
+    change = F.when(F.col("_b").isNull(), "added").when(F.col("_n").isNull(), "removed").when(F.col("_b") != F.col("_n"), "changed")
+    return both.select(key, change.alias("change")).filter("change is not null")
+
+
+def _part_name(path: Column) -> Column:
+    """The file's name with the folder of its key."""
+    return F.regexp_extract(path, r"((?:[^/]+=[^/]*/)*[^/]+)$", 1)
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """file, n_bytes and SHA-256 of the bytes of each written part file (each is bounded by rows_per_file)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(path)
+    return files.select(_part_name(F.col("path")).alias("file"), F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def part_problems(spark: SparkSession, path: str, schema: StructType, order: str) -> DataFrame:
+    """file, problem: lines of written parts that do not parse, that are not as json_line() would write them, whose order
+    value occurs twice, or that stand before a lesser one. An untouched folder has none."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select("value", _part_name(F.col("_metadata.file_path")).alias("file"), F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("i")).alias("_at"))
+    r = lines.withColumn("r", F.from_json("value", schema, {"mode": "PERMISSIVE"}))
+    key = F.col(f"r.{order}")
+    canonical = r.select("file", "_at", "value", key.alias("_key"), F.col("r.*")).withColumn("_again", json_line(schema.fieldNames()))
+    seen = canonical.withColumn("_before", F.lag("_key").over(Window.partitionBy("file").orderBy("_at"))).withColumn("_n", F.count("_key").over(Window.partitionBy("_key")))
+    found = F.array_compact(F.array(
+        F.when(F.col("_key").isNull(), "does_not_parse"), F.when(F.col("_key").isNotNull() & (F.col("value") != F.col("_again")), "not_canonical"),
+        F.when(F.col("_n") > 1, "duplicate"), F.when(F.col("_key") < F.col("_before"), "out_of_order"),
+    ))
+    return seen.select("file", F.explode(found).alias("problem")).distinct()
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
@@ -77,7 +123,7 @@ def write_version(df: DataFrame, root: str, version: str) -> None:
 def write_if_changed(df: DataFrame, path: str, key: str) -> bool:
     """Writes only if the rows differ from what lies there; says whether it wrote."""
     spark = df.sparkSession
-    digest = lambda d: d.agg(F.count(F.lit(1)), F.bit_xor(number_of(F.to_json(F.struct(*sorted(d.columns)))))).first()
+    digest = lambda d: d.agg(F.count(F.lit(1)), set_fingerprint(F.to_json(F.struct(*sorted(d.columns)), {"ignoreNullFields": "false"}))).first()
     fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     there = fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(fs)
     if there and digest(spark.read.parquet(path)) == digest(df):
@@ -92,6 +138,32 @@ def safe_errors(errors: DataFrame, url: str, message: str) -> DataFrame:
     return errors.withColumn(url, loggable_url(F.col(url))).withColumn(message, F.substring(blanked, 1, 200))
 
 
+def jsonld_document(df: DataFrame, path: str, context: dict[str, str], ident: Column, kind: str) -> None:
+    """One JSON-LD document per part file: a context, and its rows as the lines of one `@graph`."""
+    head = json.dumps({"@context": dict(sorted(context.items()))}, ensure_ascii=False)[:-1]
+    node = F.to_json(F.struct(ident.alias("@id"), F.lit(kind).alias("@type"), *df.columns))
+
+    def wrap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = True
+        for b in batches:
+            lines = b["value"].to_pylist()
+            yield pa.RecordBatch.from_pydict({"value": [f'{head}, "@graph": [{x}' if first and not k else f",{x}" for k, x in enumerate(lines)]})
+            first = first and not lines
+        yield pa.RecordBatch.from_pydict({"value": [f'{head}, "@graph": []}}' if first else "]}"]})
+
+    df.select(node.alias("value")).mapInArrow(wrap, "value string").write.mode("overwrite").text(path)
+
+
+def load_ordered(spark: SparkSession, url: str, table: str, df: DataFrame, known: DataFrame, key: str, ident: str, batch: int = 100) -> DataFrame:
+    """Loads rows whose key the target lacks, with numbers that go on behind the known ones; returns the id map of all keys.
+
+    known: key and ident of what the target holds (read it with sql_table()).
+    """
+    mapped = assigned_ids(known, df, key, ident)
+    load_table(df.join(mapped, key), url, table, batch)
+    return known.select(key, ident).unionByName(mapped.select(key, ident))
+
+
 def load_table(df: DataFrame, url: str, table: str, batch: int = 100, mode: str = "append") -> None:
     """Rows into another database by JDBC, so many per statement batch."""
     df.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", batch).mode(mode).save()

@@ -26,6 +26,61 @@ def test_parts_and_manifest(spark, tmp_path):
     assert {r["problem"] for r in writers.manifest_problems(twice, twice, "k").collect()} == {"duplicate_rows"}
 
 
+def test_digests_count_repeats(spark, tmp_path):
+    a, b = (spark.createDataFrame([(x, 1), (x, 1)], "k string, n int") for x in "ab")
+    path = str(tmp_path / "repeats")
+    assert writers.write_if_changed(a, path, "k") and writers.write_if_changed(b, path, "k") and not writers.write_if_changed(b, path, "k")
+    assert {r[0] for r in spark.read.parquet(path).select("k").collect()} == {"b"}
+    four = writers.manifest(a.unionByName(a), "n", "k", ["k"])
+    assert four.first()["digest"] not in (writers.manifest(a, "n", "k", ["k"]).first()["digest"], writers.manifest(b.unionByName(b), "n", "k", ["k"]).first()["digest"])
+
+
+def test_manifest_files_and_problems(spark, tmp_path):
+    path = str(tmp_path / "parts")
+    df = spark.createDataFrame([(1, "b", "2024-02-01"), (1, "a", "2024-01-01"), (2, "c", None)], "k int, row_id string, day string")
+    writers.write_parts(df, path, "k", "row_id", ["row_id", "day"])
+    m = writers.manifest(df, "k", "row_id", ["row_id", "day"], "day")
+    assert {(r["k"], r["n_rows"], r["first_day"], r["last_day"]) for r in m.collect()} == {(1, 2, "2024-01-01", "2024-02-01"), (2, 1, None, None)}
+    assert tuple(writers.manifest_totals(m).first()) == (2, 3, 0) and tuple(writers.manifest_totals(m.filter("false")).first()) == (0, 0, 0)
+    now = writers.manifest(df.filter("k = 1").withColumn("day", F.lit("x")).unionByName(df.filter("k = 2").withColumn("k", F.lit(3))), "k", "row_id", ["row_id", "day"])
+    assert {tuple(r) for r in writers.part_changes(m, now, "k").collect()} == {(1, "changed"), (2, "removed"), (3, "added")}
+    import hashlib
+
+    files = {r["file"]: (r["n_bytes"], r["sha256"]) for r in writers.file_digests(spark, path).collect()}
+    assert files == {str(f.relative_to(tmp_path / "parts")): (f.stat().st_size, hashlib.sha256(f.read_bytes()).hexdigest()) for f in (tmp_path / "parts").rglob("*.txt")}
+    schema = StructType().add("row_id", "string").add("day", "string")
+    assert writers.part_problems(spark, path, schema, "row_id").count() == 0
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.txt").write_text('{"row_id":"b"}\n{"row_id": "a"}\nnope\n{"row_id":"b"}\n')
+    assert {r["problem"] for r in writers.part_problems(spark, str(tmp_path / "bad"), schema, "row_id").collect()} == {"out_of_order", "not_canonical", "does_not_parse", "duplicate"}
+
+
+def test_jsonld_document(spark, tmp_path):
+    import json
+
+    df = spark.createDataFrame([(i, f"n{i}") for i in range(5)], "k int, name string").coalesce(1)
+    writers.jsonld_document(df, str(tmp_path / "g"), {"name": "https://schema.example/name"}, F.concat(F.lit("id/"), F.col("k").cast("string")), "Body")
+    (made,) = (json.loads(f.read_text()) for f in (tmp_path / "g").glob("*.txt"))
+    assert [n["@id"] for n in made["@graph"]] == [f"id/{i}" for i in range(5)] and made["@context"] == {"name": "https://schema.example/name"}
+
+
+def test_serialised_cells(spark):
+    from sedgeline.functions.documents import serialised_cell
+
+    df = spark.sql("select 5 i, 'x' s, 1.5D d, true b, date '2024-01-02' day, timestamp_ntz '2024-01-02 03:04:05' at, array(1, 2) a, named_struct('k', 'v') o, cast(null as int) n")
+    got = df.select(*[serialised_cell(F.col(c)).alias(c) for c in df.columns]).first()
+    assert {c: tuple(got[c]) for c in df.columns} == {
+        "i": ("5", False), "s": ("x", False), "d": ("1.5", False), "b": ("true", False), "day": ("2024-01-02", False), "at": ("2024-01-02T03:04:05", False), "a": ("[1,2]", True), "o": ('{"k":"v"}', True), "n": (None, False),
+    }
+
+
+def test_csv_contract_of_a_folder(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("name,n\nx,1\n")
+    (tmp_path / "b.csv").write_text("n,name\n2,y\n")
+    with pytest.raises(Exception):
+        readers.csv_contract(spark, str(tmp_path), ["name", "n"]).collect()
+
+
 def test_csv_contract(spark, tmp_path):
     (tmp_path / "a.csv").write_text('\ufeffname,n\n"a, b",1\n', encoding="utf-8")
     assert [tuple(r) for r in readers.csv_contract(spark, str(tmp_path / "a.csv"), ["name", "n"]).collect()] == [("a, b", "1")]
