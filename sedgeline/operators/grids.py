@@ -1,24 +1,16 @@
-"""Ragged grids of cells to records.
+"""Ragged grids of cells to records: expressions over single rows, and counts per file.
 
-Two forms of a grid: long (one row per grid row: file, row_no, cells array<string>), on which
-counts and row-wise repairs run as expressions, and whole (one row per file: rows
-array<array<string>>), for repairs that read a file from top to bottom. Those run in Arrow
-batches, a file being the unit; files are parsed one at a time, so a grid fits a task.
+A grid is long: one row per grid row, with file, row_no and cells (array of strings). Repairs that look at more than one
+row are in grid_repairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedgeline.functions.text import clean_cell, header_key, stripped
 
-GRID = "array<array<string>>"
-
-
 def filled(cells: Column) -> Column:
     """The non-blank cells."""
     return F.filter(cells, lambda c: c.isNotNull() & (stripped(c) != ""))
@@ -117,110 +109,3 @@ def column_by_cardinality(grid: DataFrame, file: str, cells: str, header: list[s
     n = v.groupBy(file, "canonical", "column").agg(F.countDistinct(F.nullif("v", F.lit(""))).alias("n_distinct"))
     w = Window.partitionBy(file, "canonical").orderBy(F.desc("n_distinct"), "column")
     return n.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
-
-
-def header_row_no(rows: list[list[str | None]], look: int = 5) -> int:
-    """The first of the top rows with two filled cells, else 0."""
-    return next((i for i, r in enumerate(rows[:look]) if sum(bool(c and c.strip()) for c in r) >= 2), 0)
-
-
-def merged_continuations(rows: list[list[str | None]]) -> tuple[list[list[str | None]], int]:
-    """Rows of three or more cells with one filled cell flow into the row above; row 0 is the header.
-
-    Not directly under the header, not into a column that the row above lacks, and not at all
-    where such rows are the file's shape (more than half of its rows, full ones under a tenth;
-    that count takes empty strings as filled). Returns the rows and how many were merged.
-    """
-    full = lambda r: [i for i, c in enumerate(r) if c is not None and c.strip()]
-    if max(map(len, rows), default=0) < 3:
-        return rows, 0
-    held = [sum(c is not None for c in r) for r in rows[1:] if len(r) >= 3]
-    n = len(rows) - 1
-    if n and held.count(1) > 0.5 * n and sum(k >= 2 for k in held) < 0.1 * n:
-        return rows, 0
-    out = [list(rows[0])]
-    for r in rows[1:]:
-        at = full(r)
-        above = out[-1]
-        if len(r) >= 3 and len(at) == 1 and len(out) > 1 and at[0] < len(above):
-            k = at[0]
-            above[k] = f"{above[k]} {r[k]}" if above[k] and above[k].strip() else r[k]
-        else:
-            out.append(list(r))
-    return out, len(rows) - len(out)
-
-
-def repaired_header(rows: list[list[str | None]], canonical: Callable[[str], str | None], most: int = 6) -> list[list[str | None]]:
-    """Rows from the header on, with the header completed.
-
-    Sparse rows under it are its further lines and join it; sparse rows with a cell over 50
-    letters are prose and go. What is still null takes the name to its left; if nulls remain,
-    a next row with two known headers fills them. If the outcome knows fewer than two
-    columns and the row after it three, that row is the header.
-    """
-    known = lambda r: len({canonical(c) for c in r if c} - {None})
-    if not rows:
-        return rows
-    start = header_row_no(rows)
-    header, at = list(rows[start]), start + 1
-    while at < min(len(rows), start + 1 + most):
-        r = rows[at]
-        empty = sum(c is None for c in r)
-        sparse = bool(r) and 2 * empty >= len(r)
-        if not r or (not sparse and (at == start + 1 or not known(r))):
-            break
-        if not (sparse and any(c is not None and len(c) > 50 for c in r)):
-            for k, c in enumerate(r[: len(header)]):
-                if c is not None:
-                    header[k] = c if header[k] is None else f"{header[k]} {c}"
-        at += 1
-    left = None
-    for k, c in enumerate(header):
-        left = header[k] = c if c is not None else left
-    gaps = [k for k, c in enumerate(header) if c is None]
-    if gaps and at < len(rows) and known(rows[at]) >= 2:
-        for k in gaps:
-            header[k] = rows[at][k] if k < len(rows[at]) else None
-        at += 1
-    out = [header, *map(list, rows[at:])]
-    return out[1:] if known(header) < 2 and len(out) > 1 and known(out[1]) >= 3 else out
-
-
-def merged_pages(pages: list[list[list[str | None]]]) -> list[list[str | None]]:
-    """The tables of a file's pages as one: headers that repeat the first page's are dropped."""
-    mark = lambda r: tuple((c or "").strip().lower() for c in r)
-    if not pages:
-        return []
-    first = mark(pages[0][0]) if pages[0] else ()
-    return [r for k, page in enumerate(pages) for i, r in enumerate(page) if not (k and i == 0 and mark(r) == first)]
-
-
-def pruned_columns(rows: list[list[str | None]]) -> list[list[str | None]]:
-    """Without columns that every row has and none fills."""
-    if not rows:
-        return rows
-    gone = {k for k in range(min(map(len, rows))) if all(r[k] is None or not r[k].strip() for r in rows)}
-    return [[c for k, c in enumerate(r) if k not in gone] for r in rows]
-
-
-def split_combined(cell: str | None, split: Callable[[str], tuple[str, str] | None]) -> list[str | None]:
-    """A cell that holds two columns as two cells."""
-    got = split(cell) if cell else None
-    return list(got) if got else [cell, None]
-
-
-def mapped_grids(files: DataFrame, column: str, *steps: Callable[[list], list]) -> DataFrame:
-    """files with each grid of the column run through the steps; a null grid stays null."""
-    schema = files.schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            grids = []
-            for rows in b.column(column).to_pylist():
-                for step in steps:
-                    rows = step(rows) if rows is not None else None
-                grids.append(rows)
-            at = b.schema.get_field_index(column)
-            yield b.set_column(at, b.schema.field(at), pa.array(grids, pa.list_(pa.list_(pa.string()))).cast(b.schema.field(at).type))
-
-    return files.mapInArrow(run, schema)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from sedgeline.operators import dedup, grids, incremental, matching, rollups, texts, windows
+from sedgeline.operators import dedup, grid_repairs, grids, incremental, matching, rollups, texts, windows
 
 
 def test_keep_first_does_not_depend_on_input_order(spark):
@@ -105,28 +105,71 @@ def test_fingerprints_and_merge(spark):
 H = ["Ref", "Date", "Text"]
 
 
-@pytest.mark.parametrize(
-    "rows, want",
-    [
+def long_grid(spark, *files):
+    rows = [(f"f{k}", i, r, "clash") for k, grid in enumerate(files) for i, r in enumerate(grid)]
+    return spark.createDataFrame(rows + [(None, 1, H, "x"), ("f0", None, H, "x"), ("f0", 99, None, "x")], "file string, row_no int, cells array<string>, _at string").repartition(3)
+
+
+def grids_of(df, n):
+    rows = sorted((r["file"], r["row_no"], r["cells"]) for r in df.collect())
+    return [[c for f, _, c in rows if f == f"f{k}"] for k in range(n)]
+
+
+def test_merged_continuations(spark):
+    cases = [
         ([H, ["1", "d", "a"], [None, "", "b"], [None, None, "c"]], [H, ["1", "d", "a b c"]]),
         ([H, [None, None, "x"], ["1", "d", "a"]], [H, [None, None, "x"], ["1", "d", "a"]]),
         ([H, *[[None, None, str(i)] for i in range(4)]], [H, *[[None, None, str(i)] for i in range(4)]]),
         ([H, ["1", "d"], [None, None, "x"]], [H, ["1", "d"], [None, None, "x"]]),
         ([["a", "b"], [None, "x"]], [["a", "b"], [None, "x"]]),
-        ([], []),
-    ],
-)
-def test_merged_continuations(rows, want):
-    assert grids.merged_continuations(rows)[0] == want
-
-
-def test_repaired_header():
-    canon = {"ref": "r", "date received": "d", "text": "t", "date": "d"}
-    look = lambda c: canon.get(c.lower().strip())
-    assert grids.repaired_header([["Log 2020", None, None], ["Ref", "Date", "Text"], [None, "received", None], ["1", "2", "3"]], look) == [["Ref", "Date received", "Text"], ["1", "2", "3"]]
-    assert grids.repaired_header([["Ref", "Date", None], ["1", "2", "3"]], look)[0] == ["Ref", "Date", "Date"]
-    assert grids.repaired_header([["x", "y", "z"], ["Ref", "Date", "Text"], ["1", "2", "3"]], look)[0] == ["Ref", "Date", "Text"]
-    assert grids.repaired_header([], look) == []
+        ([H, ["1", "d", None], [None, None, "b"], [None, "e", None], ["2", "d", "z"], [None, None, "y"]], [H, ["1", "d e", "b"], ["2", "d", "z y"]]),
+    ]
+    got = grid_repairs.merged_continuations(long_grid(spark, *[c for c, _ in cases]))
+    assert grids_of(got, len(cases)) == [w for _, w in cases]
+    assert {r["n_merged"] for r in got.filter("file = 'f0' and row_no = 1").collect()} == {2}
+    assert grid_repairs.merged_continuations(long_grid(spark).filter("false")).count() == 0
+
+
+def test_repaired_headers(spark):
+    synonyms = {"ref": "r", "date received": "d", "text": "t", "date": "d"}
+    cases = [
+        ([["Log 2020", None, None], ["Ref", "Date", "Text"], [None, "received", None], ["1", "2", "3"]], [["Ref", "Date received", "Text"], ["1", "2", "3"]]),
+        ([["Ref", "Date", None], ["1", "2", "3"]], [["Ref", "Date", "Date"], ["1", "2", "3"]]),
+        ([["x", "y", "z"], ["Ref", "Date", "Text"], ["1", "2", "3"]], [["Ref", "Date", "Text"], ["1", "2", "3"]]),
+        ([[None, "Ref", "no"], ["Text", "Date", "Ref"], ["1", "2", "3"]], [["Text", "Ref", "no"], ["1", "2", "3"]]),
+        ([["Ref", "Date"], [None, "w" * 60], ["1", "2"]], [["Ref", "Date"], ["1", "2"]]),
+        ([["only"]], [["only"]]),
+        ([[]], [[]]),
+    ]
+    assert grids_of(grid_repairs.repaired_headers(long_grid(spark, *[c for c, _ in cases]), synonyms), len(cases)) == [w for _, w in cases]
+
+
+def test_pages_and_empty_columns(spark):
+    pages = spark.createDataFrame([("f0", 1, 0, ["h", "i"]), ("f0", 1, 1, ["1", "2"]), ("f0", 2, 5, ["H ", "i"]), ("f0", 2, 6, ["3", "4"]), ("f0", 3, 0, ["5", "6"])], "file string, page int, row_no int, cells array<string>")
+    got = grid_repairs.merged_pages(pages)
+    assert grids_of(got, 1) == [[["h", "i"], ["1", "2"], ["3", "4"], ["5", "6"]]] and sorted(r["row_no"] for r in got.collect()) == [0, 1, 2, 3]
+    assert grids_of(grid_repairs.pruned_columns(long_grid(spark, [["a", None, " "], ["b", "", ""]], [["a", None], ["b"]], [["", "x"], [None, None]])), 3) == [[["a"], ["b"]], [["a", None], ["b"]], [["x"], [None]]]
+
+
+def test_combined_columns(spark):
+    files = [
+        [["Ref", "Date and Description"], ["1", "05/01/2017 All emails"], ["2", "5 March 2018"], ["3", "no date here"], ["4"], ["5", None]],
+        [["Date of Request:", "x"], ["7190 19/01/2017", "a"], ["*9557", "b"], ["06/07/2022 19447", "c"], ["*02/01/2018 9559", "d"], ["18/01/2017", "e"], [None, "f"], ["soon", "g"]],
+        [["Date of request", "x"], ["18/01/2017", "e"]],
+    ]
+    want = [
+        [["Ref", "Date", "Description"], ["1", "05/01/2017", "All emails"], ["2", "5 March 2018", None], ["3", "no date here", None], ["4"], ["5", None, None]],
+        [["Date of Request:", "Reference", "x"], ["19/01/2017", "7190", "a"], [None, "9557", "b"], ["06/07/2022", "19447", "c"], ["02/01/2018", "9559", "d"], ["18/01/2017", None, "e"], [None, None, "f"], ["soon", None, "g"]],
+        [["Date of request", "x"], ["18/01/2017", "e"]],
+    ]
+    assert grids_of(grid_repairs.split_combined_columns(long_grid(spark, *files), ["date and description"], ["date of request"]), 3) == want
+
+
+def test_mapped_columns(spark):
+    mapping = spark.createDataFrame([("f0", 2, "a"), ("f0", 0, "b"), ("f0", 1, "a"), ("f0", 9, "c"), ("f0", 0, " "), ("gone", 0, "a")], "file string, column int, canonical string")
+    got, errors = grid_repairs.mapped_columns(long_grid(spark, [["x", "y", "z"], ["1", "2", "3"], ["4"]], [["p"], ["q"]]), mapping)
+    assert grids_of(got, 2) == [[["a", "b"], ["2", "1"], [None, "4"]], [["p"], ["q"]]]
+    assert {tuple(r) for r in errors.collect()} == {("f0", 2, "named_twice"), ("f0", 9, "no_such_column"), ("f0", 0, "no_name"), ("gone", 0, "no_such_file")}
 
 
 def test_grid_expressions(spark):
@@ -151,13 +194,6 @@ def test_structure_and_cardinality(spark):
     assert {(r["f"], r["canonical"]): r["column"] for r in best}["f", "a"] == 0
 
 
-def test_mapped_grids(spark):
-    files = spark.createDataFrame([(1, [["a", None], ["b", None]]), (2, None), (3, [])], "id int, rows array<array<string>>")
-    got = {r["id"]: r["rows"] for r in grids.mapped_grids(files, "rows", grids.pruned_columns).collect()}
-    assert got == {1: [["a"], ["b"]], 2: None, 3: []}
-    assert grids.merged_pages([[["h", "i"], ["1", "2"]], [["H ", "i"], ["3", "4"]], []]) == [["h", "i"], ["1", "2"], ["3", "4"]]
-
-
 @pytest.mark.parametrize("text", ["", "a", "x" * 999, "ab\n\ncd " * 80, "line\n" * 100])
 def test_split_text(text):
     parts = texts.split_text(text, 100)
