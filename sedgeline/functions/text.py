@@ -172,3 +172,68 @@ def reference_parts(c: Column) -> Column:
         year = F.lit(None) if y == 0 else ex(p, y).cast("int") + (2000 if style == "short_year" else 0)
         got = F.when(s.rlike(p), out(style, year, ex(p, n))).otherwise(got)
     return got
+
+
+# Flags printed behind an action's reference, in the order in which they are reported.
+ACTION_FLAGS = ["non_reportable", "duplicate", "taskforce"]
+
+
+def action_reference(c: Column) -> Column:
+    """struct(number, printed, flags, year, error) of the reference an action plan prints for an action.
+
+    A reference is an ordinal of one to three digits, or a code of two capitals, a two-digit year and a number, with a
+    letter for a sub-action. Flags behind it are no part of it. Blanks beside a slash are a line wrap. What can't be
+    read is never repaired: error is `UnresolvedActionNumber` or, for foreign signs or empty parts, `InvalidActionReference`.
+    """
+    printed = F.regexp_replace(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"[\x07\s]+", " ")), r"\s*/\s*", "/")
+    tail = F.regexp_extract(printed, r"((?:\s*(?:[*]|\(\s*TF\s*\)))*)\s*$", 1)
+    core = F.trim(F.substring(printed, F.lit(1), F.length(printed) - F.length(F.regexp_extract(printed, r"((?:\s*(?:[*]|\(\s*TF\s*\)))*\s*)$", 1))))
+    stars = F.transform(F.regexp_extract_all(tail, F.lit("([*]+)"), F.lit(1)), lambda x: F.length(x))
+    has = {"non_reportable": F.exists(stars, lambda n: n % 2 == 1), "duplicate": F.exists(stars, lambda n: n >= 2), "taskforce": tail.contains("TF")}
+    flags = F.array_compact(F.array(*[F.when(has[f], F.lit(f)) for f in ACTION_FLAGS]))
+    ordinal, code = core.rlike("^[0-9]{1,3}$"), core.rlike("^[A-Z]{2}/[0-9]{2}/[0-9]+(/[A-Z]|[A-Z])?$")
+    number = F.when(ordinal, core.try_cast("int").cast("string")).when(code, core)
+    foreign = ~core.rlike("^[A-Za-z0-9]+(/[A-Za-z0-9]+)*$")
+    error = F.when(number.isNotNull(), None).when(core.rlike("[A-Za-z0-9]") & foreign, "InvalidActionReference").otherwise("UnresolvedActionNumber")
+    shown = F.when(ordinal & (F.size(flags) == 0), number).when(number.isNotNull(), printed)
+    year = F.when(code, F.regexp_extract(core, "/([0-9]{2})/", 1).cast("int") + 2000)
+    return F.struct(number.alias("number"), shown.alias("printed"), F.when(number.isNotNull(), flags).alias("flags"), year.alias("year"), error.alias("error"))
+
+
+def parent_reference(number: Column) -> Column:
+    """The reference of which a sub-action's is a part; null for any other."""
+    return F.nullif(F.regexp_extract(number, "^([A-Z]{2}/[0-9]{2}/[0-9]+)(?:/[A-Z]|[A-Z])$", 1), F.lit(""))
+
+
+def edition_year(slug: Column, pattern: str = r"^[a-z-]+-(20[0-9]{2})-annex-of-actions$") -> Column:
+    """The year in the name of an edition; a name of another form raises, since a guess would sort actions wrongly."""
+    return F.when(slug.rlike(pattern), F.regexp_extract(slug, pattern, 1).cast("int")).otherwise(F.raise_error(F.concat(F.lit("no edition year in "), F.coalesce(slug, F.lit("null")))).cast("int"))
+
+
+def leading_ordinal(c: Column) -> Column:
+    """struct(ordinal, text): the number that opens a text, before a dot or bracket, and the rest; without one the whole text."""
+    form = r"(?s)^\s*([0-9]{1,4})\s*[.)]\s*[\x07\s]*(.*)$"
+    return F.struct(F.when(c.rlike(form), F.regexp_extract(c, form, 1).cast("int")).alias("ordinal"), F.when(c.rlike(form), F.regexp_extract(c, form, 2)).otherwise(c).alias("text"))
+
+
+def without_footnote(c: Column) -> Column:
+    """A title without the number or sign of a footnote that sticks to its end."""
+    return F.trim(F.regexp_replace(c, r"(?<=[\p{L})])\s*(\[[0-9]{1,2}\]|[0-9]{1,2}|[*†‡]+)\s*$", ""))
+
+
+def cross_references(c: Column) -> Column:
+    """array of struct(relationship, plan, number, evidence): the actions of other plans that brackets in a text name.
+
+    Brackets that open with `Complements` complement, others reference; each names plans as `NAME Action(s) 1, 2 and 3`.
+    """
+    brackets = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"(\([^()]*\))"), F.lit(1))
+    target = r"([A-Z][A-Za-z0-9]*(?: [A-Z0-9][A-Za-z0-9]*)*) Actions? ([0-9]+(?:(?:, | and |, and )[0-9]+)*)"
+
+    def of(bracket: Column) -> Column:
+        kind = F.when(bracket.rlike(r"(?i)^\(\s*complement"), "complements").otherwise("references")
+        inner = F.regexp_replace(bracket, r"(?i)^\(\s*complement(s|ary)?( to)?\s+", "(")
+        found = F.regexp_extract_all(inner, F.lit(f"({target})"), F.lit(1))
+        one = lambda t: F.transform(F.regexp_extract_all(F.regexp_extract(t, target, 2), F.lit("([0-9]+)"), F.lit(1)), lambda n: F.struct(kind.alias("relationship"), F.regexp_extract(t, target, 1).alias("plan"), n.alias("number"), bracket.alias("evidence")))
+        return F.flatten(F.transform(found, one))
+
+    return F.flatten(F.transform(brackets, of))

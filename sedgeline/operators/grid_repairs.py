@@ -90,35 +90,32 @@ def repaired_headers(grid: DataFrame, synonyms: dict[str, str], rules: GridRules
     for half-empty rows with prose, which go. A null takes the name to its left. Nulls that remain are filled by a next row that
     names enough known columns; a next row that names many replaces a header that names hardly any.
     """
-    g = rows_of(grid)
+    nulls = F.size(F.filter("cells", lambda c: c.isNull()))
+    g = rows_of(grid).withColumn("_known", n_known(F.col("cells"), synonyms)).withColumn("_thin", (F.size("cells") > 0) & (2 * nulls >= F.size("cells")))
+    g = g.withColumn("_prose", F.col("_thin") & F.exists("cells", lambda c: F.coalesce(F.length(c) > rules.prose, F.lit(False))))
     order = Window.partitionBy("file").orderBy("row_no")
     numbered = g.withColumn("_i", F.row_number().over(order) - 1)
     start = numbered.filter(F.col("_i") < rules.header_rows).groupBy("file").agg(F.coalesce(F.min(F.when(F.size(filled(F.col("cells"))) >= 2, F.col("_i"))), F.lit(0)).alias("_start"))
     numbered = numbered.join(start, "file").filter("_i >= _start").withColumn("_i", F.col("_i") - F.col("_start"))
-    top = numbered.filter(F.col("_i") <= rules.header_lines + 1).groupBy("file").agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "row_no", "cells"))), lambda x: F.struct(x["row_no"].alias("row_no"), x["cells"].alias("cells"))).alias("top"))
-    line = lambda k: F.try_element_at("top", k + 1)["cells"]
-    taken, kept, so_far = [], [], F.lit(True)
-    for k in range(1, rules.header_lines + 1):
-        cells = line(F.lit(k))
-        nulls = F.size(F.filter(cells, lambda c: c.isNull()))
-        thin = (F.size(cells) > 0) & (2 * nulls >= F.size(cells))
-        prose = F.exists(cells, lambda c: F.coalesce(F.length(c) > rules.prose, F.lit(False)))
-        more = thin | ((F.size(cells) > 0) & (n_known(cells, synonyms) > 0)) if k > 1 else thin
-        so_far = so_far & F.coalesce(more, F.lit(False))
-        taken.append(so_far)
-        kept.append(so_far & ~(thin & prose))
-    top = top.select("file", "top", *[x.alias(f"_t{k}") for k, x in enumerate(taken, 1)], *[x.alias(f"_k{k}") for k, x in enumerate(kept, 1)])
+    top = numbered.filter(F.col("_i") <= rules.header_lines + 1).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("_i", "cells", "_known", "_thin", "_prose"))).alias("top"))
+    at = lambda k: F.try_element_at("top", k + 1)
+    line = lambda k: at(k)["cells"]
+    top = top.withColumn("_t0", F.lit(True))
+    for k in range(1, rules.header_lines + 1):  # one after the other, so that none repeats what the one before says
+        row = at(F.lit(k))
+        more = row["_thin"] | ((F.size(row["cells"]) > 0) & (row["_known"] > 0)) if k > 1 else row["_thin"]
+        top = top.withColumn(f"_t{k}", F.col(f"_t{k - 1}") & F.coalesce(more, F.lit(False))).withColumn(f"_k{k}", F.col(f"_t{k}") & ~row["_prose"])
     used = sum((F.col(f"_t{k}").cast("int") for k in range(2, rules.header_lines + 1)), F.col("_t1").cast("int"))
     parts = lambda i: [F.get(line(F.lit(0)), i), *[F.when(F.col(f"_k{k}"), F.get(line(F.lit(k)), i)) for k in range(1, rules.header_lines + 1)]]
     whole = F.transform(F.sequence(F.lit(0), F.size(line(F.lit(0))) - 1), lambda i: F.when(F.coalesce(*parts(i)).isNotNull(), F.concat_ws(" ", *parts(i))))
     whole = F.when(F.size(line(F.lit(0))) > 0, whole).otherwise(F.array().cast("array<string>"))
     carried = F.aggregate(F.col("_whole"), F.array().cast("array<string>"), lambda acc, c: F.concat(acc, F.array(F.coalesce(c, F.try_element_at(acc, F.lit(-1))))))
     h = top.select("file", "top", used.alias("_used"), whole.alias("_whole")).select("file", "top", "_used", carried.alias("_header"))
-    following = F.try_element_at("top", F.col("_used") + 2)["cells"]
-    fills = F.exists("_header", lambda c: c.isNull()) & F.coalesce(n_known(following, synonyms) >= rules.known_next, F.lit(False))
+    following = at(F.col("_used") + 1)["cells"]
+    fills = F.exists("_header", lambda c: c.isNull()) & F.coalesce(at(F.col("_used") + 1)["_known"] >= rules.known_next, F.lit(False))
     h = h.withColumn("_fills", fills).withColumn("_header", F.when(F.col("_fills"), F.transform("_header", lambda c, i: F.coalesce(c, F.get(following, i)))).otherwise(F.col("_header")))
     h = h.withColumn("_used", F.col("_used") + F.col("_fills").cast("int"))
-    instead = (n_known(F.col("_header"), synonyms) < rules.known_next) & F.coalesce(n_known(following, synonyms) >= rules.known_instead, F.lit(False))
+    instead = (n_known(F.col("_header"), synonyms) < rules.known_next) & F.coalesce(at(F.col("_used") + 1)["_known"] >= rules.known_instead, F.lit(False))
     h = h.withColumn("_instead", instead).select("file", (F.col("_used") + F.col("_instead").cast("int")).alias("_last"), F.when(F.col("_instead"), following).otherwise(F.col("_header")).alias("_header"))
     out = numbered.join(h, "file").filter("_i >= _last")
     return out.select(*KEYS, F.when(F.col("_i") == F.col("_last"), F.col("_header")).otherwise(F.col("cells")).alias("cells"))

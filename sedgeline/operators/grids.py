@@ -109,3 +109,53 @@ def column_by_cardinality(grid: DataFrame, file: str, cells: str, header: list[s
     n = v.groupBy(file, "canonical", "column").agg(F.countDistinct(F.nullif("v", F.lit(""))).alias("n_distinct"))
     w = Window.partitionBy(file, "canonical").orderBy(F.desc("n_distinct"), "column")
     return n.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+
+
+# What a value can be, in the order in which kinds are looked for, and placeholders that are no value at all.
+KINDS = ["date", "number", "code"]
+NO_VALUES = ["n/a", "na", "nil", "none", "tbc", "-", "–", "—"]
+# Short words that may end or begin a cell.
+SHORT_WORDS = ["a", "an", "the", "of", "to", "for", "and", "or", "in", "on", "re", "by", "at", "is", "it", "as", "be", "no", "mr", "ms", "dr", "ltd", "na", "sec", "all", "any", "its"]
+
+
+def cell_breaks(cells: Column) -> Column:
+    """How many words of a row are broken by a column's border: a cell ends and the next begins in letters, small ones there, and a part of at most
+    three letters on one side is no short word."""
+    pairs = F.zip_with(F.slice(cells, F.lit(1), F.greatest(F.size(cells) - 1, F.lit(0))), F.slice(cells, F.lit(2), F.greatest(F.size(cells) - 1, F.lit(0))), lambda a, b: F.struct(F.lower(F.regexp_extract(a, r"([A-Za-z]+)\z", 1)).alias("a"), F.regexp_extract(b, "^([a-z]+)", 1).alias("b")))
+    stub = lambda w: (F.length(w) <= 3) & ~w.isin(SHORT_WORDS)
+    return F.size(F.filter(pairs, lambda p: (F.coalesce(p["a"], F.lit("")) != "") & (F.coalesce(p["b"], F.lit("")) != "") & (stub(p["a"]) | stub(p["b"]))))
+
+
+def run_together(cells: Column) -> Column:
+    """How many words of a row run into each other: a small letter before a capital that goes on in small ones."""
+    return F.aggregate(F.transform(cells, lambda c: F.coalesce(F.regexp_count(c, F.lit(r"[a-z]{2}[A-Z][a-z]")), F.lit(0))), F.lit(0), lambda a, x: a + x)
+
+
+def text_scores(grid: DataFrame, file: str, cells: str) -> DataFrame:
+    """Per file: filled cells, and the rates of broken and run-together words among them."""
+    c = F.col(cells)
+    return grid.groupBy(file).agg(F.sum(F.size(filled(c))).alias("n_cells"), F.sum(cell_breaks(c)).alias("_b"), F.sum(run_together(c)).alias("_r")).select(
+        file, "n_cells", F.coalesce(F.col("_b") / F.nullif("n_cells", F.lit(0)), F.lit(1.0)).alias("split_word_rate"), F.coalesce(F.col("_r") / F.nullif("n_cells", F.lit(0)), F.lit(1.0)).alias("run_together_rate")
+    )
+
+
+def foreign_kind(c: Column, own: str) -> Column:
+    """The kind that a cell has instead of the column's own; null if it has that, is plain text, or no value."""
+    kind = cell_type(c)
+    return F.when(kind.isin(KINDS) & (kind != own) & ~F.lower(stripped(c)).isin(NO_VALUES), kind)
+
+
+def role_scores(grid: DataFrame, file: str, cells: str, roles: dict[int, str], least: int = 5) -> DataFrame:
+    """Per file: the share of foreign cells over columns with a role (0-based column -> kind), the worst such column with its share, and
+    the share of rows that an anchor (a date or code column) holds a value of its kind for. Columns with fewer than `least` values are not judged."""
+    kinds = F.create_map(*[x for i, k in sorted(roles.items()) for x in (F.lit(i), F.lit(k))])
+    v = grid.select(file, F.posexplode(cells).alias("column", "c")).withColumn("own", F.try_element_at(kinds, F.col("column"))).filter(F.col("own").isNotNull() & (F.coalesce(stripped(F.col("c")), F.lit("")) != "") & ~F.lower(stripped(F.col("c"))).isin(NO_VALUES))
+    foreign = F.lit(None)
+    for k in sorted(set(roles.values())):
+        foreign = F.when(F.col("own") == k, foreign_kind(F.col("c"), k)).otherwise(foreign)
+    per = v.groupBy(file, "column").agg(F.count(F.lit(1)).alias("n"), F.count(foreign).alias("k")).filter(F.col("n") >= least)
+    worst = per.groupBy(file).agg((F.sum("k") / F.sum("n")).alias("role_contamination"), F.max(F.struct((F.col("k") / F.col("n")).alias("s"), (-F.col("column")).alias("c"))).alias("_w"))
+    anchors = [F.coalesce(cell_type(F.get(F.col(cells), F.lit(i))) == k, F.lit(False)) for i, k in roles.items() if k in ("date", "code")]
+    anchored = F.exists(F.array(*anchors), lambda x: x) if anchors else F.lit(None).cast("boolean")
+    rows = grid.groupBy(file).agg(F.avg(anchored.cast("int")).alias("anchored_row_share"))
+    return rows.join(worst, file, "left").select(file, "role_contamination", F.col("_w.s").alias("worst_role_contamination"), (-F.col("_w.c")).alias("worst_column"), "anchored_row_share")

@@ -35,3 +35,25 @@ def fingerprint_changes(before: DataFrame, now: DataFrame, key: str, digest: str
 def due(checked_at: Column, now: Column, days: int) -> Column:
     """Whether a check is missing or older than so many days."""
     return F.coalesce(F.date_diff(now, checked_at) > days, F.lit(True))
+
+
+def answered(requests: DataFrame, cache: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(requests with their recorded answer, requests without one): what a cache keyed by content holds, and what must be asked.
+
+    requests: key and its payload; cache: key and answers, one row per key. A key that is asked twice is missed once.
+    """
+    known = cache.select(key).distinct()
+    return requests.join(cache, key), requests.join(known, key, "left_anti").dropDuplicates([key])
+
+
+def split_dirty(dirty: DataFrame, ready: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(keys to recompute now, keys deferred to the next run because their inputs are not there yet)."""
+    keys = dirty.select(key).filter(F.col(key).isNotNull()).distinct()
+    have = ready.select(key).distinct()
+    return keys.join(have, key, "left_semi"), keys.join(have, key, "left_anti")
+
+
+def dirty_if_different(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Keys of new rows that are not there yet or differ in a column; equal rows leave their key clean."""
+    o = old.select(key, F.struct(*columns).alias("_o"), F.lit(True).alias("_had"))
+    return new.select(key, F.struct(*columns).alias("_n")).join(o, key, "left").filter(F.col("_had").isNull() | ~F.col("_o").eqNullSafe(F.col("_n"))).select(key).distinct()

@@ -67,6 +67,40 @@ def best_and_next(scores: DataFrame, most: int = 3) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= most)
 
 
+def best_match(queries: DataFrame, register: DataFrame, accept: float = 0.9, floor: float = 0.6) -> DataFrame:
+    """query, candidate, best_score, suggestion: of each distinct query the best candidate if it reaches `accept`, else null;
+    in any case the best score from `floor` on, and the candidate that has it as a suggestion. Queries without one have nulls."""
+    best = best_and_next(fuzzy_scores(fuzzy_candidates(queries, register, floor), floor), 1).select("query", F.col("candidate").alias("suggestion"), F.col("score").alias("best_score"))
+    return queries.select("query").distinct().join(best, "query", "left").select("query", F.when(F.col("best_score") >= accept, F.col("suggestion")).alias("candidate"), "best_score", "suggestion")
+
+
+def resolved(df: DataFrame, column: str, policy: str) -> DataFrame:
+    """Rows whose column is resolved: `drop` leaves the others out, `fatal` raises at the first, before anything is written."""
+    if policy == "fatal" and df.filter(F.col(column).isNull()).limit(1).collect():
+        raise ValueError(f"{column} is unresolved in some row")
+    return df.filter(F.col(column).isNotNull())
+
+
+def included(register: DataFrame, directory: DataFrame, additions: DataFrame, key: str) -> DataFrame:
+    """Register rows that the directory or the hand-made additions name; an addition the register lacks raises."""
+    extra = additions.select(key).distinct()
+    if extra.join(register.select(key), key, "left_anti").limit(1).collect():
+        raise ValueError(f"an addition names a {key} that the register lacks")
+    return register.join(directory.select(key).unionByName(extra).distinct(), key, "left_semi")
+
+
+def crosswalk(old: DataFrame, old_key: Column, register: DataFrame, register_key: Column, ident: str, rank: list[Column] | None = None) -> DataFrame:
+    """old with new_id by key. A key that several ids share is fatal; with rank, of several old rows of an id the first stays."""
+    got = keyed_match(old, old_key, register, register_key, ident)
+    if got.filter("match_status = 'ambiguous'").limit(1).collect():
+        raise ValueError("a key stands for more than one id")
+    got = got.filter("match_status = 'exact'").withColumnRenamed("matched_id", "new_id").drop("match_status", "n_candidates")
+    if not rank:
+        return got
+    best = got.groupBy("new_id").agg(F.min(F.struct(*rank, F.struct(*old.columns).alias("_row"))).alias("_b"))
+    return best.select("_b._row.*", "new_id")
+
+
 def overridden(df: DataFrame, overrides: DataFrame, key: str, column: str, policy: str) -> DataFrame:
     """column after overrides (key, value): `wins` (a present override holds, also a null one),
     `fills` (only where column is null), `strict` (as `wins`, and stale or redundant ones raise)."""

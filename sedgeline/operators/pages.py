@@ -150,6 +150,16 @@ def page_coverage(pages: DataFrame, covered: DataFrame) -> DataFrame:
     return i.groupBy("document", "_i").agg(F.min("page").alias("first_page"), F.max("page").alias("last_page")).drop("_i")
 
 
+def number_gaps(numbers: DataFrame, number: str, block: int = 100_000) -> DataFrame:
+    """Gaps in a set of numbers as ranges (first_missing, last_missing): neighbours are compared within blocks of numbers,
+    and the ends of blocks with each other (a table of one row per block)."""
+    t = numbers.filter(F.col(number).isNotNull()).select(F.col(number).alias("_k")).distinct().withColumn("_block", F.floor(F.col("_k") / block))
+    inner = t.withColumn("_next", F.lead("_k").over(Window.partitionBy("_block").orderBy("_k")))
+    ends = inner.groupBy("_block").agg(F.min("_k").alias("_low"), F.max("_k").alias("_high"))
+    across = ends.select(F.col("_high").alias("_k"), F.lead("_low").over(Window.orderBy("_block")).alias("_next"))
+    return inner.select("_k", "_next").unionByName(across).filter("_next > _k + 1").select((F.col("_k") + 1).alias("first_missing"), (F.col("_next") - 1).alias("last_missing"))
+
+
 def even_ligatures(glyphs: DataFrame) -> DataFrame:
     """Adds shared_width: glyphs without width share that of the glyph before them evenly. glyphs: document, page, seq, width."""
     w = Window.partitionBy(*KEYS).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)

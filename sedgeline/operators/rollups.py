@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedgeline.functions.text import header_key
+from sedgeline.operators.dedup import ranked
+
 
 def status_fan_in(base: DataFrame, key: str, inputs: dict[str, DataFrame]) -> DataFrame:
     """base with, per named input, its count (n_...) and status: success, failed (seen, nothing good), not_attempted.
@@ -64,13 +67,14 @@ def league_table(rows: DataFrame, who: str, points: Column, period: Column, most
 def priority_tiers(df: DataFrame, score: str, order: list[str]) -> DataFrame:
     """Thirds by falling score: the first floor(n/3) are high, the next as many medium, the rest low.
 
-    Ranks come from counts per distinct score (a small table), so the rows are not sorted in one
-    task; only the ties at a border are.
+    Rows are ranked by ranges of the score (ties by order), so neither many scores nor many rows of one score meet in one task.
     """
-    n = df.count()
-    above = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, -1)
-    steps = df.groupBy(score).agg(F.count(F.lit(1)).alias("_k")).withColumn("_above", F.coalesce(F.sum("_k").over(above), F.lit(0))).drop("_k")
-    tied = F.row_number().over(Window.partitionBy(score).orderBy(*order))
-    third = n // 3
-    at = F.col("_above") + F.col("_tied")
-    return df.withColumn("_tied", tied).join(steps, score).withColumn("tier", F.when(at <= third, "high").when(at <= 2 * third, "medium").otherwise("low")).drop("_tied", "_above")
+    third = df.count() // 3
+    at = F.col("_rank")
+    return ranked(df, [], [F.desc(score), *order], "_rank").withColumn("tier", F.when(at <= third, "high").when(at <= 2 * third, "medium").otherwise("low")).drop("_rank")
+
+
+def header_profile(headers: DataFrame, header: str, source: str, order: str) -> DataFrame:
+    """Per normalised header: how often it stands, how it is first written, and where; blank ones are left out."""
+    h = headers.select(header_key(F.col(header)).alias("header_key"), F.struct(F.col(order), F.col(header).alias("raw"), F.col(source).alias("source")).alias("_at")).filter("header_key <> ''")
+    return h.groupBy("header_key").agg(F.count(F.lit(1)).alias("n_headers"), F.min("_at").alias("_at")).select("header_key", "n_headers", F.col("_at.raw").alias("first_written"), F.col("_at.source").alias("first_source"))

@@ -109,3 +109,35 @@ def repaired_words(repairs: dict[str, str]):
 def suspicious_spans(c: Column) -> Column:
     """Spans shaped like reading artefacts: glyph codes, spaced-out words, replacement signs."""
     return F.regexp_extract_all(c, F.lit(r"(\(cid:[0-9]+\)|\b(?:\p{L} ){3,}\p{L}\b|\S*\x{FFFD}\S*)"), F.lit(1))
+
+
+def phrase_guard(documents: DataFrame, key: str, text: str, phrases: dict[str, str], least: dict[str, int]) -> DataFrame:
+    """Documents in which every phrase (name -> pattern) stands at least so often: key, the counts and the length, as evidence.
+
+    Such documents are schedules of set wording rather than what their kind says, and are set aside before they are read.
+    """
+    counts = [F.regexp_count(F.col(text), F.lit(p)).alias(f"n_{name}") for name, p in phrases.items()]
+    got = documents.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, *counts, F.length(text).alias("n_chars"))
+    for name, n in least.items():
+        got = got.filter(F.col(f"n_{name}") >= n)
+    return got
+
+
+def dump_guard(items: DataFrame, document: str, marks: dict[str, Column], actors: list[str], least_items: int, share: float) -> DataFrame:
+    """Documents whose extracted items are a dump of set wording: least_items or more, and in at least that share of them each
+    mark holds and each actor column names the same one. Items are counted per document and actor first, so that a
+    document of many items is a few rows per task."""
+    base = items.filter(F.col(document).isNotNull()).groupBy(document).agg(F.count(F.lit(1)).alias("n_items"), *[F.count(F.when(m, 1)).alias(f"n_{name}") for name, m in marks.items()])
+    for a in actors:
+        per = items.filter(F.trim(F.col(a)) != "").groupBy(document, F.trim(F.col(a)).alias("_a")).agg(F.count(F.lit(1)).alias("_k"))
+        top = per.groupBy(document).agg(F.max(F.struct("_k", "_a")).alias("_t")).select(document, F.col("_t._a").alias(f"top_{a}"), F.col("_t._k").alias(f"n_top_{a}"))
+        base = base.join(top, document)
+    for c in [*(f"n_{name}" for name in marks), *(f"n_top_{a}" for a in actors)]:
+        base = base.filter(F.col(c) >= share * F.col("n_items"))
+    return base.filter(F.col("n_items") >= least_items)
+
+
+def thin_texts(documents: DataFrame, key: str, text: str, least: int) -> tuple[DataFrame, DataFrame]:
+    """(usable, quarantined): texts with at least so many characters besides white space at their ends, and the keys of the rest."""
+    n = F.length(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""))
+    return documents.filter(n >= least), documents.filter(n < least).select(key, n.alias("n_chars"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sedgeline.plans import cells, problems, relations, shapes, structure
+from sedgeline.plans import cells, helpers, problems, relations, shapes, structure
 
-MODULES = [problems, cells, relations, shapes, structure]
+MODULES = [problems, cells, relations, shapes, structure, helpers]
 FLAGSHIP = "body_status_fan_in"
 
 
