@@ -13,10 +13,10 @@ Then each text is read on its own, where it lies:
 3. A word that is rare against a word from which letter confusions lead to it is misread. All words
    within the bounds come from intersecting Levenshtein automata of the word with a trie of the
    vocabulary: one whose cheap edits are the confusions of a reader (among them two-for-one
-   letters), one of one plain edit, and for long words one of two letters of like shape. Candidates are ranked by the cost of what
+   letters), one whose edits are letters of like shape (one, in long words two). Candidates are ranked by the cost of what
    the reader confused, how often they stand beside the neighbours, and their count together. In a word
-   of letters a plain edit is a misreading only where a letter stands for one of like shape and the
-   neighbours speak for it; other slips are the requester's own and no noise.
+   of letters any other slip of the reader is a letter for one of like shape, and only the
+   neighbours can prove it; further slips are the requester's own and no noise.
 4. What remains is flowed into continuous paragraphs; list items keep their lines.
 """
 
@@ -60,8 +60,8 @@ ODD = re.compile(r"[^\w'’\-.]|\d", re.UNICODE)
 class ScanRepair:
     """least_share: a word in fewer of the texts is no vocabulary. ratio: how much more frequent the
     meant word must be. common_share: more frequent words are looked at only if a word outnumbers them by the ratio.
-    short_word: shorter words of letters are not searched
-    by plain edits. long_word: from so many letters on two letters of like shape are searched as well. least_contexts, interrupting and
+    short_word: shorter words are searched
+    for confusions alone. long_word: from so many letters on two letters of like shape are searched. least_contexts, interrupting and
     broken_share: a line shape is a heading if it has so many different surroundings, ends a line in mid-sentence before it in
     such a share of cases, and stands between the parts of one sentence in such a share."""
 
@@ -341,15 +341,6 @@ def _by_start(pairs: list[tuple[str, str]]) -> dict[str, list[tuple[str, str]]]:
 _CONFUSED, _ALIKE = _by_start(CONFUSIONS), _by_start(sorted(ALIKE))
 
 
-def reading_cost(read: str, meant: str) -> float | None:
-    """What it costs a reader to take one word for another letter by letter: 1.5 for each letter of like
-    shape; null where a letter is none of like shape or one is too many or missing."""
-    if len(read) != len(meant):
-        return None
-    differ = [(a, b) for a, b in zip(read, meant) if a != b]
-    return 1.5 * len(differ) if all(x in ALIKE for x in differ) else None
-
-
 def _is_code(w: str) -> bool:
     """No word: without letters, or with no more letters than digits (numbers, references, dates)."""
     letters = sum(map(str.isalpha, w))
@@ -366,7 +357,7 @@ class Reader:
         self.noise = float(s.pairs[0].sum()) / s.pairs.shape[1] if s.pairs.size else 0.0
         self.counts: dict[str, int] = {}
         self.status: dict[str, int] = {}
-        self.meant: dict[str, dict] = {}
+        self.meant: dict[tuple[str, bool], dict] = {}
         # the first parts of words that outnumber both their parts by the ratio though these are common
         often = [(w, n) for w, n in s.words.items() if n >= p.ratio * self.common] if self.common else []
         self.torn = {w[:k] for w, n in often for k in range(1, len(w)) if self.common <= min(self.count(w[:k]), self.count(w[k:])) <= n / p.ratio}
@@ -386,13 +377,13 @@ class Reader:
         h = [np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"))], np.uint64) for x in (a, b)]
         return max(0.0, min(float(self.s.pairs[r][cells[0]]) for r, cells in enumerate(_pair_cells(*h, self.p))) - self.noise)
 
-    def candidates(self, w: str) -> dict[str, tuple[float, int, bool]]:
-        """word -> (cost of reading it so, count, whether only its neighbours can prove it)."""
+    def candidates(self, w: str, plain: bool = True) -> dict[str, tuple[float, int, bool]]:
+        """word -> (cost of reading it so, count, whether only its neighbours can prove it). plain: with plain edits."""
         if self.s.meant is not None and w in self.s.meant:
             return self.s.meant[w]
         if self.s.meant is not None and self.count(w):
             return {}
-        got = self.meant.get(w)
+        got = self.meant.get((w, plain))
         if got is None:
             if len(self.meant) > 200_000:
                 self.meant.clear()
@@ -400,25 +391,23 @@ class Reader:
             own = self.p.ratio * max(self.count(w), 0.5 if odd else self.unseen)
             good = lambda v, n: v != w and n >= own and len(v) > 1 and not ODD.search(v)
             got = {v: (float(c), n, False) for v, (_, c, n) in self.s.words.within(w, self.p.most_confusions, 0).items() if good(v, n)}
-            if not got and len(w) >= self.p.short_word:
+            if not got and plain and len(w) >= self.p.short_word:
                 if odd:  # signs that nobody types inside a word: any edit will do
                     got = {v: (c + 2.0 * e, n, False) for v, (e, c, n) in self.s.words.within(w, self.p.most_confusions, 1).items() if good(v, n)}
-                else:
-                    found = self.s.words.within(w, 0, 1)
-                    if len(w) >= self.p.long_word:
-                        found |= self.s.words.within(w, 2, 0, _ALIKE)
-                    got = {v: (cost, n, True) for v, (_, _, n) in found.items() if good(v, n) and (cost := reading_cost(w, v)) is not None}
-            self.meant[w] = got
+                else:  # of the plain edits those that can be a misreading
+                    found = self.s.words.within(w, 1 if len(w) < self.p.long_word else 2, 0, _ALIKE)
+                    got = {v: (1.5 * c, n, True) for v, (_, c, n) in found.items() if good(v, n)}
+            self.meant[w, plain] = got
         return got
 
-    def misread(self, w: str, before: str, after: str) -> str | None:
+    def misread(self, w: str, before: str, after: str, plain: bool = True) -> str | None:
         """The word that w was printed as, or null if it is none or unknown.
 
         The rank is the cost of reading it so, less what the neighbours and its count say for it.
         """
         if len(w) < 2 or _is_code(w):
             return None
-        found = self.candidates(w)
+        found = self.candidates(w, plain)
         if not found:
             return None
         best = None
@@ -554,8 +543,8 @@ class Reader:
         rarer = max(min(self.count(x), self.count(y)), self.unseen)
         if whole >= self.p.ratio * rarer:
             return a + b
-        if not whole and max(self.count(x), self.count(y)) < self.common / 10 and self.candidates(x + y) and not (self.candidates(x) or self.candidates(y)):
-            best = self.misread(x + y, "", "")
+        if not whole and max(self.count(x), self.count(y)) < self.common / 10 and self.candidates(x + y, plain=False) and not (self.candidates(x) or self.candidates(y)):
+            best = self.misread(x + y, "", "", plain=False)
             if best and self.count(best) >= self.p.ratio * rarer:
                 return _recased(a + b, x + y, best)
         return None
