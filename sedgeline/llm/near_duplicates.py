@@ -18,6 +18,9 @@
 The band keys decide recall: a pair at the threshold is found with probability
 1 - (1 - threshold**rows)**bands at least, whatever part of its texts is common; more bands are
 taken where needed for that. Nothing is capped or sampled.
+
+exact=True takes the place of bands and signatures by a way that misses nothing: a prefix filter over the shingles
+in the order of the sketch's counts, the rarest first, with bounds by size and position.
 """
 
 from __future__ import annotations
@@ -102,17 +105,21 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1).T).ravel().view(np.int64)
 
 
-def common_shingles(counted: DataFrame, p: NearDuplicates) -> tuple[int, np.ndarray]:
-    """From the sketches among signed_and_counted(): number of texts, and per sketch row and cell
-    whether it counts above the share.
+def shingle_counts(counted: DataFrame, p: NearDuplicates) -> tuple[int, np.ndarray]:
+    """From the sketches among signed_and_counted(): number of texts, and the counts per sketch row and cell.
 
     The sketch has one size whatever the input; it is summed in a tree of tasks.
     """
     sketches = counted.filter("cells is not null").select("n", "cells")
     if sketches.isEmpty():
-        return 0, np.zeros((p.sketch_rows, 1 << p.sketch_bits), bool)
+        return 0, np.zeros((p.sketch_rows, 1 << p.sketch_bits), np.int64)
     n, cells = sketches.rdd.map(tuple).treeReduce(lambda a, b: (a[0] + b[0], _packed(_unpacked(a[1]) + _unpacked(b[1]))), depth=3)
-    return n, _unpacked(cells).reshape(p.sketch_rows, -1) > max(p.common_share * n, p.least_common)
+    return n, _unpacked(cells).reshape(p.sketch_rows, -1)
+
+
+def common_shingles(n: int, counts: np.ndarray, p: NearDuplicates) -> np.ndarray:
+    """Per sketch row and cell whether it counts above the share."""
+    return counts > max(p.common_share * n, p.least_common)
 
 
 SHARES = np.arange(0, 1.001, 0.025)
@@ -245,6 +252,88 @@ def _pairs_of_shard(keys: np.ndarray, ents: np.ndarray, block: int = 2_000_000)
         at = to
 
 
+def prefix_length(size: np.ndarray, threshold: float) -> np.ndarray:
+    """Of so many shingles in one order for all texts, two texts that reach the threshold share one among the first so many of each."""
+    return size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1
+
+
+def exact_candidates(texts: DataFrame, p: NearDuplicates, n: int, counts: np.ndarray) -> DataFrame:
+    """All pairs of text names (a < b) that can reach the threshold; a pair may occur once per shared shingle.
+
+    Each text sends the rarest of its shingles (by the sketch's counts, ties by hash) that the prefix filter asks for, with its size
+    and the shingle's place. Two texts that are similar share a first such shingle, from whose place on both have
+    room for the overlap that they need.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(counts)
+    shards = max(1, math.ceil(n * 16 / p.shard_entries))
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        for b in batches:
+            words, _ = _texts(p, b["text"].to_pylist())
+            if not words:
+                continue
+            names, first = np.unique(_class_ids(words), return_index=True)
+            words = [words[i] for i in first]
+            h, lengths = shingle_hashes(*hashed_batch(words), p.shingle)
+            text = np.repeat(np.arange(len(words)), lengths)
+            rarity = np.minimum.reduce([held[r][_cells(h, r, p.sketch_bits)] for r in range(p.sketch_rows)])
+            order = np.lexsort((h, rarity, text))
+            h, text = h[order], text[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+            h, text = h[new], text[new]
+            size = np.bincount(text, minlength=len(words))
+            place = np.arange(len(h)) - (np.cumsum(size) - size)[text]
+            sent = place < prefix_length(size, p.threshold)[text]
+            h, text, place = h[sent], text[sent], place[sent]
+            shard = ((h >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+            rows = np.zeros(len(h), _ENTRY)
+            rows["key"], rows["name"], rows["size"], rows["place"] = h, names[text], size[text], place
+            rows = rows[order]
+            full = [s for s in range(shards) if cuts[s] < cuts[s + 1]]
+            yield pa.RecordBatch.from_pydict({"shard": full, "rows": [rows[cuts[s] : cuts[s + 1]].tobytes() for s in full]})
+
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, list] = {}
+        for b in batches:
+            for s, r in zip(b["shard"], b["rows"]):
+                held.setdefault(s, []).append(r)
+        for s in list(held):
+            yield from _prefix_pairs(np.frombuffer(b"".join(held.pop(s)), _ENTRY), p.threshold)
+
+    return texts.select("text").mapInArrow(entries, "shard long, rows binary").repartition(shards, "shard").mapInPandas(pairs, "a long, b long")
+
+
+_ENTRY = np.dtype([("key", np.uint64), ("name", np.int64), ("size", np.uint32), ("place", np.uint32)])
+
+
+def _prefix_pairs(rows: np.ndarray, threshold: float, block: int = 2_000_000) -> Iterator[pd.DataFrame]:
+    """Pairs of entries of one key that the bounds by size and place leave, a block of pairs at a time."""
+    rows = np.unique(rows)  # copies of a text send the same entries
+    if not len(rows):
+        return
+    starts = np.flatnonzero(np.concatenate(([True], rows["key"][1:] != rows["key"][:-1])))
+    sizes = np.diff(np.append(starts, len(rows)))
+    later = np.repeat(starts + sizes, sizes) - np.arange(len(rows)) - 1
+    total = np.concatenate(([0], np.cumsum(later)))
+    at = 0
+    while at < len(rows):
+        to = max(at + 1, int(np.searchsorted(total, total[at] + block, "right")) - 1)
+        left = np.repeat(np.arange(at, to), later[at:to])
+        right = left + 1 + (np.arange(len(left)) - np.repeat(total[at:to] - total[at], later[at:to]))
+        x, y = rows[left], rows[right]
+        room = np.minimum(x["size"].astype(np.int64) - x["place"], y["size"].astype(np.int64) - y["place"])
+        need = threshold / (1 + threshold) * (x["size"].astype(np.int64) + y["size"])
+        keep = (room >= need - 1e-9) & (x["name"] != y["name"])
+        if keep.any():
+            a, b = np.minimum(x["name"][keep], y["name"][keep]), np.maximum(x["name"][keep], y["name"][keep])
+            yield pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+        at = to
+
+
 def signed_and_counted(texts: DataFrame, p: NearDuplicates) -> DataFrame:
     """One pass over the texts: for each its id, the name of its text and its packed signature as
     64-bit words (s0, s1, ...); and per task one row with its number of texts (n) and its sketch (cells)."""
@@ -299,7 +388,7 @@ def _least_estimate(p: NearDuplicates) -> float:
     return p.threshold - p.deviations * math.sqrt(m * (1 - m) / p.hashes) / (1 - chance)
 
 
-def similar_classes(texts: DataFrame, p: NearDuplicates) -> tuple[DataFrame, DataFrame]:
+def similar_classes(texts: DataFrame, p: NearDuplicates, exact: bool = False) -> tuple[DataFrame, DataFrame]:
     """(pairs of text names with their similarity, members: id and name of its text).
 
     texts: id (bigint), text; other columns are ignored. Null ids and texts, and texts of fewer than
@@ -308,24 +397,22 @@ def similar_classes(texts: DataFrame, p: NearDuplicates) -> tuple[DataFrame, Dat
     """
     texts = texts.filter("id is not null and text is not null").select("id", "text")
     counted = stored(signed_and_counted(texts, p))
-    n, common = common_shingles(counted, p)
+    n, counts = shingle_counts(counted, p)
     signed = signatures(counted)
     width = p.hashes * p.bits // 64
     sig = [f"s{i}" for i in range(width)]
     classes = signed.groupBy("name").agg(F.min("id").alias("rep"), *[F.first(s).alias(s) for s in sig])
     side = lambda x: classes.select(F.col("name").alias(x), *[F.col(s).alias(f"{x}_{s}") for s in sig], F.col("rep").alias(f"{x}_rep"))
-    found = candidate_pairs(texts, p, n, common).repartition("a").dropDuplicates(["a", "b"])
-    likely = (
-        found.join(side("a"), "a").join(side("b"), "b")
-        .filter(estimated_similarity(p, "a_", "b_") >= _least_estimate(p))
-        .select("a", "b", "a_rep", "b_rep")
-    )
-    likely = stored(likely)
+    found = exact_candidates(texts, p, n, counts) if exact else candidate_pairs(texts, p, n, common_shingles(n, counts, p))
+    likely = found.repartition("a").dropDuplicates(["a", "b"]).join(side("a"), "a").join(side("b"), "b")
+    if not exact:
+        likely = likely.filter(estimated_similarity(p, "a_", "b_") >= _least_estimate(p))
+    likely = stored(likely.select("a", "b", "a_rep", "b_rep"))
     needed = likely.select(F.col("a_rep").alias("id")).unionByName(likely.select(F.col("b_rep").alias("id"))).distinct()
     plain = texts.join(needed, "id", "left_semi").dropDuplicates(["id"])
     both = likely.join(plain.select(F.col("id").alias("a_rep"), F.col("text").alias("text_a")), "a_rep").join(plain.select(F.col("id").alias("b_rep"), F.col("text").alias("text_b")), "b_rep")
 
-    def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def checked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo: dict[int, frozenset] = {}
 
         def shingles(name: int, text: str) -> frozenset:
@@ -346,23 +433,23 @@ def similar_classes(texts: DataFrame, p: NearDuplicates) -> tuple[DataFrame, Dat
             keep = np.array(out) >= p.threshold - 1e-12
             yield pd.DataFrame({"a": b["a"][keep], "b": b["b"][keep], "similarity": np.array(out)[keep]})
 
-    pairs = both.select("a", "b", "text_a", "text_b").mapInPandas(exact, "a long, b long, similarity double")
+    pairs = both.select("a", "b", "text_a", "text_b").mapInPandas(checked, "a long, b long, similarity double")
     return pairs, signed.select("id", "name").distinct()
 
 
-def near_duplicate_pairs(texts: DataFrame, p: NearDuplicates) -> DataFrame:
+def near_duplicate_pairs(texts: DataFrame, p: NearDuplicates, exact: bool = False) -> DataFrame:
     """All pairs of rows (id_a < id_b) whose texts reach the threshold, copies included."""
-    pairs, members = similar_classes(texts, p)
+    pairs, members = similar_classes(texts, p, exact)
     m = lambda name, i: members.select(F.col("name").alias(name), F.col("id").alias(i))
     across = pairs.select("a", "b").join(m("a", "x"), "a").join(m("b", "y"), "b").filter("x <> y").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
     within = m("a", "id_a").join(m("a", "id_b"), "a").filter("id_a < id_b").select("id_a", "id_b")
     return across.unionByName(within).distinct()
 
 
-def near_duplicate_classes(texts: DataFrame, p: NearDuplicates) -> DataFrame:
+def near_duplicate_classes(texts: DataFrame, p: NearDuplicates, exact: bool = False) -> DataFrame:
     """One row per text-bearing row: id, class_id (least id of its equal texts), n_copies and
     n_links (different texts that are near it)."""
-    pairs, members = similar_classes(texts, p)
+    pairs, members = similar_classes(texts, p, exact)
     links = pairs.select(F.explode(F.array("a", "b")).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n_links"))
     sizes = members.groupBy("name").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("n_copies"))
     return members.join(sizes, "name").join(links, "name", "left").select("id", "class_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))

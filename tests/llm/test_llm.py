@@ -72,6 +72,17 @@ def test_near_duplicates_of_real_requests(spark):
     assert want and got <= want and len(got) >= 0.99 * len(want)
 
 
+@pytest.mark.parametrize("threshold, size", [(0.5, 3), (0.8, 5), (0.3, 1), (1.0, 2)])
+def test_exact_pairs_equal_brute_force(spark, threshold, size):
+    rng = random.Random(int(threshold * 10))
+    rows = list(enumerate(variants(rng, 50)))
+    rows += [(1000, None), (1001, ""), (1002, "too short"), (1003, rows[0][1]), (1004, rows[0][1].upper() + "!"), (None, rows[0][1])]
+    p = near_duplicates.NearDuplicates(shingle=size, threshold=threshold, least_words=10, shard_entries=500)
+    df = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    assert {tuple(r) for r in near_duplicates.near_duplicate_pairs(df, p, exact=True).collect()} == brute_pairs(rows, size, threshold, 10)
+    assert near_duplicates.near_duplicate_classes(df.filter("false"), p, exact=True).count() == 0
+
+
 def test_near_duplicates_default_and_empty(spark):
     p = near_duplicates.NearDuplicates()
     base = " ".join(f"x{i}" for i in range(100))
@@ -112,6 +123,7 @@ def test_pairs_on_a_common_template(spark):
     got = {tuple(r) for r in near_duplicates.near_duplicate_pairs(spark.createDataFrame(rows, "id long, text string"), queries.REQUESTS).collect()}
     want = brute_pairs(rows, 3, 0.5, 20)
     assert len(want) == 300 and got <= want and len(got) >= 0.98 * len(want)
+    assert {tuple(r) for r in near_duplicates.near_duplicate_pairs(spark.createDataFrame(rows, "id long, text string"), queries.REQUESTS, exact=True).collect()} == want
 
 
 def test_estimate_follows_similarity(spark):
