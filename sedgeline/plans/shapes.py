@@ -74,6 +74,10 @@ select width, case when width <= 5 then 5 when width = 6 and f < 6 then 5 when w
 h as (select doc_id, n, cast(line_no as int) line_no, length(regexp_extract(line, '^(#+)', 1)) lv, trim(regexp_replace(line, '^#+[ \t]+', ''), ' ') title from x where regexp_matches(line, '^#{1,6}[ \t]+\S'))
 select a.doc_id, a.line_no, cast(a.lv as int) "level", a.title, max(b.line_no) filter (b.line_no < a.line_no and b.lv < a.lv) parent_line, cast(coalesce(min(b.line_no) filter (b.line_no > a.line_no and b.lv <= a.lv), a.n) as int) end_line
 from h a left join h b on b.doc_id = a.doc_id group by a.doc_id, a.line_no, a.lv, a.title, a.n""",
+    "document_chunks": r"""with recursive s as (select doc_id, text, 0 a, 0 no, length(text) n, 0 e from documents where text <> ''
+ union all select doc_id, text, e, no + 1, n, case when e + 2000 >= n then n when regexp_matches(substr(text, e + 1001, 1000), '\n\n') then e + 1002 + length(regexp_extract(substr(text, e + 1001, 1000), '(?s)^(.*)\n\n', 1))
+  when contains(substr(text, e + 1001, 1000), chr(10)) then e + 1001 + length(regexp_extract(substr(text, e + 1001, 1000), '(?s)^(.*)\n', 1)) else e + 2000 end from s where e < n)
+select doc_id, cast(no as int) chunk_no, cast(e - a as int) n_chars from s where no > 0""",
     "document_references": r"with r as (select doc_id, unnest(regexp_extract_all(text, '\b([A-Z]{2}/[0-9]{2,6})\b', 1)) reference from documents) select doc_id, reference, count(*) n_uses from r group by 1, 2",
     "tumbling_windows": "with e as (select * from events) " + _WINDOWED.format("time_bucket(interval 1 hour, ts)", 1),
     "sliding_windows": "with e as (select events.*, unnest([0, 1]) k from events) " + _WINDOWED.format("time_bucket(interval 1 hour, ts) - k * interval 1 hour", 2),

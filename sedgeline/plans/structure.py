@@ -63,9 +63,9 @@ def repaired_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per source the latest quarter or year that its documents name, and how many name one."""
-    t = table(spark, sf_dir, "documents").select("source", dates.latest_deadline(F.col("text")).alias("d")).filter("d is not null")
-    return t.groupBy("source").agg(F.max("d.year").alias("latest_year"), F.count(F.lit(1)).alias("n_documents"))
+    """Per source and month of publication the latest quarter that its documents name (a year alone counts as its fourth), and how many name one."""
+    t = table(spark, sf_dir, "documents").select("source", F.date_format("published_on", "yyyy-MM").alias("month"), dates.latest_deadline(F.col("text")).alias("d")).filter("d is not null")
+    return t.groupBy("source", "month").agg(F.max("d").alias("d"), F.count(F.lit(1)).alias("n_documents")).select("source", "month", F.col("d.year").alias("latest_year"), F.col("d.quarter").alias("latest_quarter"), "n_documents")
 
 
 QUERIES = {f.__name__: f for f in (attributed_rows, event_sections, body_website_confidence, first_reports, reference_sections, document_paragraphs, repaired_orders, latest_quarters)}
@@ -91,6 +91,14 @@ e as (select a.doc_id, a.p, a.lv, a.title, coalesce(min(b.p) filter (b.p > a.p a
 r as (select row_number() over () i, doc_id, p, ref from (select doc_id, p, unnest(regexp_extract_all(line, '\b([A-Z]{2}/[0-9]{2,6})\b', 1)) ref from x)),
 j as (select r.i, r.doc_id, e.title from r left join e on e.doc_id = r.doc_id and r.p >= e.p and r.p < e.q qualify row_number() over (partition by r.i order by e.lv desc nulls last, e.title desc) = 1)
 select title "section", count(*) n_references, count(distinct doc_id) n_documents from j group by 1""",
+    "latest_quarters": r"""with d as (select source, strftime(published_on, '%Y-%m') m, list_filter(regexp_extract_all(lower(text), '(?:q[1-4] )?[0-9–—-]+'), lambda x: regexp_full_match(x, '(?:q[1-4] )?[0-9]{4}')) d from documents),
+q as (select source, m, list_max(list_transform(d, lambda x: cast(right(x, 4) as int) * 10 + coalesce(try_cast(regexp_extract(x, 'q([1-4])', 1) as int), 4))) q from d where len(d) > 0)
+select source, m "month", cast(max(q) // 10 as int) latest_year, cast(max(q) % 10 as int) latest_quarter, count(*) n_documents from q group by 1, 2""",
+    "document_paragraphs": r"""with b as (select doc_id, unnest(regexp_split_to_array(text, '(?:\r?\n[ \t]*)+\r?\n')) b from documents where text is not null),
+l as (select doc_id, list_filter(list_transform(regexp_split_to_array(b, '\r?\n'), lambda x: regexp_replace(x, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')), lambda x: x <> '') a, len(list_filter(regexp_split_to_array(b, '\r?\n'), lambda x: starts_with(x, '#'))) > 0 large from b),
+j as (select doc_id, large, len(list_filter(a, lambda x: regexp_matches(x, '^(?:[•‣*–-]|\(?[0-9]{1,3}[.)]|\(?[a-z][.)])\s+'))) = len(a) listed, array_to_string(a, chr(10)) t,
+ list_reduce(a, lambda a, x: case when regexp_matches(a, '[\p{L}\p{N}_]-$') and regexp_matches(x, '^\p{Ll}') then a[:-2] || x else a || ' ' || x end) j from l where len(a) > 0)
+select doc_id, case when listed then 'list' when large and length(j) <= 120 then 'heading' else 'paragraph' end kind, count(*) n_blocks, cast(sum(length(case when listed then t else j end)) as bigint) n_chars from j group by 1, 2""",
     "repaired_orders": "select o_orderkey, case when o_orderstatus = 'P' then 'F' else o_orderstatus end o_orderstatus from orders where not (coalesce(o_orderstatus, '') = 'P' and not starts_with(o_orderpriority, '1'))",
 }
 
