@@ -52,10 +52,13 @@ def named_language(label: Column) -> Column:
 @dataclass(frozen=True)
 class LanguageModel:
     """bits: size of the hashed feature space. sample_docs: most labelled documents per language
-    that training reads (the documented bound). least_words: paragraphs below are not judged."""
+    that training reads, and sample_sentences: most sentences of a side that one machine sees in an epoch (the documented
+    bounds of the fit; what is judged is never sampled). batch: sentences per step. least_words: paragraphs below are not judged."""
 
     bits: int = 16
     sample_docs: int = 300
+    sample_sentences: int = 4000
+    batch: int = 32
     epochs: int = 8
     regularisation: float = 1e-3
     refits: int = 2
@@ -108,30 +111,36 @@ def labelled_sample(documents: DataFrame, p: LanguageModel) -> list[tuple[str, s
 
 
 def _fit(x: list[np.ndarray], y: np.ndarray, groups: list[list[int]], pairs: list[tuple[int, int]], epochs: int, last: np.ndarray | None, p: LanguageModel) -> np.ndarray:
-    """Averaged Pegasos for each pair of groups of labels; x: feature numbers of each sentence.
+    """Averaged Pegasos in mini-batches for each pair of groups of labels; x: feature numbers of each sentence.
 
     A pair of which one side has no sentence keeps the machine of the last fit.
     """
-    out = np.zeros((1 << p.bits, len(pairs)), np.float32) if last is None else last.copy()
+    size = 1 << p.bits
+    out = np.zeros((size, len(pairs)), np.float32) if last is None else last.copy()
     rng = np.random.default_rng(5)
+    lengths = np.fromiter(map(len, x), np.int64, len(x))
+    ends = np.cumsum(lengths)
+    flat = np.concatenate(x) if len(x) else np.zeros(0, np.int64)
+    norms = np.maximum(lengths, 1) ** -0.5
     for m, (a, b) in enumerate(pairs):
         ia, ib = np.flatnonzero(np.isin(y, groups[a])), np.flatnonzero(np.isin(y, groups[b]))
         if not len(ia) or not len(ib):
             continue
-        n = min(max(len(ia), len(ib)), 4 * min(len(ia), len(ib)), 4000)
-        w, total, scale, t = np.zeros(1 << p.bits), np.zeros(1 << p.bits), 1.0, 0
-        signs = np.repeat([1.0, -1.0], n)
+        n = min(max(len(ia), len(ib)), 4 * min(len(ia), len(ib)), p.sample_sentences)
+        w, total, scale, t = np.zeros(size), np.zeros(size), 1.0, 0
         for _ in range(epochs):
-            rows = np.concatenate([rng.choice(ia, n), rng.choice(ib, n)])
             order = rng.permutation(2 * n)
-            for k, sign in zip(rows[order].tolist(), signs[order].tolist()):
-                t += 1
-                f = x[k]
-                norm = len(f) ** -0.5
-                step = 1 / (p.regularisation * (t + 1000))
+            rows = np.concatenate([rng.choice(ia, n), rng.choice(ib, n)])[order]
+            signs = np.where(order < n, 1.0, -1.0)
+            for at in range(0, 2 * n, p.batch):
+                k, sign = rows[at : at + p.batch], signs[at : at + p.batch]
+                t += len(k)
+                starts = np.cumsum(lengths[k]) - lengths[k]
+                f = flat[np.arange(lengths[k].sum()) + np.repeat(ends[k] - lengths[k] - starts, lengths[k])]
+                wrong = sign * scale * np.add.reduceat(w[f], starts) * norms[k] < 1
+                step = len(k) / (p.regularisation * (t + 1000))
                 scale *= 1 - step * p.regularisation
-                if sign * scale * w[f].sum() * norm < 1:
-                    w[f] += sign * step * norm / scale
+                np.add.at(w, f, np.repeat(np.where(wrong, sign * norms[k] * step / (len(k) * scale), 0.0), lengths[k]))
             total += scale * w
         out[:, m] = total / epochs
     return out
