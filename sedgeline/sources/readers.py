@@ -7,7 +7,7 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -118,19 +118,88 @@ def sql_table(spark: SparkSession, url: str, query: str, **options: str) -> Data
     return spark.read.format("jdbc").options(url=url, query=query, **options).load()
 
 
-def sheets(spark: SparkSession, path: str) -> DataFrame:
-    """First sheets of office workbooks as grids: path, rows, n_other_sheets. Needs openpyxl on the executors."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
+def recorded_pages(spark: SparkSession, path: str, schema: StructType, field: str = "results", number: str = "page") -> DataFrame:
+    """The records of a paged interface from its recorded answers (one JSON document a page), up to the first empty page.
+
+    Pages are counted from their number field; one that is missing ends the list as an empty one does.
+    """
+    whole = StructType().add(number, "integer").add(field, ArrayType(schema))
+    pages = spark.read.schema(whole).option("multiLine", True).json(path).select(F.col(number).alias("_no"), F.col(field).alias("_rows"))
+    full = pages.filter("size(_rows) > 0").select("_no").distinct()
+    first_gap = full.select((F.col("_no") + 1).alias("_no")).join(full, "_no", "left_anti").agg(F.min("_no").alias("_end"))
+    return pages.join(F.broadcast(first_gap), F.col("_no") < F.col("_end")).select(F.explode("_rows").alias("r")).select("r.*")
+
+
+class _Text(HTMLParser):
+    """Text below the first element of a tag, or of a class or id; scripts and styles aside."""
+
+    BLOCKS = {"p", "div", "li", "tr", "br", "h1", "h2", "h3", "h4", "h5", "h6", "section", "article", "table"}
+    EMPTY = {"br", "img", "hr", "input", "meta", "link", "col", "source", "wbr"}
 
-        import openpyxl
+    def __init__(self, selector: str) -> None:
+        super().__init__()
+        self.selector, self.depth, self.hidden, self.done, self.parts = selector, 0, 0, False, []
+
+    def _wanted(self, tag: str, attrs: dict) -> bool:
+        if self.selector.startswith("#"):
+            return attrs.get("id") == self.selector[1:]
+        if self.selector.startswith("."):
+            return self.selector[1:] in (attrs.get("class") or "").split()
+        return tag == self.selector
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style"):
+            self.hidden += 1
+        if tag in self.BLOCKS:
+            self.parts.append("\n")
+        if tag not in self.EMPTY and not self.done and (self.depth or self._wanted(tag, dict(attrs))):
+            self.depth += 1
+
+    def handle_endtag(self, tag):
+        if tag in ("script", "style"):
+            self.hidden = max(0, self.hidden - 1)
+        if tag in self.BLOCKS:
+            self.parts.append("\n")
+        if self.depth and tag not in self.EMPTY:
+            self.depth -= 1
+            self.done = self.depth == 0
 
+    def handle_data(self, data):
+        if self.depth and not self.hidden:
+            self.parts.append(data)
+
+
+def selected_text(html: str, selectors: list[str]) -> str | None:
+    """The text of the first selector (tag, .class or #id) that a page has, a block a line; null if it has none."""
+    for s in selectors:
+        p = _Text(s)
+        p.feed(html)
+        text = "\n".join(filter(None, (" ".join(line.split()) for line in "".join(p.parts).split("\n"))))
+        if text:
+            return text
+    return None
+
+
+def page_texts(pages: DataFrame, url: str, html: str, selectors: list[str]) -> DataFrame:
+    """url, text of each page that holds one of the selectors; a page without, or a null one, has a null text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for p, data in zip(b["path"].to_pylist(), b["content"].to_pylist()):
-                book = openpyxl.load_workbook(io.BytesIO(data), read_only=True, data_only=True)
-                first, *others = book.worksheets
-                rows = [[None if c is None else str(c) for c in r] for r in first.iter_rows(values_only=True)]
-                more = sum(any(c is not None for r in s.iter_rows(values_only=True) for c in r) for s in others)
-                yield pa.RecordBatch.from_pydict({"path": [p], "rows": pa.array([rows], pa.list_(pa.list_(pa.string()))), "n_other_sheets": pa.array([more], pa.int32())})
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "path string, rows array<array<string>>, n_other_sheets int")
+            yield pa.RecordBatch.from_arrays([b["u"].cast(pa.string()), pa.array([selected_text(h, selectors) if h else None for h in b["h"].to_pylist()], pa.string())], names=["url", "text"])
+
+    return pages.select(F.col(url).alias("u"), F.col(html).alias("h")).mapInArrow(run, "url string, text string")
+
+
+def qualifying_page(url: Column, body: Column, keywords: list[str]) -> Column:
+    """Whether a page is itself what a link to it would be: text and path both hold one of the words."""
+    path = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1))
+    held = lambda c: F.exists(F.array(*[F.lit(k.lower()) for k in keywords]), lambda k: F.contains(c, k))
+    return F.coalesce(held(F.lower(body)) & held(path), F.lit(False))
+
+
+def probe_outcome(status: Column, error: Column, body: Column, parked: list[str]) -> Column:
+    """What a recorded answer says of a site: `nxdomain`, `blocked`, `dead`, `parked` or `ok`."""
+    low = F.lower(F.coalesce(body, F.lit("")))
+    return (
+        F.when(F.lower(error).rlike("nxdomain|name or service not known|getaddrinfo"), "nxdomain").when(status.isin(401, 403, 429), "blocked")
+        .when(error.isNotNull() | status.isNull() | (status >= 400), "dead").when(F.exists(F.array(*[F.lit(p.lower()) for p in parked]), lambda p: F.contains(low, p)), "parked").otherwise("ok")
+    )

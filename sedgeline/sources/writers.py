@@ -154,6 +154,14 @@ def jsonld_document(df: DataFrame, path: str, context: dict[str, str], ident: Co
     df.select(node.alias("value")).mapInArrow(wrap, "value string").write.mode("overwrite").text(path)
 
 
+def index_lines(df: DataFrame, title: Column, link: Column, note: Column, form: str) -> DataFrame:
+    """One line per row of an index: `markdown` (a list of links with notes) or `html` (list items, escaped)."""
+    if form == "markdown":
+        return df.select(F.concat(F.lit("- ["), F.regexp_replace(title, r"([\[\]])", r"\\$1"), F.lit("]("), link, F.lit(")"), F.when(F.coalesce(note, F.lit("")) != "", F.concat(F.lit(": "), note)).otherwise("")).alias("value"))
+    safe = lambda c: F.replace(F.replace(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
+    return df.select(F.concat(F.lit('<li><a href="'), safe(link), F.lit('">'), safe(title), F.lit("</a> "), safe(note), F.lit("</li>")).alias("value"))
+
+
 def load_ordered(spark: SparkSession, url: str, table: str, df: DataFrame, known: DataFrame, key: str, ident: str, batch: int = 100) -> DataFrame:
     """Loads rows whose key the target lacks, with numbers that go on behind the known ones; returns the id map of all keys.
 
