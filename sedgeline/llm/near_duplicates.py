@@ -56,7 +56,7 @@ class NearDuplicates:
     common_share: float = 0.01
     least_common: int = 100
     common_limit: float = 0.25
-    full_rows: int = 5
+    full_rows: int = 4
     sketch_rows: int = 3
     sketch_bits: int = 18
     shard_entries: int = 1_000_000
@@ -68,11 +68,16 @@ def _multipliers(seed: int, n: int) -> np.ndarray:
 
 
 def _minima(h: np.ndarray, starts: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
-    """Least 32-bit hash of each text under each multiplier; no text may be empty."""
+    """Least 32-bit hash of each text under each multiplier; no text may be empty.
+
+    Hashes are well mixed already, so an odd 32-bit multiplier makes a new order of them.
+    """
     out = np.empty((len(multipliers), len(starts)), np.uint32)
+    short, held = (h >> np.uint64(32)).astype(np.uint32), np.empty(len(h), np.uint32)
     with np.errstate(over="ignore"):
         for k, m in enumerate(multipliers):
-            np.minimum.reduceat(((h * m) >> np.uint64(32)).astype(np.uint32), starts, out=out[k])
+            np.multiply(short, np.uint32(int(m) >> 32 | 1), out=held)
+            np.minimum.reduceat(held, starts, out=out[k])
     return out
 
 
