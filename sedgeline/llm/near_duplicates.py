@@ -146,13 +146,13 @@ def _needed_bands(p: NearDuplicates) -> np.ndarray:
     return np.array([_bands_for(p, p.rows, (p.threshold - v) / (1 - v)) for v in x])
 
 
-def _distinct_counts(h: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
-    """Different shingles of each text; text rises."""
-    order = np.lexsort((h, text))
-    a, b = h[order], text[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return np.bincount(b[new], minlength=n)
+def _distinct_counts(h: np.ndarray, text: np.ndarray, rare: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different shingles of each text, and how many of them are rare: by sorting one number per shingle, of its
+    text (24 bits, more than a batch holds), its hash (39 bits) and whether it is rare."""
+    x = np.sort((text.astype(np.uint64) << np.uint64(40)) | ((h >> np.uint64(25)) << np.uint64(1)) | rare.astype(np.uint64))
+    x = x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
+    of = (x >> np.uint64(40)).astype(np.int64)
+    return np.bincount(of, minlength=n), np.bincount(of, weights=(x & np.uint64(1)).astype(float), minlength=n).astype(np.int64)
 
 
 def _band_keys(h: np.ndarray, text: np.ndarray, rows: int, bands: range, multipliers: np.ndarray) -> np.ndarray:
@@ -188,7 +188,7 @@ def candidate_pairs(texts: DataFrame, p: NearDuplicates, n: int, common: np.ndar
             h, counts = shingle_hashes(*hashed_batch(words), p.shingle)
             text = np.repeat(np.arange(len(words)), counts)
             rare = ~np.logical_and.reduce([hot[r][_cells(h, r, p.sketch_bits)] for r in range(p.sketch_rows)])
-            n_all, n_rare = _distinct_counts(h, text, len(words)), _distinct_counts(h[rare], text[rare], len(words))
+            n_all, n_rare = _distinct_counts(h, text, rare, len(words))
             share = 1 - n_rare / n_all
             wanted = np.where(n_rare > 0, needed[np.searchsorted(SHARES, np.minimum(share, p.common_limit))], 0)
             got_keys, got_names = [], []
