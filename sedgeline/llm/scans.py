@@ -27,6 +27,8 @@ import pickle
 import re
 import uuid
 import zlib
+from array import array
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -228,6 +230,7 @@ class Trie:
         self.ends = np.cumsum(np.fromiter(map(len, order), np.int64, len(order)))
         self.counts = np.fromiter((words[w] for w in order), np.int64, len(order))
         self.nodes: dict[tuple[int, int, int], tuple[int, dict[str, tuple[int, int]]]] = {}
+        self.hashes: array | None = None
 
     def __len__(self) -> int:
         return len(self.counts)
@@ -237,7 +240,7 @@ class Trie:
 
     def __setstate__(self, state):
         self.text, self.ends, self.counts = state
-        self.nodes = {}
+        self.nodes, self.hashes = {}, None
 
     def _span(self, i: int) -> tuple[int, int]:
         return int(self.ends[i - 1]) if i else 0, int(self.ends[i])
@@ -250,15 +253,19 @@ class Trie:
         return ((self.word(i), int(self.counts[i])) for i in range(len(self)))
 
     def count(self, w: str) -> int:
-        """How often a word occurs; 0 if it is no vocabulary."""
-        low, high = 0, len(self)
-        while low < high:
-            mid = (low + high) // 2
-            if self.word(mid) < w:
-                low = mid + 1
-            else:
-                high = mid
-        return int(self.counts[low]) if low < len(self) and self.word(low) == w else 0
+        """How often a word occurs; 0 if it is no vocabulary. Looked up by hash, then compared."""
+        if self.hashes is None:
+            h = np.fromiter((xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) for x, _ in self.items()), np.uint64, len(self))
+            self.order = np.argsort(h, kind="stable")
+            self.hashes = array("Q", h[self.order].tobytes())
+        h = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
+        at = bisect_left(self.hashes, h)
+        while at < len(self.hashes) and self.hashes[at] == h:
+            i = int(self.order[at])
+            if self.word(i) == w:
+                return int(self.counts[i])
+            at += 1
+        return 0
 
     def node(self, low: int, high: int, depth: int) -> tuple[int, dict[str, tuple[int, int]]]:
         """(count of the word that ends here or 0, letter -> range of the words that go on with it)."""
@@ -357,6 +364,7 @@ class Reader:
         self.noise = float(s.pairs[0].sum()) / s.pairs.shape[1] if s.pairs.size else 0.0
         self.counts: dict[str, int] = {}
         self.status: dict[str, int] = {}
+        self.cores: dict[str, str] = {}
         self.meant: dict[tuple[str, bool], dict] = {}
         # the first parts of words that outnumber both their parts by the ratio though these are common
         often = [(w, n) for w, n in s.words.items() if n >= p.ratio * self.common] if self.common else []
@@ -419,13 +427,21 @@ class Reader:
             best = min(best, rank) if best else rank
         return best[1] if best else None
 
+    def core(self, token: str) -> str:
+        got = self.cores.get(token)
+        if got is None:
+            if len(self.cores) > 400_000:
+                self.cores.clear()
+            got = self.cores[token] = core(token)
+        return got
+
     def look(self, raw: str) -> int:
         """0: nothing to see in this token; 1: rare or outnumbered, look at it and its neighbours; 2: ends in a hyphen."""
         got = self.status.get(raw)
         if got is None:
             if len(self.status) > 400_000:
                 self.status.clear()
-            w = core(raw)
+            w = self.core(raw)
             if raw[-1] in HYPHENS and len(w) > 1 and any(ch.isalpha() for ch in w):
                 got = 2
             elif _is_code(w):
@@ -466,9 +482,9 @@ class Reader:
         if line_shape(x, name) not in self.s.headings:
             return False
         words, left, right = x.split(), before.split()[-1:], after.split()[:1]
-        seams = [self.beside(core(left[0]), core(words[0]))] if left else []
-        seams += [self.beside(core(words[-1]), core(right[0]))] if right else []
-        without = self.beside(core(left[0]), core(right[0])) if left and right else 0.0
+        seams = [self.beside(self.core(left[0]), self.core(words[0]))] if left else []
+        seams += [self.beside(self.core(words[-1]), self.core(right[0]))] if right else []
+        without = self.beside(self.core(left[0]), self.core(right[0])) if left and right else 0.0
         return len(seams) < 2 or min(seams) <= self.p.ratio * (1 + without)
 
     def read(self, text: str, name: str | None) -> tuple[set[str], str]:
@@ -498,8 +514,8 @@ class Reader:
                 joined = self._hyphenated(t, tokens[k + 1])
                 if joined:
                     kinds.add("hyphen_break")
-                    w = core(joined)
-                    right = self.misread(w, core(out[-1]) if out else "", core(tokens[k + 2]) if k + 2 < n else "")
+                    w = self.core(joined)
+                    right = self.misread(w, self.core(out[-1]) if out else "", self.core(tokens[k + 2]) if k + 2 < n else "")
                     if right:
                         kinds.add("misread")
                         joined = _recased(joined, w, right)
@@ -514,8 +530,8 @@ class Reader:
                     k += 1
                     continue
             if f == 1:
-                w = core(t)
-                right = self.misread(w, core(out[-1]) if out else "", core(tokens[k + 1]) if k + 1 < n else "")
+                w = self.core(t)
+                right = self.misread(w, self.core(out[-1]) if out else "", self.core(tokens[k + 1]) if k + 1 < n else "")
                 if right:
                     kinds.add("misread")
                     t = _recased(t, w, right)
@@ -527,16 +543,16 @@ class Reader:
         """The whole word, if a's hyphen only cuts it."""
         if not b[:1].isalpha() and b[:1] not in "†@$":
             return None
-        left, right = a.rstrip(HYPHENS), core(b)
-        whole = core(left) + right
-        if self.count(core(left) + "-" + right) > self.count(whole) or (b[:1].isupper() and not left.isupper() and not self.count(whole)):
+        left, right = a.rstrip(HYPHENS), self.core(b)
+        whole = self.core(left) + right
+        if self.count(self.core(left) + "-" + right) > self.count(whole) or (b[:1].isupper() and not left.isupper() and not self.count(whole)):
             return None
         return left + b
 
     def _torn(self, a: str, b: str) -> str | None:
         if not (a[-1:].isalpha() or a[-1:] in "†@$015") or not (b[:1].isalpha() or b[:1] in "†@$015"):
             return None
-        x, y = core(a), core(b)
+        x, y = self.core(a), self.core(b)
         if not (any(ch.isalpha() for ch in x) and any(ch.isalpha() for ch in y)) or (b[0].isupper() and not a.isupper()) or len(x) + len(y) < 3:
             return None
         whole = self.count(x + y)
