@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedgeline.functions.dates import bound
 from sedgeline.functions.text import header_key, stripped
 from sedgeline.operators.grids import canonical_header, filled
 
@@ -98,25 +99,38 @@ def repaired_headers(grid: DataFrame, synonyms: dict[str, str], rules: GridRules
     start = numbered.filter(F.col("_i") < rules.header_rows).groupBy("file").agg(F.coalesce(F.min(F.when(F.size(filled(F.col("cells"))) >= 2, F.col("_i"))), F.lit(0)).alias("_start"))
     numbered = numbered.join(start, "file").filter("_i >= _start").withColumn("_i", F.col("_i") - F.col("_start"))
     top = numbered.filter(F.col("_i") <= rules.header_lines + 1).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("_i", "cells", "_known", "_thin", "_prose"))).alias("top"))
-    at = lambda k: F.try_element_at("top", k + 1)
-    line = lambda k: at(k)["cells"]
-    top = top.withColumn("_t0", F.lit(True))
-    for k in range(1, rules.header_lines + 1):  # one after the other, so that none repeats what the one before says
-        row = at(F.lit(k))
-        more = row["_thin"] | ((F.size(row["cells"]) > 0) & (row["_known"] > 0)) if k > 1 else row["_thin"]
-        top = top.withColumn(f"_t{k}", F.col(f"_t{k - 1}") & F.coalesce(more, F.lit(False))).withColumn(f"_k{k}", F.col(f"_t{k}") & ~row["_prose"])
-    used = sum((F.col(f"_t{k}").cast("int") for k in range(2, rules.header_lines + 1)), F.col("_t1").cast("int"))
-    parts = lambda i: [F.get(line(F.lit(0)), i), *[F.when(F.col(f"_k{k}"), F.get(line(F.lit(k)), i)) for k in range(1, rules.header_lines + 1)]]
-    whole = F.transform(F.sequence(F.lit(0), F.size(line(F.lit(0))) - 1), lambda i: F.when(F.coalesce(*parts(i)).isNotNull(), F.concat_ws(" ", *parts(i))))
-    whole = F.when(F.size(line(F.lit(0))) > 0, whole).otherwise(F.array().cast("array<string>"))
-    carried = F.aggregate(F.col("_whole"), F.array().cast("array<string>"), lambda acc, c: F.concat(acc, F.array(F.coalesce(c, F.try_element_at(acc, F.lit(-1))))))
-    h = top.select("file", "top", used.alias("_used"), whole.alias("_whole")).select("file", "top", "_used", carried.alias("_header"))
-    following = at(F.col("_used") + 1)["cells"]
-    fills = F.exists("_header", lambda c: c.isNull()) & F.coalesce(at(F.col("_used") + 1)["_known"] >= rules.known_next, F.lit(False))
-    h = h.withColumn("_fills", fills).withColumn("_header", F.when(F.col("_fills"), F.transform("_header", lambda c, i: F.coalesce(c, F.get(following, i)))).otherwise(F.col("_header")))
-    h = h.withColumn("_used", F.col("_used") + F.col("_fills").cast("int"))
-    instead = (n_known(F.col("_header"), synonyms) < rules.known_next) & F.coalesce(at(F.col("_used") + 1)["_known"] >= rules.known_instead, F.lit(False))
-    h = h.withColumn("_instead", instead).select("file", (F.col("_used") + F.col("_instead").cast("int")).alias("_last"), F.when(F.col("_instead"), following).otherwise(F.col("_header")).alias("_header"))
+    null = F.array().cast("array<string>")
+
+    def header(top: Column) -> Column:
+        """struct(last, cells): the number of the header's last line below its first, and its cells."""
+        further = lambda r: r["_thin"] | ((r["_i"] > 1) & (F.size(r["cells"]) > 0) & (r["_known"] > 0))
+        count = lambda acc, r: F.struct((acc["n"] + (acc["open"] & further(r)).cast("int")).alias("n"), (acc["open"] & further(r)).alias("open"))
+        used = F.aggregate(F.slice(top, 2, rules.header_lines), F.struct(F.lit(0).alias("n"), F.lit(True).alias("open")), count)["n"]
+        return bound(used, lambda n: bound(lines_joined(top, n), lambda cells: completed(top, n, cells)))
+
+    def lines_joined(top: Column, used: Column) -> Column:
+        """The cells of the header's lines added per column; a null takes the name to its left."""
+        lines = F.concat(F.slice(top, 1, 1), F.filter(F.slice(top, F.lit(2), used), lambda r: ~r["_prose"]))
+        width = F.size(top[0]["cells"])
+        added = lambda i: bound(F.filter(F.transform(lines, lambda r: F.get(r["cells"], i)), lambda c: c.isNotNull()), lambda p: F.when(F.size(p) > 0, F.array_join(p, " ")))
+        whole = F.when(width > 0, F.transform(F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))), added)).otherwise(null)
+        return F.aggregate(whole, null, lambda acc, c: F.concat(acc, F.array(F.coalesce(c, F.try_element_at(acc, F.lit(-1))))))
+
+    def completed(top: Column, used: Column, cells: Column) -> Column:
+        """Nulls filled, or the header replaced, by the row behind it."""
+        behind = F.get(top, used + 1)
+        fills = F.exists(cells, lambda c: c.isNull()) & F.coalesce(behind["_known"] >= rules.known_next, F.lit(False))
+        filled_up = F.when(fills, F.transform(cells, lambda c, i: F.coalesce(c, F.get(behind["cells"], i)))).otherwise(cells)
+        state = F.struct((used + fills.cast("int")).alias("last"), filled_up.alias("cells"))
+
+        def replaced(x: Column) -> Column:
+            then = F.get(top, x["last"] + 1)
+            instead = (n_known(x["cells"], synonyms) < rules.known_next) & F.coalesce(then["_known"] >= rules.known_instead, F.lit(False))
+            return F.when(instead, F.struct((x["last"] + 1).alias("last"), then["cells"].alias("cells"))).otherwise(x)
+
+        return bound(state, replaced)
+
+    h = top.select("file", header(F.col("top")).alias("_h")).select("file", F.col("_h.last").alias("_last"), F.col("_h.cells").alias("_header"))
     out = numbered.join(h, "file").filter("_i >= _last")
     return out.select(*KEYS, F.when(F.col("_i") == F.col("_last"), F.col("_header")).otherwise(F.col("cells")).alias("cells"))
 
