@@ -91,14 +91,15 @@ def repaired_headers(grid: DataFrame, synonyms: dict[str, str], rules: GridRules
     for half-empty rows with prose, which go. A null takes the name to its left. Nulls that remain are filled by a next row that
     names enough known columns; a next row that names many replaces a header that names hardly any.
     """
-    nulls = F.size(F.filter("cells", lambda c: c.isNull()))
-    g = rows_of(grid).withColumn("_known", n_known(F.col("cells"), synonyms)).withColumn("_thin", (F.size("cells") > 0) & (2 * nulls >= F.size("cells")))
-    g = g.withColumn("_prose", F.col("_thin") & F.exists("cells", lambda c: F.coalesce(F.length(c) > rules.prose, F.lit(False))))
+    g = rows_of(grid)
     order = Window.partitionBy("file").orderBy("row_no")
     numbered = g.withColumn("_i", F.row_number().over(order) - 1)
     start = numbered.filter(F.col("_i") < rules.header_rows).groupBy("file").agg(F.coalesce(F.min(F.when(F.size(filled(F.col("cells"))) >= 2, F.col("_i"))), F.lit(0)).alias("_start"))
     numbered = numbered.join(start, "file").filter("_i >= _start").withColumn("_i", F.col("_i") - F.col("_start"))
-    top = numbered.filter(F.col("_i") <= rules.header_lines + 1).groupBy("file").agg(F.array_sort(F.collect_list(F.struct("_i", "cells", "_known", "_thin", "_prose"))).alias("top"))
+    nulls = F.size(F.filter("cells", lambda c: c.isNull()))
+    lines = numbered.filter(F.col("_i") <= rules.header_lines + 1).withColumn("_known", n_known(F.col("cells"), synonyms)).withColumn("_thin", (F.size("cells") > 0) & (2 * nulls >= F.size("cells")))
+    lines = lines.withColumn("_prose", F.col("_thin") & F.exists("cells", lambda c: F.coalesce(F.length(c) > rules.prose, F.lit(False))))
+    top = lines.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("_i", "cells", "_known", "_thin", "_prose"))).alias("top"))
     null = F.array().cast("array<string>")
 
     def header(top: Column) -> Column:
