@@ -126,6 +126,40 @@ def test_pairs_on_a_common_template(spark):
     assert {tuple(r) for r in near_duplicates.near_duplicate_pairs(spark.createDataFrame(rows, "id long, text string"), queries.REQUESTS, exact=True).collect()} == want
 
 
+def test_keys_travel_packed():
+    """Every key comes back with its text's half name, in less than 8 bytes an entry (12 before)."""
+    rng = np.random.default_rng(5)
+    for n_texts, n, shards in ((10_000, 900_000, 17), (10_000, 900_000, 1000), (70_000, 90_000, 3), (1, 1, 1), (3, 40, 65_536)):
+        keys, texts = rng.integers(0, 2**64, n, dtype=np.uint64), rng.integers(0, n_texts, n)
+        keys[0] = 2**64 - 1
+        names = rng.integers(0, 2**32, n_texts, dtype=np.uint32)
+        rows = near_duplicates._entries_by_shard(keys, texts, names, shards).to_pylist()
+        got = {(r["shard"], int(k), int(e)) for r in rows for k, e in zip(near_duplicates._rising_keys(r["keys"], len(r["ents"]) // 4), np.frombuffer(r["ents"], np.uint32), strict=True)}
+        assert got == {((int(k) >> 32) % shards, int(k) & 0xFFFFFFFF, int(names[t])) for k, t in zip(keys, texts)}
+        if n == 900_000:
+            assert sum(len(r["keys"]) + len(r["ents"]) for r in rows) < 8 * n
+
+
+def test_texts_that_share_half_a_name(spark, monkeypatch):
+    """All halves equal: the pairs are those of the exact way all the same."""
+    monkeypatch.setattr(near_duplicates, "half_name", lambda name: F.col(name) * 0)
+    rows = list(enumerate(variants(random.Random(3), 20)))
+    df = spark.createDataFrame(rows, "id long, text string")
+    p = near_duplicates.NearDuplicates(shingle=3, threshold=0.5, least_words=10)
+    assert {tuple(r) for r in near_duplicates.near_duplicate_pairs(df, p).collect()} == brute_pairs(rows, 3, 0.5, 10)
+
+
+def test_candidates_leave_no_shuffle_files(spark):
+    """Shuffle files of the band keys and of the joins are gone when the pairs are read."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in manager.getAllFiles().mkString("\n").split("\n") if f.endswith(".data")}
+    before = files()
+    df = spark.createDataFrame(list(enumerate(variants(random.Random(4), 60))), "id long, text string")
+    pairs = near_duplicates.near_duplicate_pairs(df, near_duplicates.NearDuplicates(shingle=3, threshold=0.5, least_words=10))
+    assert not files() - before and pairs.count() > 0
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
 def test_estimate_follows_similarity(spark):
     p = near_duplicates.NearDuplicates(shingle=1, threshold=0.5, least_words=1, hashes=256, bits=2)
     a, b = " ".join(f"k{i}" for i in range(150)), " ".join(f"k{i}" for i in range(50, 200))
