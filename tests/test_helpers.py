@@ -81,6 +81,30 @@ def test_best_match_against_brute_force(spark):
         assert got[q] == ((name if -score >= 0.9 else None, -score, name) if -score >= 0.6 else (None, None, None))
 
 
+def test_best_match_scores_few_names(monkeypatch):
+    """The best name is found by scoring a few of the names that share most of their letters; ties go to the first name."""
+    rng, calls = random.Random(2), []
+    place = lambda: "".join(rng.choice(["bra", "mal", "elo", "fal", "vor", "kesh", "dun", "row", "é", "𐐷"]) for _ in range(3))
+    names = sorted({f"{place()} {rng.choice(['county council', 'development company', 'library service', 'health trust'])}" for _ in range(500)})
+    names += ["", "a", "x" * 300, "long " * 40 + "name"]
+    queries = [n[:k] + rng.choice("xé") + n[k + 1 :] for n in names[:400:10] for k in (1, 6)]
+    odd = ["", "a", "b", "zzzz 9", "x" * 299 + "y", "long " * 39 + "game", names[0] * 3]
+    plain = matching.ratio
+    want = {q: min((-plain(q, n), n) for n in names) for q in queries + odd}
+    monkeypatch.setattr(matching, "ratio", lambda a, b: calls.append(a) or plain(a, b))
+    for q in queries + odd:
+        found = [(-x, n) for n, x in (side.best(q, 0.6) for side in matching._sides(names, 4000)) if n is not None]
+        assert (min(found) if found else None) == (want[q] if -want[q][0] >= 0.6 else None)
+        for side in matching._sides(names):
+            at, bounds = side.near(q, 0.5)
+            assert {n for n in side.names if plain(q, n) >= 0.5} <= {side.names[i] for i in at}
+            assert all(plain(q, side.names[i]) <= x for i, x in zip(at, bounds))
+    calls.clear()
+    for q in queries:
+        list(side.best(q, 0.9) for side in matching._sides(names))
+    assert len(calls) < 10 * len(queries)
+
+
 def test_caches_and_dirty_keys(spark):
     asked = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), (None, 3)], "k string, q int")
     hits, misses = incremental.answered(asked, spark.createDataFrame([("a", "yes")], "k string, r string"), "k")
