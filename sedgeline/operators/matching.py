@@ -145,31 +145,21 @@ def _register_blocks(register: DataFrame) -> DataFrame:
     return _blocks(register.select("candidate"), 4000)
 
 
-def fuzzy_candidates(queries: DataFrame, register: DataFrame, least: float, q: int = 3) -> DataFrame:
-    """All pairs (query, candidate) of distinct names that can reach the ratio, by a prefix filter.
+def fuzzy_candidates(queries: DataFrame, register: DataFrame, least: float) -> DataFrame:
+    """All pairs (query, candidate) of distinct names that can reach the ratio, by the bounds of _Names.near(); nulls are left out.
 
-    A ratio of `least` leaves at most (1 - least) * (la + lb) letters unmatched, and each of
-    those spoils at most q q-grams of either name. So with grams ordered from the rarest, names
-    that can match share a gram among the first q * unmatched + 1 of each; only those grams are joined.
-    Names too short to have so many grams carry all of them. Each name ends in padding, so that none is empty.
+    Blocks of queries meet blocks of the register, and a pair costs some nanoseconds where lengths or letters rule it out.
     """
-    def grams(df: DataFrame, c: str) -> DataFrame:
-        padded = F.concat(F.lit("  "), F.col(c), F.lit("  "))
-        pieces = F.transform(F.sequence(F.lit(1), F.length(padded) - q + 1), lambda i: F.substring(padded, i, q))
-        return df.select(c, F.explode(F.array_distinct(pieces)).alias("g"))
-
-    a, b = grams(queries.distinct(), "query"), grams(register.distinct(), "candidate")
-    often = b.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-
-    def prefix(df: DataFrame, c: str) -> DataFrame:
-        # the partner is at most (1 + x) / (1 - x) times as long, x the unmatched share
-        x = 1.0 - least
-        unmatched = F.floor(x * F.length(c) * (1 + (1 + x) / (1 - x)))
-        w = Window.partitionBy(c).orderBy(F.coalesce("n", F.lit(0)), "g")
-        return df.join(often, "g", "left").withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= q * unmatched + 1).select(c, "g")
-
-    close = F.abs(F.length("query") - F.length("candidate")) <= (1.0 - least) * (F.length("query") + F.length("candidate"))
-    return prefix(a, "query").join(prefix(b, "candidate"), "g").select("query", "candidate").filter(close).distinct()
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for block, names in zip(b["query"], b["candidate"]):
+                for side in _sides(names):
+                    for query in block:
+                        at, _ = side.near(query, least)
+                        if len(at):
+                            yield pd.DataFrame({"query": query, "candidate": [side.names[i] for i in at]})
+
+    return _query_blocks(queries).crossJoin(_register_blocks(register)).mapInPandas(pairs, "query string, candidate string")
 
 
 def fuzzy_scores(pairs: DataFrame, least: float) -> DataFrame:

@@ -57,6 +57,22 @@ def test_fuzzy_candidates_are_complete(spark):
     assert got == {(q, n) for q in set(queries) for n in set(names) if matching.ratio(q, n) >= 0.9}
 
 
+def _bodies(rng, n):
+    place = lambda: "".join(rng.choice(["bra", "mal", "elo", "fal", "vor", "kesh", "dun", "row"]) for _ in range(3))
+    return sorted({f"{place()} {rng.choice(['county council', 'development company', 'library service', 'health trust', 'education board'])}" for _ in range(n)})
+
+
+def test_few_of_the_names_are_candidates(spark):
+    """Names share most of their letters and grams; at a ratio of 0.9 few pairs are left to score, and none is lost."""
+    rng = random.Random(5)
+    names = _bodies(rng, 400)
+    queries = sorted({n[:k] + "x" + n[k + 1 :] for n in names[::20] for k in (2, 7)})
+    pairs = matching.fuzzy_candidates(spark.createDataFrame([(x,) for x in [*queries, None]], "query string"), spark.createDataFrame([(x,) for x in [*names, None]], "candidate string"), 0.9)
+    got = {tuple(r) for r in pairs.collect()}
+    assert {(q, n) for q in queries for n in names if matching.ratio(q, n) >= 0.9} <= got
+    assert len(got) < 0.02 * len(queries) * len(names)
+
+
 def test_overrides(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "k int, v string")
     o = spark.createDataFrame([(1, None), (2, "b")], "k int, value string")
