@@ -160,6 +160,19 @@ def test_candidates_leave_no_shuffle_files(spark):
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
 
 
+def test_passes_and_slices_change_no_pair(spark):
+    """Two passes over the bands and many slices of the candidates give the pairs of one."""
+    rng = random.Random(12)
+    template = " ".join(f"t{i}" for i in range(31))
+    rows = list(enumerate(variants(rng, 60) + [f"{template} {t}" for t in variants(rng, 30)]))
+    df = spark.createDataFrame(rows, "id long, text string")
+    got = []
+    for more in ({}, {"pass_texts": 10, "slice_pairs": 1}):
+        p = near_duplicates.NearDuplicates(shingle=3, threshold=0.5, least_words=10, least_common=20, **more)
+        got.append({tuple(r) for r in near_duplicates.near_duplicate_pairs(df, p).collect()})
+    assert got[0] == got[1] and len(got[0]) > 20
+
+
 def test_estimate_follows_similarity(spark):
     p = near_duplicates.NearDuplicates(shingle=1, threshold=0.5, least_words=1, hashes=256, bits=2)
     a, b = " ".join(f"k{i}" for i in range(150)), " ".join(f"k{i}" for i in range(50, 200))
